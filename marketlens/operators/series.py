@@ -93,30 +93,27 @@ def cumulative_returns(df: DataFrame, price: str = "close", out: str = "cumulati
     telescopes to that ratio).
 
     Plan: each priced row covers the calendar days up to its next priced row
-    (sequence + explode), and a semi join keeps the days on the axis.  Work
-    is linear in the output, with no cross join and no global window.  The
-    axis has at most one row per calendar day, so AQE may broadcast it.
+    (a ticker's first row also covers the axis days before it, at 1.0); one
+    sequence + explode emits them and a semi join keeps the days on the axis.
+    Work is linear in the output, with no cross join and no global window.
+    The axis has at most one row per calendar day, so AQE may broadcast it,
+    and the axis bounds come from the axis itself.
     """
     priced = df.select(by, order, price).where(F.col(price).isNotNull())
     axis = priced.select(F.col(order).alias("_d")).distinct()
+    bounds = axis.select(F.struct(F.min("_d").alias("lo"), F.max("_d").alias("hi"))).scalar()
     w = _w(by, order)
     first_px = F.first(price).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    lo_hi = priced.select(F.struct(F.min(order).alias("lo"), F.max(order).alias("hi")))
-    lo_hi = lo_hi.scalar()
     rows = (priced
             .withColumn("_cr", F.try_divide(F.col(price), first_px))
             .withColumn("_next", F.lead(order).over(w))
-            .withColumn("_prev", F.lag(order).over(w)))
-    span_end = F.coalesce(F.date_sub("_next", 1), lo_hi["hi"])
-    carried = rows.select(
-        by, F.explode(F.sequence(F.col(order), span_end)).alias("_d"), "_cr")
-    # Days on the axis before a ticker's first price are worth 1.0.
-    before = (rows.where(F.col("_prev").isNull() & (F.col(order) > lo_hi["lo"]))
-                  .select(by, F.explode(F.sequence(lo_hi["lo"], F.date_sub(order, 1))).alias("_d"),
-                          F.lit(1.0).alias("_cr")))
-    dense = carried.unionByName(before)
+            .withColumn("_first", F.lag(order).over(w).isNull()))
+    start = F.when(F.col("_first"), F.least(bounds["lo"], F.col(order))).otherwise(F.col(order))
+    end = F.coalesce(F.date_sub("_next", 1), bounds["hi"])
+    dense = rows.select(by, order, "_cr", F.explode(F.sequence(start, end)).alias("_d"))
+    value = F.when(F.col("_d") < F.col(order), F.lit(1.0)).otherwise(F.col("_cr"))
     dense = dense.join(axis, "_d", "left_semi")
-    return dense.select(by, F.col("_d").alias(order), F.col("_cr").alias(out))
+    return dense.select(by, F.col("_d").alias(order), value.alias(out))
 
 
 def return_histogram(returns: DataFrame, value: str = "daily_return", nbins: int = 200,
