@@ -27,3 +27,14 @@ def basis_points_text(bp: Column) -> Column:
     return F.concat(
         F.floor(bp / 100).cast("bigint").cast("string"), F.lit("."),
         F.lpad(F.pmod(bp, F.lit(100)).cast("string"), 2, "0"), F.lit("%"))
+
+
+def fixed2(x: Column | str) -> Column:
+    """A number as text with exactly two decimals (no grouping)."""
+    c = F.col(x) if isinstance(x, str) else x
+    return F.format_string("%.2f", c.cast("double"))
+
+
+def report_title(tickers: list[str], suffix: str) -> str:
+    """C11: display title, e.g. 'AF.PA IAG.L Daily Volatility Comparison'."""
+    return " ".join(str(t) for t in tickers) + " " + suffix

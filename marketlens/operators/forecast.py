@@ -105,13 +105,22 @@ def model_input(train: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def forecast(train: DataFrame, periods: int = 90, params: ModelParams = ModelParams(),
-             default_country: str = "US") -> DataFrame:
-    """F1 + P11: fit every ticker at once and predict history + future."""
+             default_country: str = "US", limits: DataFrame | None = None) -> DataFrame:
+    """F1 + P11: fit every ticker at once and predict history + future.
+
+    `limits` (ticker, cap, floor) overrides the cap and floor per ticker.
+    """
     rows = model_input(train, future_calendar(train, periods, default_country))
+    if limits is not None:
+        rows = rows.join(limits.select("ticker", "cap", "floor"), "ticker", "left")
     p = asdict(params)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return fit_predict(pdf, **p)
+        q = dict(p)
+        for k in ("cap", "floor"):
+            if k in pdf.columns and pdf[k].notna().any():
+                q[k] = float(pdf[k].dropna().iloc[0])
+        return fit_predict(pdf, **q)
 
     return rows.groupBy("ticker").applyInPandas(fit, schema=FORECAST)
 
