@@ -16,9 +16,25 @@ MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append",
          "ignore": "ignore"}
 
 
+# Files written per output partition (e.g. per ticker directory).
+FILES_PER_PARTITION = 4
+
+
+def spread_for_write(df: DataFrame, partition_by: list[str],
+                     files_per_partition: int = FILES_PER_PARTITION) -> DataFrame:
+    """Shuffle so each output directory gets at most `files_per_partition`
+    files, and a hot directory (one ticker with a third of the rows) is
+    written by that many tasks instead of one."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+    return df.repartition(*[F.col(c) for c in partition_by], salt)
+
+
 def write_table(df: DataFrame, path: str, if_exists: str = "append",
-                partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
+                partition_by: list[str] | None = None, fmt: str = "parquet",
+                files_per_partition: int | None = FILES_PER_PARTITION) -> None:
     """K1: write a frame as files; fail / replace / append."""
+    if partition_by and files_per_partition:
+        df = spread_for_write(df, partition_by, files_per_partition)
     w = df.write.mode(MODES[if_exists]).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

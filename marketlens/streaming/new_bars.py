@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.incremental import new_bars
 from ..operators.normalize import normalize_bars
 from ..schemas import BARS
 from ..session import checkpoint_root
@@ -37,11 +38,13 @@ def _append_new(target: str, fmt: str):
         spark = batch.sparkSession
         rows = batch.drop("_ts")
         try:
-            stored = spark.read.format(fmt).load(target).select("ticker", "date")
-            rows = rows.join(stored, ["ticker", "date"], "left_anti")
+            stored = spark.read.format(fmt).load(target)
         except Exception as e:  # the first batch creates the table
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
+        else:
+            # only stored rows on/after the batch's first day can collide
+            rows = new_bars(stored, rows, from_watermark=False)
         rows.write.mode("append").format(fmt).save(target)
     return run
 
