@@ -11,7 +11,7 @@ def _c(c: Column | str) -> Column:
 
 
 def weekday(c: Column | str) -> Column:
-    """Monday = 0 ... Sunday = 6."""
+    """Monday = 0 ... Sunday = 6."""
     return F.weekday(_c(c))
 
 

@@ -1,4 +1,4 @@
-"""Exact money arithmetic.
+"""Exact money arithmetic.
 
 Sums of doubles depend on the order rows arrive in, so every average and
 running sum here is taken over decimals and divided once at the end.  The

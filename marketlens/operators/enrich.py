@@ -61,7 +61,7 @@ def enrich_prices(bars: DataFrame, currency: DataFrame, fx: DataFrame,
 
 
 def fx_coverage(enriched: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """A4: share of rows without a raw FX rate, in percent.
+    """A4 (+ C13): share of rows without a raw FX rate, in percent.
 
     Counted on the rate before the base-currency override, as the source
     does; `unconverted_rows` counts rows whose final rate is still missing.

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 
 def last_update(history: DataFrame) -> DataFrame:
-    """S9 + A3: latest stored date per ticker (replaces a state file)."""
+    """S9 + A3 + K6: latest stored date per ticker.
+
+    This replaces the state file: the watermark is derived from the target,
+    keyed by equality on ticker (L5), and typed as a date.
+    """
     return history.groupBy("ticker").agg(F.max("date").alias("last_date"))
 
 

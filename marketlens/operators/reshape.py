@@ -62,7 +62,7 @@ def long_to_wide(df: DataFrame, tickers: list[str], measures=BAR_MEASURES,
 
 def pivot_measure(df: DataFrame, measure: str, tickers: list[str], prefix: str | None = None,
                   key: str = "date") -> DataFrame:
-    """R2 + R4: key x ticker pivot of one measure with flat column names.
+    """R2 + R4 + A2: key x ticker pivot of one measure with flat column names.
 
     The ticker list is explicit so Spark does not run a job to find it.
     Values of one (key, ticker) are averaged, as a pivot table does.

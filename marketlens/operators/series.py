@@ -85,7 +85,7 @@ def _scalar(df: DataFrame, expr: Column):
 
 def cumulative_returns(df: DataFrame, price: str = "close", out: str = "cumulative_return",
                        by: str = "ticker", order: str = "date") -> DataFrame:
-    """Growth of 1 unit per ticker on the shared date axis.
+    """W4 (+ W3, C12, G4): growth of 1 unit per ticker on the shared date axis.
 
     The date axis holds every date on which any ticker has a price.  A ticker
     shows 1.0 before its first price, then last price / first price, carried
@@ -118,7 +118,7 @@ def cumulative_returns(df: DataFrame, price: str = "close", out: str = "cumulati
 
 def return_histogram(returns: DataFrame, value: str = "daily_return", nbins: int = 200,
                      by: str = "ticker") -> DataFrame:
-    """Fixed-width histogram of returns per ticker on one global range.
+    """A6 + G3: fixed-width histogram of returns per ticker on one global range.
 
     lo and hi come from one scalar subquery; bins are [lo + i*w, lo + (i+1)*w),
     the last one closed.  Partial counts are combined map-side.
@@ -159,7 +159,7 @@ def date_range(df: DataFrame, preset: str, order: str = "date") -> DataFrame:
 
 def price_series(enriched: DataFrame, value: str = "converted_close", log: bool = False,
                  preset: str = "all") -> DataFrame:
-    """G1: (ticker, date, price) without missing prices (L4), optional log10."""
+    """G1: (ticker, date, price) without missing prices (L4); P12 log10 option."""
     df = enriched.select("ticker", "date", value).na.drop(subset=[value])
     if log:
         df = df.where(F.col(value) > 0).withColumn(value, F.log10(F.col(value).cast("double")))

@@ -1,4 +1,8 @@
-"""Explicit schemas for every market table (no inference anywhere)."""
+"""Explicit schemas for every market table (no inference anywhere).
+
+There is no row index: `date` is an ordinary column, so index <-> column
+moves (R5) are not needed.
+"""
 
 from __future__ import annotations
 

@@ -51,7 +51,7 @@ def save_table(df: DataFrame, name: str, if_exists: str = "append",
 
 
 def column_ddl(df: DataFrame) -> DataFrame:
-    """A7 + K3: per column its longest text and a DDL type.
+    """A7 + C9 + K3: per column its longest text and a DDL type.
 
     One aggregate pass computes max(length) of every string column; the
     result has one row per column (unpivoted), so it stays tiny.
