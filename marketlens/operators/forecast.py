@@ -69,24 +69,26 @@ def linear_trend(train: DataFrame, origin: str) -> DataFrame:
         F.regr_intercept("y", x).alias("intercept"))
 
 
-def future_calendar(train: DataFrame, periods: int = 90,
-                    default_country: str = "US") -> DataFrame:
-    """F4 + F5 + L1: history dates plus `periods` daily dates, weekdays only,
-    each with the holiday of the ticker's country (GBP -> GB, HKD -> HK).
-
-    The holiday table has a handful of rows per country and year, so the
-    broadcast is bounded.
+def _calendar_rows(train: DataFrame, periods: int, default_country: str) -> DataFrame:
+    """History rows (with y) plus `periods` future days per ticker, weekdays
+    only, each with its country's holiday.
+
+    Training rows are unique on (ticker, ds) (rule Q1), so history rows are
+    taken as they are and only the per-ticker summary (one row per ticker)
+    feeds the future days; no join brings y back.  The holiday table has a
+    handful of rows per country and year, so its broadcast is bounded.
     """
     per = train.groupBy("ticker").agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"),
                                       F.max("currency_code").alias("_code"))
-    hist = (train.select("ticker", "ds").distinct()
-                 .join(per.select("ticker", "_code"), "ticker")
-                 .withColumn("is_future", F.lit(False)))
-    fut = per.select("ticker", "_code",
+    hist = train.select("ticker", "ds", "y", F.lit(False).alias("is_future"),
+                        F.col("currency_code").alias("_code"))
+    fut = per.select("ticker",
                      F.explode(F.sequence(F.date_add("_last", 1),
                                           F.date_add("_last", periods))).alias("ds"),
-                     F.lit(True).alias("is_future"))
-    cal = hist.unionByName(fut).where(is_weekday("ds"))
+                     F.lit(None).cast("double").alias("y"), F.lit(True).alias("is_future"),
+                     "_code")
+    cal = hist.unionByName(fut) if periods > 0 else hist
+    cal = cal.where(is_weekday("ds"))
     cal = cal.withColumn("country", country_for_currency(F.col("_code"), default_country))
     years = per.agg(F.min("_first").alias("lo"), F.max("_last").alias("hi")).select(
         F.explode(F.sequence(F.year("lo"), F.year(F.date_add("hi", periods)))).alias("year"))
@@ -95,13 +97,19 @@ def future_calendar(train: DataFrame, periods: int = 90,
               .agg(F.array_join(F.array_sort(F.collect_list("holiday")), ", ").alias("holiday")))
     cal = cal.join(F.broadcast(hol), (cal["country"] == hol["country"]) & (cal["ds"] == hol["date"]),
                    "left").drop(hol["country"]).drop("date")
-    return cal.select("ticker", "ds", "is_future", "country", "holiday")
+    return cal.select("ticker", "ds", "y", "is_future", "country", "holiday")
+
+
+def future_calendar(train: DataFrame, periods: int = 90,
+                    default_country: str = "US") -> DataFrame:
+    """F4 + F5 + L1: history dates plus `periods` daily dates, weekdays only,
+    each with the holiday of the ticker's country (GBP -> GB, HKD -> HK)."""
+    return _calendar_rows(train, periods, default_country).drop("y")
 
 
-def model_input(train: DataFrame, calendar: DataFrame) -> DataFrame:
+def model_input(train: DataFrame, periods: int = 90, default_country: str = "US") -> DataFrame:
     """Calendar rows with the observed y attached (NULL in the future)."""
-    y = train.select("ticker", "ds", "y")
-    return calendar.join(y, ["ticker", "ds"], "left")
+    return _calendar_rows(train, periods, default_country)
 
 
 def forecast(train: DataFrame, periods: int = 90, params: ModelParams = ModelParams(),
@@ -110,7 +118,7 @@ def forecast(train: DataFrame, periods: int = 90, params: ModelParams = ModelPar
 
     `limits` (ticker, cap, floor) overrides the cap and floor per ticker.
     """
-    rows = model_input(train, future_calendar(train, periods, default_country))
+    rows = model_input(train, periods, default_country)
     if limits is not None:
         rows = rows.join(limits.select("ticker", "cap", "floor"), "ticker", "left")
     p = asdict(params)
@@ -164,7 +172,7 @@ def grid_search(train: DataFrame, grid: list[dict] | None = None, holdout: int =
     row_number over a ticker's grid scores.
     """
     grid = grid or DEFAULT_GRID
-    cal = model_input(train, future_calendar(train, 0, default_country)).where(~F.col("is_future"))
+    cal = model_input(train, 0, default_country)
     rep = cal.withColumn("grid_id", F.explode(F.array(*[F.lit(i) for i in range(len(grid))])))
     base_d = asdict(base)
     grid_json = [dict(base_d, **g) for g in grid]
