@@ -36,10 +36,14 @@ def exact_avg(c: Column | str) -> Column:
 
 
 def convert(price: Column | str, rate: Column | str) -> Column:
-    """price x rate with both factors decimal; the product is exact."""
+    """price x rate with both factors decimal; the product is exact.
+
+    A value outside the decimal range becomes NULL instead of failing the
+    job (ANSI casts raise on overflow).
+    """
     p = F.col(price) if isinstance(price, str) else price
     r = F.col(rate) if isinstance(rate, str) else rate
-    return (p.cast(PRICE_DEC) * r.cast(RATE_DEC)).cast(AMOUNT_DEC)
+    return (p.try_cast(PRICE_DEC) * r.try_cast(RATE_DEC)).try_cast(AMOUNT_DEC)
 
 
 def money(c: Column | str, places: int = 6) -> Column:

@@ -95,3 +95,11 @@ def test_coverage_rule_threshold(spark):
                              fx(spark, [("USD", "2024-01-08", 0.5)]))
     r = quality.q4_fx_coverage(e, 40.0).toDF("rule", "v", "p").first()
     assert r.v == 1 and r.p is False
+
+
+def test_out_of_range_rate_is_null_not_error(spark):
+    b = bars(spark, [("A", "2024-01-08", 10.0), ("A", "2024-01-09", 10.0)])
+    out = enrich.enrich_prices(b, currency(spark, [("A", "usd")]),
+                               fx(spark, [("USD", "2024-01-08", 1e12), ("USD", "2024-01-09", 0.5)]))
+    got = {str(r.date): r.converted_close for r in out.collect()}
+    assert got["2024-01-08"] is None and float(got["2024-01-09"]) == 5.0
