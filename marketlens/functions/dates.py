@@ -24,11 +24,6 @@ def date_key(c: Column | str) -> Column:
     return F.date_format(_c(c), "MMddyyyy")
 
 
-def to_date_any(c: Column | str) -> Column:
-    """Dates from date, timestamp or text columns; bad text becomes NULL."""
-    return F.to_date(_c(c))
-
-
 def nth_weekday(year: Column, month: int, wd: int, n: int) -> Column:
     """The n-th given weekday (Mon=0) of a month."""
     first = F.make_date(year, F.lit(month), F.lit(1))

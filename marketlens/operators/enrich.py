@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import is_weekday, weekday
 from ..functions.exact import convert
 from .dims import currency_dimension
-from .joins import dimension
 
 BASE_CURRENCY = "GBP"
 
@@ -76,11 +75,3 @@ def fx_coverage(enriched: DataFrame, by: list[str] | None = None) -> DataFrame:
         "missing_rate_pct",
         F.try_divide(F.col("missing_rate_rows") * 100.0, F.col("total_rows")))
 
-
-def fx_pairs_from(enriched_or_currency: DataFrame) -> DataFrame:
-    """Distinct currency codes present (A5) - used to scope FX scans."""
-    return enriched_or_currency.select(F.upper("currency_code").alias("currency_code")).distinct()
-
-
-__all__ = ["attach_currency", "attach_fx", "apply_rate", "enrich_prices", "fx_coverage",
-           "dimension"]

@@ -1,9 +1,10 @@
 """Join helpers that keep the size and skew of each side in view.
 
-Dimension joins are left to adaptive execution unless the caller states a
-bound on the dimension's row count: AQE measures the built side at runtime
-and only then picks a broadcast, so nothing unbounded is ever broadcast on a
-guess.  A stated bound adds an explicit broadcast hint.
+Dimension joins are left to adaptive execution: AQE measures the built side
+at runtime and only then picks a broadcast, so nothing unbounded is ever
+broadcast on a guess.  Explicit broadcast() hints are used only where the
+row count is bounded by construction (nation/region, currency codes, the
+holiday calendar).
 """
 
 from __future__ import annotations
@@ -11,18 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hint as broadcast when its row count is bounded by
-# construction (currency codes, countries, calendar days, ...).
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def dimension(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark a dimension for broadcast only when its row bound is known."""
-    if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:
-        return F.broadcast(df)
-    return df
-
-
 def salted_right_join(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str,
                       salt_by: str, buckets: int = 16) -> DataFrame:
     """`dim RIGHT JOIN fact ON dim_key = fact_key` for a low-cardinality key.

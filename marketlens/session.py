@@ -13,11 +13,15 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "marketlens",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  warehouse_dir: str | None = None) -> SparkSession:
     """A local session with AQE on and the UI off (no server is started)."""
     n = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
+    builder = SparkSession.builder
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -93,13 +93,6 @@ def holiday_dimension(years: DataFrame, countries: list[str] | None = None) -> D
     return out.where(F.col("date").isNotNull())
 
 
-def years_between(df: DataFrame, date_col: str, extra_days: int = 0) -> DataFrame:
-    """One row per calendar year from the first date to the last (+ extra days)."""
-    span = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    return span.select(F.explode(F.sequence(
-        F.year("lo"), F.year(F.date_add("hi", extra_days)))).alias("year"))
-
-
 def country_for_currency(code: Column, default: str = DEFAULT_COUNTRY) -> Column:
     """F5 rule: GBP -> GB, HKD -> HK, anything else -> the default country."""
     m = F.create_map(*[F.lit(x) for kv in CURRENCY_COUNTRY.items() for x in kv])

@@ -11,8 +11,11 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from marketlens.session import local_session
-    s = local_session("*", app="marketlens-tests", shuffle_partitions=8)
+    s = local_session("*", app="marketlens-tests", shuffle_partitions=8,
+                      warehouse_dir=tempfile.mkdtemp(prefix="marketlens-wh-", dir="/tmp"))
     yield s
     s.stop()
 

@@ -81,3 +81,15 @@ def test_stream_two_runs_with_overlap(spark, scratch):
     out = spark.read.parquet(target)
     assert out.count() == 3
     assert out.agg(F.countDistinct("ticker", "date")).first()[0] == 3
+
+
+def test_catalog_table_view_and_scan(spark):
+    from marketlens.operators.reports import create_yearly_view
+    from marketlens.sources.landing import read_table
+    df = _history(spark)
+    tables.save_table(df, "stock_history_t", "replace", partition_by=["ticker"])
+    hist = read_table(spark, "stock_history_t")
+    assert hist.count() == 3
+    create_yearly_view(spark, hist, "yearly_stock_t")
+    rows = {r.ticker: r for r in spark.sql("SELECT * FROM yearly_stock_t").collect()}
+    assert rows["A"].avg_close == 1.5 and rows["A"].year == 2024
