@@ -78,8 +78,10 @@ def _calendar_rows(train: DataFrame, periods: int, default_country: str) -> Data
     feeds the future days; no join brings y back.  The holiday table has a
     handful of rows per country and year, so its broadcast is bounded.
     """
-    per = train.groupBy("ticker").agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"),
-                                      F.max("currency_code").alias("_code"))
+    # A ticker has one currency (A10), so grouping by it too keeps a hash
+    # aggregate (a max over text would force a sort-based one).
+    per = (train.groupBy("ticker", F.col("currency_code").alias("_code"))
+                .agg(F.min("ds").alias("_first"), F.max("ds").alias("_last")))
     hist = train.select("ticker", "ds", "y", F.lit(False).alias("is_future"),
                         F.col("currency_code").alias("_code"))
     fut = per.select("ticker",

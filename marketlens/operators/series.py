@@ -120,16 +120,19 @@ def return_histogram(returns: DataFrame, value: str = "daily_return", nbins: int
     """
     vals = returns.where(F.col(value).isNotNull() & ~F.isnan(value))
     rng = vals.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    lo, hi = rng["lo"], rng["hi"]
+    vals = vals.select(by, value, rng.alias("_r"))  # the subquery is referenced once
+    lo, hi = F.col("_r.lo"), F.col("_r.hi")
     width = (hi - lo) / F.lit(float(nbins))
     b = F.when(width > 0, F.least(F.lit(nbins - 1).cast("bigint"),
                                    F.floor((F.col(value) - lo) / width).cast("bigint"))
                ).otherwise(F.lit(0).cast("bigint"))
-    counts = vals.groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = vals.groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"),
+                                                   F.first(lo).alias("_lo"),
+                                                   F.first(width).alias("_w"))
     return counts.select(
         by, "bin",
-        (lo + F.col("bin") * width).alias("bin_start"),
-        (lo + (F.col("bin") + 1) * width).alias("bin_end"),
+        (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"),
+        (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_end"),
         "count")
 
 

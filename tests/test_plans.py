@@ -42,3 +42,11 @@ def test_weekday_filter_pushed_below_joins(spark):
     p = Q.dense_master(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     # the weekday predicate appears below the FX join, next to the order scan
     assert p.count("weekday(") >= 2
+
+
+def test_python_only_in_the_forecaster(spark):
+    for name, fn in E.queries().items():
+        p = _plan(fn(spark, SF_SMALL))
+        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        has_group_map = "FlatMapGroupsInPandas" in p
+        assert has_group_map == (name in ("forecast", "forecast_grid_best")), name
