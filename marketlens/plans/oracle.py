@@ -150,6 +150,10 @@ def _holiday_sql() -> str:
             return f"({last} - CAST(((isodow({last}) - 1 - {rule[2]}) % 7 + 7) % 7 AS INTEGER))"
         if kind == "easter":
             return f"(easter + {rule[1]})"
+        if kind == "weekday_after":
+            base = f"make_date(y, {rule[1]}, {rule[2]})"
+            return (f"({base} + CASE isodow({base}) WHEN 5 THEN 3 WHEN 6 THEN 2 "
+                    f"ELSE 1 END)")
         raise ValueError(kind)
 
     parts = []

@@ -17,7 +17,8 @@ MON, THU, FRI = 0, 3, 4
 
 # ---- fixed values: holiday rules per country ----------------------------------
 # ("fixed", month, day) | ("nth", month, weekday, n) | ("last", month, weekday)
-# | ("easter", offset_days); optional first year the holiday exists.
+# | ("easter", offset_days) | ("weekday_after", month, day): the first
+# Monday-to-Friday day after that date; optional first year it exists.
 HOLIDAY_RULES = {
     "US": [
         ("New Year's Day", ("fixed", 1, 1), None),
@@ -50,7 +51,7 @@ HOLIDAY_RULES = {
         ("Hong Kong Special Administrative Region Establishment Day", ("fixed", 7, 1), 1997),
         ("National Day", ("fixed", 10, 1), 1997),
         ("Christmas Day", ("fixed", 12, 25), None),
-        ("The first weekday after Christmas Day", ("fixed", 12, 26), None),
+        ("The first weekday after Christmas Day", ("weekday_after", 12, 25), None),
     ],
 }
 # Holidays follow the instrument's currency; other currencies use a default.
@@ -69,6 +70,10 @@ def _rule_date(year: Column, rule: tuple) -> Column:
         return last_weekday(year, rule[1], rule[2])
     if kind == "easter":
         return F.date_add(easter_sunday(year), rule[1])
+    if kind == "weekday_after":
+        base = F.make_date(year, F.lit(rule[1]), F.lit(rule[2]))
+        wd = F.weekday(base)  # Fri -> +3, Sat -> +2, otherwise +1
+        return F.date_add(base, F.when(wd == 4, 3).when(wd == 5, 2).otherwise(1))
     raise ValueError(kind)
 
 

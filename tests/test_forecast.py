@@ -84,6 +84,7 @@ def test_holidays_follow_currency(spark):
     assert got[("U", "2018-11-22")] == "Thanksgiving"
     assert got[("U", "2018-05-28")] == "Memorial Day"
     assert ("U", "2018-12-26") not in got
+    assert got[("H", "2018-12-26")] == "The first weekday after Christmas Day"
 
 
 def test_grid_search_one_row_per_ticker(spark):
