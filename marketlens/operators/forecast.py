@@ -9,7 +9,7 @@ ticker's daily series, so its size is bounded by the number of calendar days
 The model follows the published decomposable form y = trend + yearly season
 + holidays (Taylor & Letham, "Forecasting at Scale", 2018): a piecewise
 trend with potential changepoints over the first 80% of history, Fourier
-terms of order 10, one effect per holiday, Gaussian priors as ridge
+terms of order 10 (and weekly terms of order 3), one effect per holiday, Gaussian priors as ridge
 penalties.  `logistic` growth bends the trend between floor and cap and is
 fitted by damped Gauss-Newton.  Intervals come from the residual quantile,
 so the output is deterministic.
@@ -42,6 +42,7 @@ class ModelParams:
     seasonality_prior_scale: float = 10.0
     holidays_prior_scale: float = 10.0
     yearly_order: int = 10
+    weekly_order: int = 3
     interval_width: float = 0.95
 
 
@@ -201,12 +202,14 @@ def grid_search(train: DataFrame, grid: list[dict] | None = None, holdout: int =
 
 # --------------------------------------------------------------- numpy side --
 
-def _design(days: np.ndarray, t: np.ndarray, cps: np.ndarray, hol: list, names: list, order: int):
+def _design(days: np.ndarray, t: np.ndarray, cps: np.ndarray, hol: list, names: list,
+            order: int, weekly: int = 0):
     trend = [np.ones_like(t), t] + [np.maximum(t - s, 0.0) for s in cps]
     seas = []
-    for k in range(1, order + 1):
-        ang = 2.0 * np.pi * k * days / 365.25
-        seas += [np.sin(ang), np.cos(ang)]
+    for period, n in ((365.25, order), (7.0, weekly)):
+        for k in range(1, n + 1):
+            ang = 2.0 * np.pi * k * days / period
+            seas += [np.sin(ang), np.cos(ang)]
     hols = [np.array([1.0 if (h is not None and n in str(h).split(", ")) else 0.0 for h in hol])
             for n in names]
     xt = np.column_stack(trend)
@@ -300,8 +303,9 @@ def _model(hist_days, hist_y, hist_hol, p: dict):
     ys = (hist_y - shift) / scale
     if logistic:
         ys = np.clip(ys, EPS, 1 - EPS)
-    xt, xf = _design(hist_days, t, cps, list(hist_hol), names, p["yearly_order"])
-    n_seas = 2 * p["yearly_order"]
+    xt, xf = _design(hist_days, t, cps, list(hist_hol), names, p["yearly_order"],
+                     p["weekly_order"])
+    n_seas = 2 * (p["yearly_order"] + p["weekly_order"])
     noise = max(float(np.var(ys)), 1e-12) * 0.1
     lam = _penalty(len(cps), n_seas, len(names), p, noise)
     f = _fit(ys, xt, xf, lam, p["growth"])
@@ -313,7 +317,7 @@ def _model(hist_days, hist_y, hist_hol, p: dict):
 
     def predict(days, hol):
         tt = (days - d0) / span
-        a, b = _design(days, tt, cps, list(hol), names, p["yearly_order"])
+        a, b = _design(days, tt, cps, list(hol), names, p["yearly_order"], p["weekly_order"])
         yh, tr = f(a, b)
         horizon = np.maximum(days - d1, 0.0)
         q = width * np.sqrt(1.0 + horizon / max(span, 1.0))
