@@ -65,6 +65,67 @@ def rolling_means(df: DataFrame, value: str, windows=ROLLING_WINDOWS, prefix: st
     return df.drop("_s", "_n")
 
 
+def rolling_means_chunked(df: DataFrame, value: str, windows=ROLLING_WINDOWS,
+                          prefix: str = "ma", by: str = "ticker", order: str = "date",
+                          chunk_rows: int = 100_000) -> DataFrame:
+    """W2 for series too long for one task (a key holding a third of the rows).
+
+    Same result as `rolling_means`, without any window partitioned by ticker
+    alone:
+
+    1. per (ticker, day) totals, then exclusive running totals over a
+       ticker's days (at most one row per calendar day) give each day's
+       offset of rows, sum and count;
+    2. inside each (ticker, day) block a window adds the block-local running
+       values, giving every row its global index and prefix sums;
+    3. rows are cut into chunks of `chunk_rows` consecutive indices; each
+       chunk also receives the `max(n)` rows before it (a halo), so
+       `lag(n)` inside (ticker, chunk) sees every row it needs.  Halo rows are
+       dropped afterwards.  A task holds at most chunk_rows + max(n) rows.
+    """
+    x = F.col(value).cast(AMOUNT_DEC)
+    zero = F.lit(0).cast(AMOUNT_DEC)
+    base = df.withColumn("_x", x).withColumn("_blk", F.col(order).cast("date"))
+    tot = base.groupBy(by, "_blk").agg(F.count(F.lit(1)).alias("_rows"),
+                                        F.sum(F.coalesce("_x", zero)).alias("_bs"),
+                                        F.count("_x").alias("_bn"))
+    wb = Window.partitionBy(by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(by, "_blk",
+                     F.coalesce(F.sum("_rows").over(wb), F.lit(0)).alias("_r0"),
+                     F.coalesce(F.sum("_bs").over(wb), zero).cast(RUNNING_DEC).alias("_s0"),
+                     F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_n0"))
+    rows = base.join(off, [by, "_blk"])
+    wi = Window.partitionBy(by, "_blk").orderBy(order)
+    wiu = wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (rows.withColumn("_g", F.col("_r0") + F.row_number().over(wi))
+                .withColumn("_s", (F.col("_s0") + F.sum(F.coalesce("_x", zero)).over(wiu))
+                            .cast(RUNNING_DEC))
+                .withColumn("_n", F.col("_n0") + F.count("_x").over(wiu))
+                .drop("_r0", "_s0", "_n0", "_blk"))
+    halo = max(n for n, _ in windows)
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be positive")
+    own = F.floor((F.col("_g") - 1) / chunk_rows).cast("bigint")
+    # chunks whose halo covers this row: the next ceil(halo / chunk_rows) chunks
+    reach = -(-halo // chunk_rows)
+    copies = rows.select("*", F.explode(F.sequence(own, own + reach)).alias("_c"))
+    copies = copies.where((F.col("_c") == own)
+                          | (F.col("_g") > F.col("_c") * chunk_rows - halo))
+    wc = Window.partitionBy(by, "_c").orderBy("_g")
+    out = copies
+    for n, mp in windows:
+        if mp > n:
+            raise ValueError(f"min_periods {mp} exceeds window {n}")
+        prev_s = F.when(F.col("_g") > n, F.lag("_s", n).over(wc)).otherwise(
+            F.lit(0).cast(RUNNING_DEC))
+        prev_n = F.when(F.col("_g") > n, F.lag("_n", n).over(wc)).otherwise(F.lit(0))
+        s_n, c_n = F.col("_s") - prev_s, F.col("_n") - prev_n
+        out = out.withColumn(
+            f"{prefix}{n}",
+            F.when(c_n >= F.lit(max(mp, 1)), F.try_divide(s_n.cast("double"), c_n.cast("double"))))
+    return out.where(F.col("_c") == own).drop("_x", "_g", "_s", "_n", "_c")
+
+
 def rolling_means_frame(df: DataFrame, value: str, windows=ROLLING_WINDOWS, prefix: str = "ma",
                         by: str = "ticker", order: str = "date") -> DataFrame:
     """W2 written with sliding frames; the reference form for tests."""

@@ -267,6 +267,9 @@ ORACLE: dict[str, str] = {
     "rolling_means": f"""{DENSE}
         SELECT ticker, date, {MONEY}, {_ma(50, 25)}, {_ma(200, 100)}, {_ma(365, 182)},
                {_ma(1000, 500)} FROM master""",
+    "rolling_means_chunked": f"""{DENSE}
+        SELECT ticker, date, {MONEY}, {_ma(50, 25)}, {_ma(200, 100)}, {_ma(365, 182)},
+               {_ma(1000, 500)} FROM master""",
     "rolling_average_report": f"""{DENSE},
         m AS (SELECT ticker, date, {MONEY}, {_ma(50, 25)}, {_ma(200, 100)}, {_ma(365, 182)},
                      {_ma(1000, 500)} FROM master)

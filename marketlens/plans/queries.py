@@ -149,6 +149,14 @@ def q_rolling_means(spark, sf):
     return _ma_out(series.rolling_means(m, "converted_close"), series.ROLLING_WINDOWS)
 
 
+def q_rolling_means_chunked(spark, sf):
+    """W2 in the chunked layout on the dense universe, where every ticker
+    holds a third of all rows; small chunks force the halo path."""
+    m = dense_master(spark, sf).select("ticker", "date", "converted_close")
+    return _ma_out(series.rolling_means_chunked(m, "converted_close", chunk_rows=1500),
+                   series.ROLLING_WINDOWS)
+
+
 def q_rolling_average_report(spark, sf):
     return _ma_out(series.rolling_report(dense_master(spark, sf)), series.ROLLING_WINDOWS)
 
@@ -257,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cumulative_returns": q_cumulative_returns,
     "cumulative_returns_wide": q_cumulative_returns_wide,
     "rolling_means": q_rolling_means,
+    "rolling_means_chunked": q_rolling_means_chunked,
     "rolling_average_report": q_rolling_average_report,
     "rolling_means_wide_universe": q_rolling_means_wide_universe,
     "wide_to_long": q_wide_to_long,

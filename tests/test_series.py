@@ -138,3 +138,31 @@ def test_range_presets(spark):
     m6 = series.date_range(df, "6m").count()
     assert 0 < m6 < df.count()
     assert series.date_range(df, "all").count() == df.count()
+
+
+@pytest.mark.parametrize("chunk", [7, 45, 1000])
+def test_chunked_layout_equals_single_window(spark, chunk):
+    df = _frame(spark, _gappy(11, n=260))
+    wins = ((10, 5), (50, 25), (120, 60))
+    a = series.rolling_means(df, "close", wins).toPandas().sort_values(["ticker", "date"])
+    b = series.rolling_means_chunked(df, "close", wins, chunk_rows=chunk).toPandas() \
+        .sort_values(["ticker", "date"])
+    assert len(a) == len(b)
+    for n, _ in wins:
+        np.testing.assert_array_equal(a[f"ma{n}"].to_numpy(), b[f"ma{n}"].to_numpy())
+
+
+def test_chunked_layout_has_no_ticker_only_window(spark):
+    import re
+    df = _frame(spark, _gappy(12, n=60))
+    p = series.rolling_means_chunked(df, "close", ((10, 5),), chunk_rows=20) \
+        ._jdf.queryExecution().executedPlan().toString()
+    specs = re.findall(r"Window \[.*\], \[([^\]]*)\], \[([^\]]*)\]\s*$", p, re.M)
+    assert specs
+    for part, order in specs:
+        keys = [k.split("#")[0] for k in part.split(", ")]
+        if keys == ["ticker"]:
+            # the only ticker-keyed window runs over one row per day
+            assert order.startswith("_blk"), (part, order)
+        else:
+            assert len(keys) == 2, keys
