@@ -38,6 +38,29 @@ def daily_returns(df: DataFrame, price: str = "close", out: str = "daily_return"
     return df.withColumn(out, F.try_divide(F.col("_filled"), prev) - 1.0).drop("_filled")
 
 
+def daily_returns_chunked(df: DataFrame, price: str = "close", out: str = "daily_return",
+                          by: str = "ticker", order: str = "date") -> DataFrame:
+    """W1 for series too long for one task; same result as `daily_returns`.
+
+    The price carried into each (ticker, day) block is the last present
+    price of the earlier blocks, taken from a per-ticker window over one row
+    per day; inside the block a (ticker, day) window pads and lags.
+    """
+    base = df.withColumn("_blk", F.col(order).cast("date"))
+    last_in_blk = base.groupBy(by, "_blk").agg(
+        F.max_by(price, F.when(F.col(price).isNotNull(), F.col(order))).alias("_last"))
+    wd = Window.partitionBy(by).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_blk.select(by, "_blk", F.last("_last", ignorenulls=True).over(wd).alias("_in"))
+    rows = base.join(carry, [by, "_blk"])
+    wi = Window.partitionBy(by, "_blk").orderBy(order)
+    wiu = wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_filled", F.coalesce(F.last(price, ignorenulls=True).over(wiu),
+                                                 F.col("_in")))
+    prev = F.when(F.row_number().over(wi) == 1, F.col("_in")).otherwise(F.lag("_filled", 1).over(wi))
+    return (rows.withColumn(out, F.try_divide(F.col("_filled"), prev) - 1.0)
+                .drop("_blk", "_in", "_filled"))
+
+
 def rolling_means(df: DataFrame, value: str, windows=ROLLING_WINDOWS, prefix: str = "ma",
                   by: str = "ticker", order: str = "date") -> DataFrame:
     """Trailing mean over n rows, NULL until min_periods values are seen.

@@ -245,6 +245,7 @@ ORACLE: dict[str, str] = {
           AND date >= date_trunc('year', (SELECT max(date) FROM master WHERE conv IS NOT NULL))""",
     "volume_series": f"{DENSE} SELECT ticker, date, volume FROM master",
     "daily_returns": f"{RETURNS} SELECT ticker, date, close, daily_return FROM returns",
+    "daily_returns_chunked": f"{RETURNS} SELECT ticker, date, close, daily_return FROM returns",
     "return_histogram": f"""{RETURNS},
         r AS (SELECT * FROM returns WHERE daily_return IS NOT NULL AND NOT isnan(daily_return)),
         rng AS (SELECT min(daily_return) AS lo, max(daily_return) AS hi FROM r),

@@ -121,6 +121,11 @@ def q_daily_returns(spark, sf):
     return df.select("ticker", "date", "close", "daily_return")
 
 
+def q_daily_returns_chunked(spark, sf):
+    df = series.daily_returns_chunked(dense_master(spark, sf).select("ticker", "date", "close"))
+    return df.select("ticker", "date", "close", "daily_return")
+
+
 def q_return_histogram(spark, sf):
     r = series.daily_returns(dense_master(spark, sf).select("ticker", "date", "close"))
     h = series.return_histogram(r)
@@ -261,6 +266,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_range_ytd": q_price_range_ytd,
     "volume_series": q_volume_series,
     "daily_returns": q_daily_returns,
+    "daily_returns_chunked": q_daily_returns_chunked,
     "return_histogram": q_return_histogram,
     "cumulative_returns": q_cumulative_returns,
     "cumulative_returns_wide": q_cumulative_returns_wide,

@@ -166,3 +166,13 @@ def test_chunked_layout_has_no_ticker_only_window(spark):
             assert order.startswith("_blk"), (part, order)
         else:
             assert len(keys) == 2, keys
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_chunked_returns_equal_single_window(spark, seed):
+    df = _frame(spark, _gappy(seed, n=200) + [("Z", "2020-01-01", None), ("Z", "2020-01-02", 5.0),
+                                               ("Z", "2020-01-03", None), ("Z", "2020-01-06", 0.0),
+                                               ("Z", "2020-01-07", 2.0)])
+    a = series.daily_returns(df).toPandas().sort_values(["ticker", "date"])
+    b = series.daily_returns_chunked(df).toPandas().sort_values(["ticker", "date"])
+    np.testing.assert_array_equal(a["daily_return"].to_numpy(), b["daily_return"].to_numpy())
