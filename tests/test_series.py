@@ -176,3 +176,24 @@ def test_chunked_returns_equal_single_window(spark, seed):
     a = series.daily_returns(df).toPandas().sort_values(["ticker", "date"])
     b = series.daily_returns_chunked(df).toPandas().sort_values(["ticker", "date"])
     np.testing.assert_array_equal(a["daily_return"].to_numpy(), b["daily_return"].to_numpy())
+
+
+def test_prefix_sums_equal_frames_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    values = st.lists(st.one_of(st.none(), st.integers(1, 10_000_000).map(lambda c: c / 100)),
+                      min_size=1, max_size=40)
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(values, st.integers(1, 12), st.data())
+    def check(vals, n, data):
+        mp = data.draw(st.integers(1, n))
+        days = weekdays("2021-01-04", len(vals))
+        df = _frame(spark, [("A", x, v) for x, v in zip(days, vals)])
+        a = [r[f"ma{n}"] for r in series.rolling_means(df, "close", ((n, mp),)).orderBy("date").collect()]
+        b = [r[f"ma{n}"] for r in series.rolling_means_frame(df, "close", ((n, mp),))
+             .orderBy("date").collect()]
+        assert a == b
+
+    check()
