@@ -1,6 +1,5 @@
 """G6 (J1, J2, P8, P9, L1, A4), dimensions (G8, G9, J3, A5, P10), quality."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from helpers import bars, currency, fx
