@@ -17,9 +17,11 @@ from ..schemas import BARS, CURRENCY, FX, NEWS_PAYLOAD
 
 
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None):
+    """CSV is read by header name with every column as text (a CSV schema
+    would be applied by position); other formats take the schema."""
     r = spark.read.format(fmt)
     if fmt == "csv":
-        r = r.option("header", "true")
+        return r.option("header", "true").option("inferSchema", "false")
     if schema is not None:
         r = r.schema(schema)
     return r

@@ -83,3 +83,27 @@ def test_read_fx_unions_paths(spark, scratch):
             .withColumn("date", F.to_date("date")).write.parquet(f"{scratch}/fx_{code}")
     out = landing.read_fx(spark, [f"{scratch}/fx_USD", f"{scratch}/fx_EUR"])
     assert sorted(r.from_currency for r in out.collect()) == ["EUR", "USD"]
+
+
+def test_read_bars_csv_by_header_name(spark, scratch):
+    path = f"{scratch}/landing"
+    import os
+    os.makedirs(path)
+    with open(f"{path}/part.csv", "w") as fh:
+        fh.write("Date,Open,High,Low,Close,Volume,Dividends,Stock\n")
+        fh.write("2024-01-08,1,2,0.5,1.5,100,0,IAG.L\n")
+        fh.write("2024-01-09,1,2,0.5,NaN,100,0,IAG.L\n")
+    out = landing.read_bars(spark, path, fmt="csv").orderBy("date").collect()
+    assert [(r.ticker, str(r.date), r.close, r.volume) for r in out] == [
+        ("IAG.L", "2024-01-08", 1.5, 100), ("IAG.L", "2024-01-09", None, 100)]
+
+
+def test_read_fx_csv_by_header_name(spark, scratch):
+    path = f"{scratch}/fx"
+    import os
+    os.makedirs(path)
+    with open(f"{path}/part.csv", "w") as fh:
+        fh.write("Date,Open,Close,Low,High,FromCurrency,ToCurrency\n")
+        fh.write("2024-01-08,0.1,0.11,0.09,0.12,hkd,gbp\n")
+    r = landing.read_fx(spark, [path], fmt="csv").first()
+    assert (r.from_currency, r.to_currency, str(r.date), r.close) == ("HKD", "GBP", "2024-01-08", 0.11)
