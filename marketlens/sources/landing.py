@@ -67,7 +67,7 @@ def name_holders(raw: DataFrame) -> DataFrame:
 def read_financial_statements(spark: SparkSession, path: str | list[str],
                               metrics: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
     """S3: statements (ticker, metric, one column per date) -> one row per date."""
-    return transpose_financials(spark.read.format(fmt).load(path), metrics)
+    return transpose_financials(_reader(spark, fmt, None).load(path), metrics)
 
 
 def read_news(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
@@ -90,7 +90,7 @@ def read_currency(spark: SparkSession, path: str | list[str], fmt: str = "parque
 
 def read_wide_bars(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
     """Bulk file with `<ticker>_<measure>` columns, stacked to long."""
-    wide = spark.read.format(fmt).load(path)
+    wide = _reader(spark, fmt, None).load(path)
     wide = wide.withColumn("date", F.to_date("date"))
     return normalize_bars(wide_to_long(wide))
 

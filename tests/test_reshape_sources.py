@@ -107,3 +107,19 @@ def test_read_fx_csv_by_header_name(spark, scratch):
         fh.write("2024-01-08,0.1,0.11,0.09,0.12,hkd,gbp\n")
     r = landing.read_fx(spark, [path], fmt="csv").first()
     assert (r.from_currency, r.to_currency, str(r.date), r.close) == ("HKD", "GBP", "2024-01-08", 0.11)
+
+
+def test_read_wide_bars_and_statements_csv(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/w")
+    with open(f"{scratch}/w/p.csv", "w") as fh:
+        fh.write("date,A_close,A_open,B_close\n2024-01-08,1.5,1.0,\n2024-01-09,,,2.5\n")
+    out = {(r.ticker, str(r.date)): r.close
+           for r in landing.read_wide_bars(spark, f"{scratch}/w", fmt="csv").collect()}
+    assert out == {("A", "2024-01-08"): 1.5, ("B", "2024-01-09"): 2.5}
+    os.makedirs(f"{scratch}/s")
+    with open(f"{scratch}/s/p.csv", "w") as fh:
+        fh.write("ticker,metric,2023-12-31,2022-12-31\nA,revenue,10,20\n")
+    st = landing.read_financial_statements(spark, f"{scratch}/s", ["revenue"], fmt="csv")
+    assert sorted((str(r.date), r.revenue) for r in st.collect()) == [
+        ("2022-12-31", 20.0), ("2023-12-31", 10.0)]
