@@ -26,7 +26,12 @@ WATERMARK = "7 days"
 
 def bar_stream(spark: SparkSession, landing: str, fmt: str = "parquet",
                watermark: str = WATERMARK) -> DataFrame:
-    """Streaming bars, deduplicated on (ticker, date) within the watermark."""
+    """Streaming bars, deduplicated on (ticker, date) within the watermark.
+
+    Streams need a schema up front and CSV maps it by position, so CSV
+    landing files must carry the BARS column order; parquet and JSON map
+    by name.
+    """
     raw = spark.readStream.schema(BARS).format(fmt).load(landing)
     bars = normalize_bars(raw).withColumn("_ts", F.col("date").cast("timestamp"))
     return (bars.withWatermark("_ts", watermark)
