@@ -48,7 +48,9 @@ def _order_key() -> Column:
 
     A struct key forces a sort-based aggregate; one decimal keeps the hash
     aggregate with its map-side partial combine.  Price is in the key, so rows
-    that tie on it carry the same price.
+    that tie on it carry the same price.  Layout: line numbers take 4 bits
+    (TPC-H uses 1-7) and the price in cents 10 digits; decimal(25,0) leaves
+    room for order keys far beyond 100 TB of lines.
     """
     line = (F.col("l_orderkey") * 16 + F.col("l_linenumber")).cast("decimal(25,0)")
     cents = F.round(F.col("l_extendedprice") * 100).cast("decimal(12,0)")
