@@ -150,6 +150,12 @@ def _holiday_sql() -> str:
             return f"({last} - CAST(((isodow({last}) - 1 - {rule[2]}) % 7 + 7) % 7 AS INTEGER))"
         if kind == "easter":
             return f"(easter + {rule[1]})"
+        if kind == "observed":
+            base = f"make_date(y, {rule[1]}, {rule[2]})"
+            shift = {"near": "CASE isodow({b}) WHEN 6 THEN -1 WHEN 7 THEN 1 END",
+                     "next": "CASE isodow({b}) WHEN 6 THEN 2 WHEN 7 THEN 1 END",
+                     "plus2": "CASE WHEN isodow({b}) >= 6 THEN 2 END"}[rule[3]].format(b=base)
+            return f"({base} + {shift})"
         if kind == "weekday_after":
             base = f"make_date(y, {rule[1]}, {rule[2]})"
             return (f"({base} + CASE isodow({base}) WHEN 5 THEN 3 WHEN 6 THEN 2 "
@@ -161,8 +167,8 @@ def _holiday_sql() -> str:
         for name, rule, since in rules:
             cond = f"WHERE y >= {since}" if since is not None else ""
             nm = name.replace("'", "''")
-            parts.append(f"SELECT '{country}' AS country, {rule_date(rule)} AS date, "
-                         f"'{nm}' AS holiday FROM years_e {cond}")
+            parts.append(f"SELECT * FROM (SELECT '{country}' AS country, {rule_date(rule)} AS date, "
+                         f"'{nm}' AS holiday FROM years_e {cond}) WHERE date IS NOT NULL")
     return "\nUNION ALL ".join(parts)
 
 

@@ -3,7 +3,8 @@
 The `holidays` package is not available, so the calendar is a table we
 author: fixed-date and rule-based public holidays of the three countries the
 forecaster uses.  Lunar-calendar holidays (e.g. Lunar New Year in HK) are not
-generated.  Observed-on-weekday substitutes are not generated either.
+generated.  When a fixed-date US or GB holiday falls on a weekend, its
+observed / substitute weekday is generated as its own entry.
 """
 
 from __future__ import annotations
@@ -18,7 +19,10 @@ MON, THU, FRI = 0, 3, 4
 # ---- fixed values: holiday rules per country ----------------------------------
 # ("fixed", month, day) | ("nth", month, weekday, n) | ("last", month, weekday)
 # | ("easter", offset_days) | ("weekday_after", month, day): the first
-# Monday-to-Friday day after that date; optional first year it exists.
+# Monday-to-Friday day after that date | ("observed", month, day, policy):
+# only when that date is a Saturday or Sunday, moved to - "near": Friday
+# before / Monday after; "next": the Monday after; "plus2": two days later.
+# Optional first year the holiday exists.
 HOLIDAY_RULES = {
     "US": [
         ("New Year's Day", ("fixed", 1, 1), None),
@@ -32,6 +36,11 @@ HOLIDAY_RULES = {
         ("Veterans Day", ("fixed", 11, 11), None),
         ("Thanksgiving", ("nth", 11, THU, 4), None),
         ("Christmas Day", ("fixed", 12, 25), None),
+        ("New Year's Day (observed)", ("observed", 1, 1, "near"), None),
+        ("Juneteenth National Independence Day (observed)", ("observed", 6, 19, "near"), 2021),
+        ("Independence Day (observed)", ("observed", 7, 4, "near"), None),
+        ("Veterans Day (observed)", ("observed", 11, 11, "near"), None),
+        ("Christmas Day (observed)", ("observed", 12, 25, "near"), None),
     ],
     "GB": [
         ("New Year's Day", ("fixed", 1, 1), None),
@@ -42,6 +51,9 @@ HOLIDAY_RULES = {
         ("Late Summer Bank Holiday", ("last", 8, MON), None),
         ("Christmas Day", ("fixed", 12, 25), None),
         ("Boxing Day", ("fixed", 12, 26), None),
+        ("New Year's Day (substitute day)", ("observed", 1, 1, "next"), None),
+        ("Christmas Day (substitute day)", ("observed", 12, 25, "plus2"), None),
+        ("Boxing Day (substitute day)", ("observed", 12, 26, "plus2"), None),
     ],
     "HK": [
         ("The first day of January", ("fixed", 1, 1), None),
@@ -70,6 +82,13 @@ def _rule_date(year: Column, rule: tuple) -> Column:
         return last_weekday(year, rule[1], rule[2])
     if kind == "easter":
         return F.date_add(easter_sunday(year), rule[1])
+    if kind == "observed":
+        base = F.make_date(year, F.lit(rule[1]), F.lit(rule[2]))
+        wd = F.weekday(base)  # Sat = 5, Sun = 6
+        shift = {"near": F.when(wd == 5, -1).when(wd == 6, 1),
+                 "next": F.when(wd == 5, 2).when(wd == 6, 1),
+                 "plus2": F.when(wd >= 5, 2)}[rule[3]]
+        return F.date_add(base, shift)
     if kind == "weekday_after":
         base = F.make_date(year, F.lit(rule[1]), F.lit(rule[2]))
         wd = F.weekday(base)  # Fri -> +3, Sat -> +2, otherwise +1

@@ -84,6 +84,8 @@ def test_holidays_follow_currency(spark):
     assert got[("U", "2018-05-28")] == "Memorial Day"
     assert ("U", "2018-12-26") not in got
     assert got[("H", "2018-12-26")] == "The first weekday after Christmas Day"
+    # 2018-11-11 was a Sunday: observed on Monday 12th (US)
+    assert got[("U", "2018-11-12")] == "Veterans Day (observed)"
 
 
 def test_grid_search_one_row_per_ticker(spark):
