@@ -63,6 +63,7 @@ def test_duplicate_fx_key_reported(spark):
 
 
 def test_three_currencies_every_fx_row_keeps_its_date(spark):
+    # With any number of currencies every FX row keeps its date
     f = fx(spark, [("GBP", "2024-01-08", 1.0), ("HKD", "2024-01-08", 0.1),
                    ("EUR", "2024-01-09", 0.86), ("JPY", "2024-01-09", 0.005)])
     cur = currency(spark, [("A", "gbp"), ("B", "hkd"), ("C", "eur"), ("D", "eur")])
@@ -75,6 +76,7 @@ def test_three_currencies_every_fx_row_keeps_its_date(spark):
 
 
 def test_date_dimension_one_row_per_date(spark):
+    # One row per date, not one per (currency, date)
     f = fx(spark, [("GBP", "2024-03-18", 1.0), ("HKD", "2024-03-18", 0.1)])
     rows = dims.date_dimension(f).collect()
     assert len(rows) == 1

@@ -22,6 +22,7 @@ def test_last_update_per_ticker(spark):
 
 
 def test_overlap_day_not_duplicated_and_rerun_is_noop(spark):
+    # The increment starts at the last stored day; it must not duplicate it
     target = _history(spark)
     incoming = bars(spark, [("A", "2024-01-09", 2.0), ("A", "2024-01-10", 3.0),
                             ("B", "2024-01-08", 5.0), ("C", "2024-01-10", 7.0),
@@ -107,3 +108,18 @@ def test_stream_late_duplicate_is_not_appended(spark, scratch):
     out = spark.read.parquet(target)
     assert out.groupBy("ticker", "date").count().where("count > 1").count() == 0
     assert out.where("ticker = 'A'").count() == 2
+
+
+def test_full_and_incremental_loads_share_one_schema(spark, scratch):
+    # Both paths go through the same normaliser, so schemas are equal
+    from marketlens.api import LandingPaths, MarketETL
+    raw = spark.createDataFrame(
+        [("2024-01-08", "1", "2", "0.5", "1.5", "100", "0", "IAG.L", "extra")],
+        "Date string, Open string, High string, Low string, Close string, Volume string, "
+        "Dividends string, Stock string, Comment string")
+    raw.write.parquet(f"{scratch}/landing")
+    etl = MarketETL(spark, LandingPaths(f"{scratch}/landing", f"{scratch}/cur", []))
+    full = etl.history()
+    inc = incremental.new_bars(full.limit(0), etl.history())
+    assert full.schema == inc.schema
+    assert full.columns == ["ticker", "date", "open", "high", "low", "close", "volume", "dividends"]
