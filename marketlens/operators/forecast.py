@@ -17,10 +17,12 @@ so the output is deterministic.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,10 @@ from ..sources.holidays import country_for_currency, holiday_dimension
 
 EPS = 1e-6
 
+# The grouped-map functions run in Python workers that need not have this
+# package installed: ship this module's code with the closures.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @dataclass(frozen=True)
 class ModelParams:
