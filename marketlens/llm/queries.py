@@ -5,16 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, url_filter
+from . import bpe, decontaminate, line_dedup, sharding, simhash, toxicity, url_filter
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
              ("net/es/", "block"), ("net/fr/", "block")]
 SHARDS = 24
+SHINGLE, RADIUS = 3, 2
+HELD_OUT_OF, HELD_OUT = 4, 2
+TOXIC_FROM = 0.3
+RECURRING_FROM = 20
+
+
+def held_out(row_id: str) -> Column:
+    """Rows whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col(row_id).cast("string")) % HELD_OUT_OF == HELD_OUT, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id"))
+    return toxicity.train(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, "doc_id", "text", SHINGLE, RADIUS)
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per leaking document: its items and the word spans that leak."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, "text", table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    leaks = found.where(F.size("leaks") > 0)
+    return leaks.select("doc_id", F.array_distinct(F.col("leaks.item_id")).alias("item_ids"), "leaks")
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +57,18 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "host", "path", "rule", "verdict", "url_score")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, "text", toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring_lines(docs, "text", RECURRING_FROM)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -40,8 +79,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
+    "op3_decontaminate": op3_decontaminate,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
+    "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL: dict[str, str] = {}
