@@ -30,12 +30,11 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(t), F.xxhash64(t, F.lit(1))]
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder `spark.checkpoint.dir`.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by `spark.checkpoint.dir`, which all executors share.
 
     Only a session on `local[...]` without that setting gets a scratch folder.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,4 +43,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir="/tmp")
         sc.setCheckpointDir(root)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, line_dedup, sharding, simhash, toxicity, url_filter
+from . import bpe, decontaminate, html_extract, line_dedup, sharding, simhash, suffix_dedup, topk, toxicity, url_filter
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,6 +19,7 @@ SHINGLE, RADIUS = 3, 2
 HELD_OUT_OF, HELD_OUT = 4, 2
 TOXIC_FROM = 0.3
 RECURRING_FROM = 20
+QUERY_STEP, TOP, SCALE = 20, 20, 64
 
 
 def held_out(row_id: str) -> Column:
@@ -31,6 +32,14 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     return toxicity.train(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, "doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, "doc_id", "text", SHINGLE, RADIUS)
@@ -44,6 +53,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.select("doc_id", F.array_distinct(F.col("leaks.item_id")).alias("item_ids"), "leaks")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_pages(pages, "html").withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, "vec_id", "embedding", F.col("vec_id") % QUERY_STEP == 0, TOP, SCALE)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.round_trip(docs, "text", VOCABULARY, public_tokenizers.PATTERN)
@@ -79,12 +98,32 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
     "op3_decontaminate": op3_decontaminate,
+    "op4_html_text": op4_html_text,
+    "op5_top_k": op5_top_k,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_top_k": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS whole
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_inner_product(q.whole, c.whole)::BIGINT AS score
+            FROM vectors q JOIN vectors c
+              ON q.vec_id <> c.vec_id AND len(q.whole) = len(c.whole)
+            WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+            FROM scored)
+        SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 20""",
+}
