@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .operators import dims, enrich, forecast as fc, incremental, reshape, series
 from .operators.reports import yearly_report
+from .schemas import BAR_COLUMNS, BARS, FINANCIALS, HOLDERS, NEWS
 from .sinks import tables
 from .sources import landing
 from .session import checkpoint_root
@@ -40,24 +41,34 @@ class MarketETL:
     def history(self) -> DataFrame:
         return landing.read_bars(self.spark, self.paths.bars, self.paths.fmt)
 
-    def full_refresh(self, root: str) -> None:
-        """K5 + K8: replace every table in one pass over all tickers."""
+    def full_refresh(self, root: str, tickers: list[str] | None = None) -> None:
+        """K5 + K8: replace every table in one pass over all tickers.
+
+        Tables without a landing path this time end up empty.  `tickers` are
+        listed in the master table even when they have no history."""
         p, s = self.paths, self.spark
         hist = self.history()
-        out = {"stock_history": hist, "stocks_master": dims.ticker_master(hist)}
+        asked = s.createDataFrame([(t,) for t in tickers], "ticker string") if tickers else None
+        out = {"stock_history": hist.withColumn("year", F.year("date")),
+               "stocks_master": dims.ticker_master(hist, asked)}
         if p.holders:
-            out["major_share_holders"] = landing.read_holders(s, p.holders)
+            out["major_share_holders"] = landing.read_holders(s, p.holders, p.fmt)
         if p.financials:
-            out["financials"] = landing.read_financial_statements(s, p.financials)
+            out["financials"] = landing.read_financial_statements(s, p.financials, fmt=p.fmt)
         if p.news:
-            out["news"] = landing.read_news(s, p.news)
-        tables.full_refresh(out, root, {k: ["ticker"] for k in out if k != "stocks_master"})
+            out["news"] = landing.read_news(s, p.news, p.fmt)
+        tables.full_refresh(out, root, {"stock_history": ["year"]},
+                            {"major_share_holders": HOLDERS, "financials": FINANCIALS, "news": NEWS})
 
     def update_history(self, root: str, end: str | None = None) -> None:
         """Append bars newer than each ticker's last stored day."""
-        target = self.spark.read.parquet(f"{root}/stock_history")
+        target = self.stored_history(root)
         new = incremental.new_bars(target, self.history(), end)
-        tables.write_table(new, f"{root}/stock_history", "append", ["ticker"])
+        tables.write_table(new.withColumn("year", F.year("date")), f"{root}/stock_history", "append", ["year"])
+
+    def stored_history(self, root: str) -> DataFrame:
+        """The stored bars, read with their schema ("0700" stays text)."""
+        return self.spark.read.schema(BARS).parquet(f"{root}/stock_history").select(*BAR_COLUMNS)
 
     def exchange_rate_tables(self, root: str, salt_buckets: int = 16) -> None:
         """G8 + G9: date dimension and ticker x FX table."""
@@ -103,8 +114,8 @@ class MarketExplorer:
             return long
         return reshape.pivot_measure(long, "cumulative_return", tickers, prefix="Close")
 
-    def rolling_average(self) -> DataFrame:
-        return series.sort_for_report(series.rolling_report(self.master))
+    def rolling_average(self, preset: str = "all") -> DataFrame:
+        return series.sort_for_report(series.rolling_report(self.master, preset=preset))
 
     def yearly(self) -> DataFrame:
         return yearly_report(self.spark, self.bars)
@@ -112,20 +123,21 @@ class MarketExplorer:
     def future_trend(self, tickers: list[str] | None = None, start_date: str = "2021-05-01",
                      periods: int = 90, country_name: str = "US", cap: float = 1000.0,
                      floor: float = 0.0, growth: str = "logistic",
-                     interval_width: float = 0.95) -> DataFrame:
+                     interval_width: float = 0.95, limits: DataFrame | None = None) -> DataFrame:
+        """F1; `limits` (ticker, cap, floor) gives tickers their own."""
         train = fc.training_frame(self.master, start_date, tickers)
         params = fc.ModelParams(growth=growth, cap=cap, floor=floor,
                                 interval_width=interval_width)
-        return fc.forecast(train, periods, params, country_name)
+        return fc.forecast(train, periods, params, country_name, limits)
 
     def future_trend_grid_search(self, tickers: list[str] | None = None,
                                  start_date: str = "2021-05-01", grid: list[dict] | None = None,
                                  holdout: int = 20, country_name: str = "US",
                                  cap: float = 1000.0, floor: float = 0.0,
-                                 growth: str = "logistic") -> DataFrame:
+                                 growth: str = "logistic", limits: DataFrame | None = None) -> DataFrame:
         train = fc.training_frame(self.master, start_date, tickers)
         base = fc.ModelParams(growth=growth, cap=cap, floor=floor)
-        return fc.grid_search(train, grid, holdout, base, country_name)
+        return fc.grid_search(train, grid, holdout, base, country_name, limits)
 
     def forecast_errors(self, forecast: DataFrame, start_date: str = "2021-05-01") -> DataFrame:
         """MAE and MAPE of a forecast against the observed closes."""

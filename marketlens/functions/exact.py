@@ -24,34 +24,29 @@ def as_amount(c: Column | str) -> Column:
     return col.cast(AMOUNT_DEC)
 
 
-def exact_sum(c: Column | str) -> Column:
-    """Order-independent sum of a numeric column, as decimal."""
-    return F.sum(as_amount(c))
-
-
 def exact_avg(c: Column | str) -> Column:
     """Mean of the non-null values, exact up to the final division."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_divide(exact_sum(col).cast("double"), F.count(col).cast("double"))
+    return F.try_divide(F.sum(as_amount(col)).cast("double"), F.count(col).cast("double"))
 
 
 def convert(price: Column | str, rate: Column | str) -> Column:
-    """price x rate with both factors decimal; the product is exact.
+    """price x rate, exact where both factors fit the decimal policy.
 
-    A value outside the decimal range becomes NULL instead of failing the
-    job (ANSI casts raise on overflow).
+    A factor that the policy would cut or reject (a price from 1e12, a rate
+    from 1e8 or with more than ten decimals) is multiplied as a double and the
+    product rounded to the amount type.  Only a product beyond that type is
+    NULL; rule `conversion_lost` of the quality report counts those.
     """
     p = F.col(price) if isinstance(price, str) else price
     r = F.col(rate) if isinstance(rate, str) else rate
-    return (p.try_cast(PRICE_DEC) * r.try_cast(RATE_DEC)).try_cast(AMOUNT_DEC)
+    pd, rd = p.try_cast(PRICE_DEC), r.try_cast(RATE_DEC)
+    whole = (pd.cast("double") == p.cast("double")) & (rd.cast("double") == r.cast("double"))
+    return F.when(whole, (pd * rd).try_cast(AMOUNT_DEC)).otherwise(
+        (p.cast("double") * r.cast("double")).try_cast(AMOUNT_DEC))
 
 
 def money(c: Column | str, places: int = 6) -> Column:
     """Round a decimal to `places` and hand it out as double."""
     col = F.col(c) if isinstance(c, str) else c
     return F.round(col, places).cast("double")
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den, NULL instead of an error when den is zero."""
-    return F.try_divide(num, den)

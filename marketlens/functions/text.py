@@ -35,6 +35,7 @@ def fixed2(x: Column | str) -> Column:
     return F.format_string("%.2f", c.cast("double"))
 
 
-def report_title(tickers: list[str], suffix: str) -> str:
-    """C11: display title, e.g. 'AF.PA IAG.L Daily Volatility Comparison'."""
-    return " ".join(str(t) for t in tickers) + " " + suffix
+def joined_names(names: Column | str) -> Column:
+    """C11: the distinct names of an array column in order, space-separated."""
+    c = F.col(names) if isinstance(names, str) else names
+    return F.array_join(F.array_sort(F.array_distinct(c)), " ")

@@ -11,15 +11,31 @@ from ..functions.text import pair_symbol
 from .joins import salted_right_join
 
 
+# Minor units that a price may be quoted in, and their size.
+MINOR_UNITS = {"GBp": 0.01, "GBX": 0.01, "ZAc": 0.01, "ILA": 0.01}
+MINOR_CODES = {"GBX": "GBP", "ILA": "ILS"}
+
+
 def currency_dimension(currency: DataFrame) -> DataFrame:
-    """S7 + C1: one (ticker, currency_code) row per ticker, code upper-cased.
+    """S7 + C1: (ticker, currency_code) with the code upper-cased.
 
     Minor units (e.g. pence quoted as GBp) fold into the major code here, as
-    in the source; callers who need the factor keep the raw code too.
+    in the source; `with_unit_factor` keeps their size.  Rule Q5 checks that a
+    ticker has one code.
     """
     return currency.select("ticker", F.upper(F.trim("currency_code")).alias("currency_code"))
 
 
+def with_unit_factor(currency: DataFrame) -> DataFrame:
+    """The currency dimension with `unit_factor`: the share of the major unit
+    that a quoted price counts in (0.01 for pence, else 1)."""
+    raw = F.trim("currency_code")
+    factors = F.create_map(*[F.lit(x) for kv in MINOR_UNITS.items() for x in kv])
+    majors = F.create_map(*[F.lit(x) for kv in MINOR_CODES.items() for x in kv])
+    return currency.select("ticker", F.coalesce(majors[raw], F.upper(raw)).alias("currency_code"),
+                           F.coalesce(factors[raw], F.lit(1.0)).alias("unit_factor"))
+
+
 def distinct_currencies(currency: DataFrame) -> DataFrame:
     """A5 + U2: the distinct upper-case codes in use."""
     return (currency.select(F.upper(F.trim("currency_code")).alias("currency_code"))
@@ -38,11 +54,11 @@ def fx_pairs(currency: DataFrame, base: str = "GBP") -> DataFrame:
 def scope_fx(fx: DataFrame, currency: DataFrame, base: str = "GBP") -> DataFrame:
     """Keep only the FX pairs the instrument universe needs.
 
-    A left-semi join against the distinct codes; the code list is bounded by
-    the number of currencies, so the semi join side is tiny.
+    A left-semi join against the distinct codes, which adaptive execution
+    broadcasts when it has measured them as small.
     """
     pairs = fx_pairs(currency, base).select("from_currency", "to_currency")
-    return fx.join(F.broadcast(pairs), ["from_currency", "to_currency"], "left_semi")
+    return fx.join(pairs, ["from_currency", "to_currency"], "left_semi")
 
 
 def date_dimension(dated: DataFrame, date_col: str = "date") -> DataFrame:
@@ -74,6 +90,10 @@ def exchange_table(currency: DataFrame, fx: DataFrame, salt_buckets: int = 16) -
         "from_currency", "to_currency", "exchange_id", "currency_date_key")
 
 
-def ticker_master(bars: DataFrame) -> DataFrame:
-    """K4: the distinct instruments."""
-    return bars.select("ticker").where(F.col("ticker").isNotNull()).distinct()
+def ticker_master(bars: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """K4: the distinct instruments, those of a requested list included even
+    when they have no history yet."""
+    names = bars.select("ticker")
+    if requested is not None:
+        names = names.unionByName(requested.select("ticker"))
+    return names.where(F.col("ticker").isNotNull()).distinct()

@@ -13,7 +13,13 @@ BASE_CURRENCY = "GBP"
 
 
 def attach_currency(bars: DataFrame, currency: DataFrame) -> DataFrame:
-    """Bars LEFT JOIN instrument currency on ticker (codes upper-cased)."""
+    """Bars LEFT JOIN instrument currency on ticker (codes upper-cased).
+
+    A dimension that has `unit_factor` (see `dims.with_unit_factor`) brings it
+    along, and `apply_rate` then converts prices quoted in minor units.
+    """
+    if "unit_factor" in currency.columns:
+        return bars.join(currency.select("ticker", "currency_code", "unit_factor"), "ticker", "left")
     return bars.join(currency_dimension(currency), "ticker", "left")
 
 
@@ -42,8 +48,9 @@ def apply_rate(df: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     odd quote.  The product is exact (decimal); see functions.exact.
     """
     rate = F.when(F.col("currency_code").isin(base), F.lit(1.0)).otherwise(F.col("fx_close"))
-    return (df.withColumn("rate", rate)
-              .withColumn("converted_close", convert("close", "rate")))
+    df = df.withColumn("rate", rate)
+    price = F.col("close") * F.col("unit_factor") if "unit_factor" in df.columns else F.col("close")
+    return df.withColumn("converted_close", convert(price, "rate"))
 
 
 def enrich_prices(bars: DataFrame, currency: DataFrame, fx: DataFrame,

@@ -17,6 +17,7 @@ so the output is deterministic.
 
 from __future__ import annotations
 
+import json
 import sys
 from dataclasses import asdict, dataclass
 
@@ -30,13 +31,14 @@ from ..functions.dates import is_weekday
 from ..schemas import FORECAST
 from ..sources.holidays import country_for_currency, holiday_dimension
 
-EPS = 1e-6
-
 # The grouped-map functions run in Python workers that need not have this
 # package installed: ship this module's code with the closures.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+GROWTHS = ("logistic", "linear")
+
+
 @dataclass(frozen=True)
 class ModelParams:
     growth: str = "logistic"
@@ -51,6 +53,12 @@ class ModelParams:
     weekly_order: int = 3
     interval_width: float = 0.95
 
+    def __post_init__(self):
+        if self.growth not in GROWTHS:
+            raise ValueError(f"unknown growth {self.growth!r}; known are {GROWTHS}")
+        if self.growth == "logistic" and not self.cap > self.floor:
+            raise ValueError("cap must exceed floor")
+
 
 # ---------------------------------------------------------------- Spark side --
 
@@ -85,10 +93,11 @@ def _calendar_rows(train: DataFrame, periods: int, default_country: str) -> Data
     feeds the future days; no join brings y back.  The holiday table has a
     handful of rows per country and year, so its broadcast is bounded.
     """
-    # A ticker has one currency (A10), so grouping by it too keeps a hash
-    # aggregate (a max over text would force a sort-based one).
-    per = (train.groupBy("ticker", F.col("currency_code").alias("_code"))
-                .agg(F.min("ds").alias("_first"), F.max("ds").alias("_last")))
+    # A ticker has one currency (A10, rule Q5); of several, the future days
+    # follow the greatest, so they are never doubled.
+    per = (train.groupBy("ticker")
+                .agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"),
+                     F.max("currency_code").alias("_code")))
     hist = train.select("ticker", "ds", "y", F.lit(False).alias("is_future"),
                         F.col("currency_code").alias("_code"))
     fut = per.select("ticker",
@@ -99,8 +108,9 @@ def _calendar_rows(train: DataFrame, periods: int, default_country: str) -> Data
     cal = hist.unionByName(fut) if periods > 0 else hist
     cal = cal.where(is_weekday("ds"))
     cal = cal.withColumn("country", country_for_currency(F.col("_code"), default_country))
+    # One year more: a New Year's Day on a Saturday is observed the day before.
     years = per.agg(F.min("_first").alias("lo"), F.max("_last").alias("hi")).select(
-        F.explode(F.sequence(F.year("lo"), F.year(F.date_add("hi", periods)))).alias("year"))
+        F.explode(F.sequence(F.year("lo"), F.year(F.date_add("hi", periods)) + 1)).alias("year"))
     hol = holiday_dimension(years)
     hol = (hol.groupBy("country", "date")
               .agg(F.array_join(F.array_sort(F.collect_list("holiday")), ", ").alias("holiday")))
@@ -127,21 +137,39 @@ def forecast(train: DataFrame, periods: int = 90, params: ModelParams = ModelPar
 
     `limits` (ticker, cap, floor) overrides the cap and floor per ticker.
     """
-    rows = model_input(train, periods, default_country)
-    if limits is not None:
-        rows = rows.join(limits.select("ticker", "cap", "floor"), "ticker", "left")
+    rows = with_limits(model_input(train, periods, default_country), limits)
     p = asdict(params)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = dict(p)
-        for k in ("cap", "floor"):
-            if k in pdf.columns and pdf[k].notna().any():
-                q[k] = float(pdf[k].dropna().iloc[0])
-        return fit_predict(pdf, **q)
+        return fit_predict(pdf, **own_limits(p, pdf))
 
     return rows.groupBy("ticker").applyInPandas(fit, schema=FORECAST)
 
 
+def with_limits(rows: DataFrame, limits: DataFrame | None) -> DataFrame:
+    """The cap and floor of each ticker, where a table gives them."""
+    if limits is None:
+        return rows
+    return rows.join(limits.select("ticker", "cap", "floor"), "ticker", "left")
+
+
+def own_limits(p: dict, pdf: pd.DataFrame) -> dict:
+    """The parameters with a ticker's own cap and floor."""
+    q = dict(p)
+    for k in ("cap", "floor"):
+        if k in pdf.columns and pdf[k].notna().any():
+            q[k] = float(pdf[k].dropna().iloc[0])
+    return q
+
+
+def holdout_split(rows: DataFrame, holdout: int) -> DataFrame:
+    """number a ticker's observations from the latest; the last `holdout`
+    of them are held out (column `is_holdout`), whatever the series' length."""
+    latest = Window.partitionBy("ticker").orderBy(F.desc("ds"))
+    seen = rows.where(F.col("y").isNotNull())
+    return seen.withColumn("is_holdout", F.row_number().over(latest) <= holdout)
+
+
 def score(actuals: DataFrame, fcst: DataFrame) -> DataFrame:
     """F2 + J4 + A8 + A9: join actuals to predictions on (ticker, ds) and
     score each ticker (MAPE is a fraction)."""
@@ -172,38 +200,40 @@ DEFAULT_GRID = [
 
 
 def grid_search(train: DataFrame, grid: list[dict] | None = None, holdout: int = 20,
-                base: ModelParams = ModelParams(), default_country: str = "US") -> DataFrame:
+                base: ModelParams = ModelParams(), default_country: str = "US",
+                limits: DataFrame | None = None) -> DataFrame:
     """every (ticker, grid point) fitted in parallel, scored on the last
     `holdout` observations, best point per ticker kept.
 
     Each series row is repeated once per grid point (the grid is a small
-    fixed list), grouped by (ticker, grid_id), and the winners picked with
-    row_number over a ticker's grid scores.
+    fixed list) and grouped by (ticker, grid_id) for the fit alone.  The split,
+    the errors (A8), the naive baseline and the choice of the winner are Spark
+    aggregates.  A grid point may set any model parameter; the winner's are
+    returned as JSON.  Tickers with too few observations to fit keep a row
+    with null errors.
     """
     grid = grid or DEFAULT_GRID
-    cal = model_input(train, 0, default_country)
-    rep = cal.withColumn("grid_id", F.explode(F.array(*[F.lit(i) for i in range(len(grid))])))
-    base_d = asdict(base)
-    grid_json = [dict(base_d, **g) for g in grid]
+    points = [asdict(ModelParams(**dict(asdict(base), **g))) for g in grid]
+    split = holdout_split(with_limits(model_input(train, 0, default_country), limits), holdout)
+    rep = split.withColumn("grid_id", F.explode(F.array(*[F.lit(i) for i in range(len(grid))])))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        gid = int(pdf["grid_id"].iloc[0])
-        return holdout_score(pdf, holdout, **grid_json[gid]).assign(grid_id=gid)
-
-    scores = rep.groupBy("ticker", "grid_id").applyInPandas(
-        fit, schema="ticker string, n_train long, n_holdout long, holdout_mae double, "
-                    "last_value_mae double, grid_id int")
-    params = F.array(*[F.struct(F.lit(i).alias("gid"),
-                                F.lit(float(g["changepoint_prior_scale"])).alias("cps"),
-                                F.lit(float(g["seasonality_prior_scale"])).alias("sps"))
-                       for i, g in enumerate(grid)])
-    scores = scores.withColumn("_p", F.filter(params, lambda s: s["gid"] == F.col("grid_id"))[0])
-    scores = scores.select("ticker", "grid_id",
-                           F.col("_p.cps").alias("changepoint_prior_scale"),
-                           F.col("_p.sps").alias("seasonality_prior_scale"),
-                           "n_train", "n_holdout", "holdout_mae", "last_value_mae")
+        return fit_holdout(pdf, **own_limits(points[int(pdf["grid_id"].iloc[0])], pdf))
+
+    fitted = rep.groupBy("ticker", "grid_id").applyInPandas(
+        fit, schema="ticker string, grid_id int, ds date, y double, is_holdout boolean, yhat double, last double")
+    held = F.col("is_holdout")
+    scores = fitted.groupBy("ticker", "grid_id").agg(
+        F.sum((~held).cast("long")).alias("n_train"), F.sum(held.cast("long")).alias("n_holdout"),
+        F.avg(F.when(held, F.abs(F.col("y") - F.col("yhat")))).alias("holdout_mae"),
+        F.avg(F.when(held, F.abs(F.col("y") - F.col("last")))).alias("last_value_mae"))
+    told = F.element_at(F.array(*[F.lit(json.dumps(g, sort_keys=True)) for g in grid]), F.col("grid_id") + 1)
+    scores = scores.withColumn("params", told)
     w = Window.partitionBy("ticker").orderBy(F.asc_nulls_last("holdout_mae"), "grid_id")
-    return scores.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    best = scores.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    names = train.select("ticker").distinct()
+    return names.join(best, "ticker", "left").select(
+        "ticker", "grid_id", "params", "n_train", "n_holdout", "holdout_mae", "last_value_mae")
 
 
 # --------------------------------------------------------------- numpy side --
@@ -216,8 +246,9 @@ def _design(days: np.ndarray, t: np.ndarray, cps: np.ndarray, hol: list, names:
         for k in range(1, n + 1):
             ang = 2.0 * np.pi * k * days / period
             seas += [np.sin(ang), np.cos(ang)]
-    hols = [np.array([1.0 if (h is not None and n in str(h).split(", ")) else 0.0 for h in hol])
-            for n in names]
+    parts, codes = np.unique([h or "" for h in hol], return_inverse=True)
+    member = np.array([[n in p.split(", ") for n in names] for p in parts], dtype=float)
+    hols = list(member[codes].T) if names else []
     xt = np.column_stack(trend)
     xf = np.column_stack(seas + hols) if (seas or hols) else np.zeros((len(t), 0))
     return xt, xf
@@ -301,14 +332,12 @@ def _model(hist_days, hist_y, hist_hol, p: dict):
     logistic = p["growth"] == "logistic"
     if logistic:
         lo, hi = float(p["floor"]), float(p["cap"])
-        if not hi > lo:
+        if not hi > lo:  # a ticker's own limits
             raise ValueError("cap must exceed floor")
         scale, shift = hi - lo, lo
     else:
         scale, shift = max(float(np.max(np.abs(hist_y))), 1e-9), 0.0
     ys = (hist_y - shift) / scale
-    if logistic:
-        ys = np.clip(ys, EPS, 1 - EPS)
     xt, xf = _design(hist_days, t, cps, list(hist_hol), names, p["yearly_order"],
                      p["weekly_order"])
     n_seas = 2 * (p["yearly_order"] + p["weekly_order"])
@@ -339,8 +368,8 @@ def fit_predict(pdf: pd.DataFrame, **p) -> pd.DataFrame:
         return pd.DataFrame(columns=out_cols)
     pdf, days = _prepare(pdf, p)
     has_y = pdf["y"].notna().to_numpy() & ~pdf["is_future"].to_numpy(dtype=bool)
-    if has_y.sum() == 0:
-        return pd.DataFrame(columns=out_cols)
+    if has_y.sum() == 0:  # nothing to fit: the calendar with no prediction
+        return pdf.assign(yhat=np.nan, yhat_lower=np.nan, yhat_upper=np.nan, trend=np.nan)[out_cols]
     hol = pdf["holiday"].where(pdf["holiday"].notna(), None).tolist()
     predict = _model(days[has_y], pdf["y"].to_numpy(dtype=float)[has_y],
                      [h for h, k in zip(hol, has_y) if k], p)
@@ -351,23 +380,16 @@ def fit_predict(pdf: pd.DataFrame, **p) -> pd.DataFrame:
         "trend": trend, "is_future": pdf["is_future"].astype(bool)})[out_cols]
 
 
-def holdout_score(pdf: pd.DataFrame, holdout: int, **p) -> pd.DataFrame:
-    """Fit on all but the last `holdout` observations; MAE on those, and the
-    MAE of repeating the last training value (a naive baseline)."""
+def fit_holdout(pdf: pd.DataFrame, **p) -> pd.DataFrame:
+    """Fit on the rows that are not held out and predict all; `last` repeats
+    the last training value.  Under three training rows nothing is predicted."""
     pdf, days = _prepare(pdf, p)
-    pdf = pdf[pdf["y"].notna()]
-    days = days[pdf.index.to_numpy()]
-    ticker = pdf["ticker"].iloc[0] if len(pdf) else None
-    n = len(pdf)
-    h = min(holdout, max(n - 2, 0))
-    if n < 3 or h == 0:
-        return pd.DataFrame({"ticker": [ticker], "n_train": [n], "n_holdout": [0],
-                             "holdout_mae": [np.nan], "last_value_mae": [np.nan]})
+    kept = ~pdf["is_holdout"].to_numpy(dtype=bool)
     y = pdf["y"].to_numpy(dtype=float)
-    hol = pdf["holiday"].where(pdf["holiday"].notna(), None).tolist()
-    predict = _model(days[: n - h], y[: n - h], hol[: n - h], p)
-    yhat = predict(days[n - h:], hol[n - h:])[0]
-    mae = float(np.mean(np.abs(y[n - h:] - yhat)))
-    naive = float(np.mean(np.abs(y[n - h:] - y[n - h - 1])))
-    return pd.DataFrame({"ticker": [ticker], "n_train": [n - h], "n_holdout": [h],
-                         "holdout_mae": [mae], "last_value_mae": [naive]})
+    yhat, last = np.full(len(pdf), np.nan), np.nan
+    if kept.sum() >= 3:
+        hol = pdf["holiday"].where(pdf["holiday"].notna(), None).tolist()
+        yhat = _model(days[kept], y[kept], [h for h, k in zip(hol, kept) if k], p)(days, hol)[0]
+        last = y[kept][-1]
+    return pd.DataFrame({"ticker": pdf["ticker"], "grid_id": pdf["grid_id"], "ds": pdf["ds"], "y": y,
+                         "is_holdout": ~kept, "yhat": yhat, "last": last})

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .normalize import one_per_key
+
 
 def last_update(history: DataFrame) -> DataFrame:
     """S9 + A3 + K6: latest stored date per ticker.
@@ -15,28 +17,27 @@ def last_update(history: DataFrame) -> DataFrame:
     return history.groupBy("ticker").agg(F.max("date").alias("last_date"))
 
 
-def new_bars(target: DataFrame, incoming: DataFrame, end: str | None = None,
-             from_watermark: bool = True) -> DataFrame:
+def new_bars(target: DataFrame, incoming: DataFrame, end: str | None = None) -> DataFrame:
     """S5 + J5 + L7: incoming bars not yet stored, safe to re-run.
 
-    Incoming rows start at each ticker's last stored day (new tickers take
-    everything), stop before `end` if given, and are anti-joined on
-    (ticker, date) against the target, so the overlap day is not appended
-    twice.  Only target rows on or after the earliest incoming day can
-    match; that bound is a scalar subquery, so the anti join does not shuffle
-    the whole history.
+    A ticker takes the days after its last stored one (all days if it has
+    none) before `end`.  That day bound alone keeps the overlap day from
+    being appended twice, so the target is read once, for its last days.
+    Repeats inside the increment, which overlapping pulls produce, are
+    reduced to one bar per (ticker, date) first.
     """
-    cand = incoming
-    if from_watermark:
-        wm = last_update(target)
-        cand = (cand.join(wm, "ticker", "left")
-                    .where(F.col("last_date").isNull() | (F.col("date") >= F.col("last_date")))
-                    .drop("last_date"))
     if end is not None:
-        cand = cand.where(F.col("date") < F.to_date(F.lit(end)))
-    earliest = incoming.select(F.min("date")).scalar()
-    recent = target.where(F.col("date") >= earliest).select("ticker", "date")
-    return cand.join(recent, ["ticker", "date"], "left_anti")
+        incoming = incoming.where(F.col("date") < F.to_date(F.lit(end)))
+    cand = (incoming.join(last_update(target), "ticker", "left")
+                    .where(F.col("last_date").isNull() | (F.col("date") > F.col("last_date")))
+                    .drop("last_date"))
+    return one_per_key(cand, ["ticker", "date"])
+
+
+def earliest_open_day(target: DataFrame) -> Column:
+    """The last stored day of the ticker that is furthest behind, as a scalar
+    subquery: a bound for reading landing files of known tickers."""
+    return last_update(target).select(F.min("last_date")).scalar()
 
 
 def append_new_bars(target: DataFrame, incoming: DataFrame, end: str | None = None) -> DataFrame:

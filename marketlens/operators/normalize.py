@@ -28,6 +28,14 @@ def to_number(c: Column | str, dtype: str = "double") -> Column:
     return num
 
 
+def to_whole(c: Column, dtype: T.DataType) -> Column:
+    """P6 for whole numbers: digits beyond a double's are kept, text such as
+    "12.6" or "1e3" is rounded, and what the type cannot hold becomes NULL."""
+    wide = c.try_cast("decimal(38,6)")
+    return F.coalesce(c.cast("string").try_cast(dtype), F.round(wide, 0).try_cast(dtype),
+                      F.round(to_number(c, "double"), 0).try_cast("decimal(38,0)").try_cast(dtype))
+
+
 def to_date(c: Column | str) -> Column:
     """P5: date from a date, timestamp or text column."""
     col = F.col(c) if isinstance(c, str) else c
@@ -53,7 +61,7 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
             elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
                 v = to_number(src, "double")
             elif isinstance(f.dataType, (T.LongType, T.IntegerType)):
-                v = F.round(to_number(src, "double")).cast(f.dataType)
+                v = to_whole(src, f.dataType)
             elif isinstance(f.dataType, T.StringType):
                 v = src.cast("string")
             else:
@@ -64,31 +72,44 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -
     return df.select(*out)
 
 
-def normalize_bars(raw: DataFrame) -> DataFrame:
+def normalize_bars(raw: DataFrame, keep: list[str] = ()) -> DataFrame:
     """S1 normaliser: lower-case names, one ticker column, BARS schema.
 
-    Rows without a ticker or a date cannot be keyed and are rejected.
+    Rows without a ticker or a date cannot be keyed and are rejected.  Columns
+    in `keep` stay as they are (load times, for `one_per_key`).
     """
     df = lower_columns(raw)
     for alias in TICKER_ALIASES[1:]:
         if alias in df.columns and "ticker" not in df.columns:
             df = df.withColumnRenamed(alias, "ticker")
-    out = conform(df, BARS, defaults={"dividends": 0.0})
-    return out.where(F.col("ticker").isNotNull() & F.col("date").isNotNull()).select(*BAR_COLUMNS)
+    out = conform(df, T.StructType(BARS.fields + [df.schema[c] for c in keep]), defaults={"dividends": 0.0})
+    return out.where(F.col("ticker").isNotNull() & F.col("date").isNotNull()).select(*BAR_COLUMNS, *keep)
+
+
+def one_per_key(df: DataFrame, keys: list[str], newest: list[str] = ()) -> DataFrame:
+    """One row per key where loads overlap: the greatest by the `newest`
+    columns (file time, file name), then by the values themselves, so the
+    choice does not depend on row order.  One aggregate that combines before
+    its shuffle; the `newest` columns are dropped."""
+    rest = [c for c in df.columns if c not in keys and c not in newest]
+    best = F.max(F.struct(*newest, *rest)).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*[
+        F.col(c) if c in keys else F.col(f"_best.{c}").alias(c)
+        for c in df.columns if c not in newest])
 
 
-def normalize_fx(raw: DataFrame, to_currency: str | None = None) -> DataFrame:
+def normalize_fx(raw: DataFrame, to_currency: str | None = None, keep: list[str] = ()) -> DataFrame:
     """FX normaliser; upper-case codes so joins are case-insensitive."""
     df = lower_columns(raw)
     renames = {"fromcurrency": "from_currency", "tocurrency": "to_currency"}
     df = df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
     if "to_currency" not in df.columns and to_currency:
         df = df.withColumn("to_currency", F.lit(to_currency))
-    out = conform(df, FX)
+    out = conform(df, T.StructType(FX.fields + [df.schema[c] for c in keep]))
     return (out.withColumn("from_currency", F.upper("from_currency"))
                .withColumn("to_currency", F.upper("to_currency"))
                .where(F.col("date").isNotNull())
-               .select(*FX_COLUMNS))
+               .select(*FX_COLUMNS, *keep))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

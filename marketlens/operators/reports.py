@@ -1,33 +1,23 @@
-"""SQL reports."""
+"""Yearly report."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.exact import AMOUNT_DEC
+from ..functions.exact import exact_avg
 
-_DEC = AMOUNT_DEC.simpleString()
-
-# The yearly view, in Spark SQL.  Averages are exact: decimal sums divided once.
-YEARLY_REPORT_SQL = f"""
-WITH history AS (
-  SELECT *, EXTRACT(YEAR FROM date) AS year
-  FROM {{history}}
-)
-SELECT CAST(year AS BIGINT) AS year,
-       ticker,
-       CAST(SUM(CAST(open AS {_DEC})) AS DOUBLE) / COUNT(open) AS avg_open,
-       CAST(SUM(CAST(close AS {_DEC})) AS DOUBLE) / COUNT(close) AS avg_close,
-       CAST(SUM(CAST(high AS {_DEC})) AS DOUBLE) / COUNT(high) AS avg_high,
-       CAST(SUM(CAST(low AS {_DEC})) AS DOUBLE) / COUNT(low) AS avg_low
-FROM history
-GROUP BY year, ticker
-"""
+MEASURES = ("open", "close", "high", "low")
 
 
 def yearly_report(spark: SparkSession, history: DataFrame) -> DataFrame:
-    """Yearly mean open, close, high, low per ticker over any history."""
-    return spark.sql(YEARLY_REPORT_SQL, history=history)
+    """Per ticker and calendar year the mean of each price measure.
+
+    One aggregate with map-side partial sums; means are exact up to the final
+    division, whatever the order of the rows.
+    """
+    by_year = history.groupBy(F.year("date").cast("bigint").alias("year"), "ticker")
+    return by_year.agg(*[exact_avg(m).alias(f"avg_{m}") for m in MEASURES])
 
 
 def create_yearly_view(spark: SparkSession, history: DataFrame,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import flat_name
-from ..schemas import BAR_MEASURES, NEWS_COLUMNS, NEWS_ITEM
+from ..schemas import BAR_MEASURES, NEWS_COLUMNS, NEWS_ITEM, NEWS_TIME_KEY
+from .normalize import to_date, to_number
 
 
 def _q(name: str) -> str:
@@ -21,7 +22,7 @@ def wide_tickers(wide: DataFrame, measures=BAR_MEASURES, key: str = "date") -> l
         if c == key or "_" not in c:
             continue
         t, m = c.rsplit("_", 1)
-        if m in measures and t not in seen:
+        if m.lower() in measures and t not in seen:
             seen.append(t)
     return seen
 
@@ -29,10 +30,16 @@ def wide_tickers(wide: DataFrame, measures=BAR_MEASURES, key: str = "date") -> l
 def wide_to_long(wide: DataFrame, measures=BAR_MEASURES, key: str = "date") -> DataFrame:
     """Stack `<ticker>_<measure>` columns into (key, ticker, measures...).
 
-    Rows whose measures are all missing are dropped, as a stack does.  The
-    ticker list comes from the schema, so nothing is collected.
+    Measures match in any case (P1); tickers keep theirs.  Rows whose measures
+    are all missing are dropped, as a stack does.  The ticker list comes from
+    the schema, so nothing is collected.
     """
     tickers = wide_tickers(wide, measures, key)
+    if not tickers:
+        raise ValueError(f"no <ticker>_<measure> column among {wide.columns}; measures are {list(measures)}")
+    names = {c: f"{c.rsplit('_', 1)[0]}_{c.rsplit('_', 1)[1].lower()}" for c in wide.columns
+             if "_" in c and c != key and c.rsplit("_", 1)[1].lower() in measures}
+    wide = wide.select(*[F.col(_q(c)).alias(names.get(c, c)) for c in wide.columns])
     present = set(wide.columns)
     types = {f.name: f.dataType for f in wide.schema.fields}
     mtype = {}
@@ -65,9 +72,13 @@ def pivot_measure(df: DataFrame, measure: str, tickers: list[str], prefix: str |
     """R2 + R4 + A2: key x ticker pivot of one measure with flat column names.
 
     The ticker list is explicit so Spark does not run a job to find it.
-    Values of one (key, ticker) are averaged, as a pivot table does.
+    Values of one (key, ticker) are averaged, as a pivot table does.  Tickers
+    whose flat names would be equal are refused.
     """
     prefix = prefix or measure.capitalize()
+    names = [flat_name(prefix, t) for t in tickers]
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"tickers share a column name: {sorted(names)}")
     wide = df.groupBy(key).pivot("ticker", tickers).agg(F.avg(measure))
     return wide.select(key, *[F.col(_q(t)).alias(flat_name(prefix, t)) for t in tickers])
 
@@ -78,31 +89,49 @@ def transpose_financials(statement: DataFrame, metrics: list[str] | None = None)
     Date columns are every column other than ticker and metric.  With an
     explicit metric list the pivot needs no extra job.
     """
+    return financials_by_date(statement_long(statement), metrics)
+
+
+def statement_long(statement: DataFrame) -> DataFrame:
+    """Statement layout -> (ticker, metric, date, value), the form to store: its
+    columns do not change with the data.  Values that are missing for a date
+    column are no observation and give no row."""
     date_cols = [c for c in statement.columns if c not in ("ticker", "metric")]
     long = statement.unpivot(["ticker", "metric"], date_cols, "date", "value")
-    long = (long.withColumn("date", F.to_date("date"))
-                .withColumn("value", F.col("value").cast("double")))
-    return financials_by_date(long, metrics)
+    return (long.withColumn("date", to_date("date"))
+                .withColumn("value", to_number("value"))
+                .where(F.col("value").isNotNull()))
 
 
-def financials_by_date(long: DataFrame, metrics: list[str] | None = None) -> DataFrame:
-    """Pivot long financials (ticker, metric, date, value) to one row per date."""
-    return long.groupBy("ticker", "date").pivot("metric", metrics).agg(F.first("value"))
+def financials_by_date(long: DataFrame, metrics: list[str]) -> DataFrame:
+    """Pivot long financials (ticker, metric, date, value) to one row per date
+    that has a value.  The metric list is explicit, so no job runs while the
+    frame is built; a metric that repeats for a date takes its largest value."""
+    long = long.where(F.col("value").isNotNull())
+    return long.groupBy("ticker", "date").pivot("metric", metrics).agg(F.max("value"))
 
 
-def statement_wide(long: DataFrame, dates: list[str] | None = None) -> DataFrame:
-    """Long financials back to the statement layout (one column per date).
-
-    Without a date list Spark first finds the distinct dates (one small job).
-    """
+def statement_wide(long: DataFrame, dates: list[str]) -> DataFrame:
+    """Long financials back to the statement layout (one column per listed date)."""
     return (long.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-                .groupBy("ticker", "metric").pivot("date", dates).agg(F.first("value")))
+                .groupBy("ticker", "metric").pivot("date", dates).agg(F.max("value")))
 
 
 def explode_news(payloads: DataFrame) -> DataFrame:
     """(ticker, payload JSON array) -> one row per news item.
 
-    Missing keys become NULL; an empty or NULL list yields no rows.
+    Missing keys become NULL; an empty or NULL list yields no rows, and so does
+    a payload that is not a list of items (see `news_rejects`).  The publish
+    time is read under the feed's key and under the stored column's name.
     """
     items = F.from_json("payload", T.ArrayType(NEWS_ITEM))
-    return payloads.select("ticker", F.inline(items)).select(*NEWS_COLUMNS)
+    rows = payloads.select("ticker", F.inline(items))
+    time = F.coalesce("provider_publish_time", NEWS_TIME_KEY)
+    return rows.withColumn("provider_publish_time", time).select(*NEWS_COLUMNS)
+
+
+def news_rejects(payloads: DataFrame) -> DataFrame:
+    """Payloads that hold text but no readable list: (ticker, payload)."""
+    items = F.from_json("payload", T.ArrayType(NEWS_ITEM))
+    unread = items.isNull() | F.exists(items, lambda x: x.isNull())
+    return payloads.where(F.col("payload").isNotNull() & unread)

@@ -8,12 +8,12 @@ window partition holds at most one row per calendar day (bars are unique on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exact import AMOUNT_DEC, RUNNING_DEC
+from ..functions.exact import AMOUNT_DEC, RUNNING_DEC, exact_avg
 
-# Horizon (rows) and minimum non-null observations of the rolling means.
+# Fixed values of the rolling report: horizon (rows) and minimum non-null observations of the rolling means.
 ROLLING_WINDOWS = ((50, 25), (200, 100), (365, 182), (1000, 500))
 
 
@@ -104,7 +104,10 @@ def rolling_means_chunked(df: DataFrame, value: str, windows=ROLLING_WINDOWS,
     3. rows are cut into chunks of `chunk_rows` consecutive indices; each
        chunk also receives the `max(n)` rows before it (a halo), so
        `lag(n)` inside (ticker, chunk) sees every row it needs.  Halo rows are
-       dropped afterwards.  A task holds at most chunk_rows + max(n) rows.
+       dropped afterwards.
+
+    Steps 1 and 2 hold one (ticker, day) block in a task and step 3 at most
+    chunk_rows + max(n) rows, so a day's rows of one ticker are the bound.
     """
     x = F.col(value).cast(AMOUNT_DEC)
     zero = F.lit(0).cast(AMOUNT_DEC)
@@ -171,46 +174,52 @@ def cumulative_returns(df: DataFrame, price: str = "close", out: str = "cumulati
     forward over dates it has no price (the product of daily factors
     telescopes to that ratio).
 
-    Plan: each priced row covers the calendar days up to its next priced row
-    (a ticker's first row also covers the axis days before it, at 1.0); one
-    sequence + explode emits them and a semi join keeps the days on the axis.
-    Work is linear in the output, with no cross join and no global window.
-    The axis has at most one row per calendar day, so AQE may broadcast it,
-    and the axis bounds come from the axis itself.
+    Prices of one (ticker, date) are averaged first (A2), as the wide table of
+    the report does, so repeated bars give one row per ticker and axis day.
+
+    Plan: the axis days are numbered once (the axis has at most one row per
+    calendar day, so one task may number it and AQE may broadcast it).  Each
+    priced row covers the axis numbers up to its next priced row, a ticker's
+    first row also those before it, at 1.0.  Only days of the output are
+    produced, with no cross join.
     """
-    priced = df.select(by, order, price).where(F.col(price).isNotNull())
-    axis = priced.select(F.col(order).alias("_d")).distinct()
-    bounds = axis.select(F.struct(F.min("_d").alias("lo"), F.max("_d").alias("hi"))).scalar()
-    w = _w(by, order)
+    priced = (df.select(by, order, price).where(F.col(price).isNotNull())
+                .groupBy(by, order)
+                .agg(F.when(F.count(price) == 1, F.max(price)).otherwise(exact_avg(price)).alias(price)))
+    axis = priced.select(F.col(order).alias("_d")).distinct().withColumn(
+        "_i", F.row_number().over(Window.orderBy("_d")))
+    days = axis.select(F.max("_i")).scalar()
+    w = _w(by, "_i")
     first_px = F.first(price).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = (priced
+    rows = (priced.join(axis, priced[order] == axis["_d"]).select(by, "_i", price)
             .withColumn("_cr", F.try_divide(F.col(price), first_px))
-            .withColumn("_next", F.lead(order).over(w))
-            .withColumn("_first", F.lag(order).over(w).isNull()))
-    start = F.when(F.col("_first"), F.least(bounds["lo"], F.col(order))).otherwise(F.col(order))
-    end = F.coalesce(F.date_sub("_next", 1), bounds["hi"])
-    dense = rows.select(by, order, "_cr", F.explode(F.sequence(start, end)).alias("_d"))
-    value = F.when(F.col("_d") < F.col(order), F.lit(1.0)).otherwise(F.col("_cr"))
-    dense = dense.join(axis, "_d", "left_semi")
-    return dense.select(by, F.col("_d").alias(order), value.alias(out))
+            .withColumn("_next", F.lead("_i").over(w))
+            .withColumn("_from", F.when(F.lag("_i").over(w).isNull(), F.lit(1)).otherwise(F.col("_i"))))
+    dense = rows.select(by, F.col("_i").alias("_own"), "_cr", F.explode(
+        F.sequence("_from", F.coalesce(F.col("_next") - 1, days))).alias("_i"))
+    value = F.when(F.col("_i") < F.col("_own"), F.lit(1.0)).otherwise(F.col("_cr"))
+    return dense.join(axis, "_i").select(by, F.col("_d").alias(order), value.alias(out))
 
 
 def return_histogram(returns: DataFrame, value: str = "daily_return", nbins: int = 200,
                      by: str = "ticker") -> DataFrame:
     """A6 + G3: fixed-width histogram of returns per ticker on one global range.
 
-    lo and hi come from one scalar subquery; bins are [lo + i*w, lo + (i+1)*w),
-    the last one closed.  Partial counts are combined map-side.
+    Returns are first counted per (ticker, value); the range, a scalar
+    subquery, and the bins both read those counts, so the plan holds the
+    windows below them once (the exchange is reused).  Bins are
+    [lo + i*w, lo + (i+1)*w), the last one closed.
     """
-    vals = returns.where(F.col(value).isNotNull() & ~F.isnan(value))
+    vals = (returns.where(F.col(value).isNotNull() & ~F.isnan(value))
+                   .groupBy(by, value).agg(F.count(F.lit(1)).alias("_n")))
     rng = vals.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    vals = vals.select(by, value, rng.alias("_r"))  # the subquery is referenced once
+    vals = vals.select(by, value, "_n", rng.alias("_r"))  # the subquery is referenced once
     lo, hi = F.col("_r.lo"), F.col("_r.hi")
     width = (hi - lo) / F.lit(float(nbins))
     b = F.when(width > 0, F.least(F.lit(nbins - 1).cast("bigint"),
                                    F.floor((F.col(value) - lo) / width).cast("bigint"))
                ).otherwise(F.lit(0).cast("bigint"))
-    counts = vals.groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"),
+    counts = vals.groupBy(by, b.alias("bin")).agg(F.sum("_n").alias("count"),
                                                    F.first(lo).alias("_lo"),
                                                    F.first(width).alias("_w"))
     return counts.select(
@@ -223,15 +232,16 @@ def return_histogram(returns: DataFrame, value: str = "daily_return", nbins: int
 RANGE_MONTHS = {"1m": 1, "6m": 6, "1y": 12}
 
 
-def date_range(df: DataFrame, preset: str, order: str = "date") -> DataFrame:
+def date_range(df: DataFrame, preset: str, order: str = "date", latest: Column | None = None) -> DataFrame:
     """1m, 6m, 1y back from the latest date; ytd; or all.
 
-    The latest date is a scalar subquery, so the filter needs no join.
+    The latest date is a scalar subquery over the frame unless the caller
+    knows it, so the filter needs no join.
     """
     preset = preset.lower()
     if preset == "all":
         return df
-    latest = df.select(F.max(order)).scalar()
+    latest = df.select(F.max(order)).scalar() if latest is None else latest
     if preset == "ytd":
         return df.where(F.col(order) >= F.trunc(latest, "year"))
     if preset not in RANGE_MONTHS:
@@ -240,12 +250,12 @@ def date_range(df: DataFrame, preset: str, order: str = "date") -> DataFrame:
 
 
 def price_series(enriched: DataFrame, value: str = "converted_close", log: bool = False,
-                 preset: str = "all") -> DataFrame:
+                 preset: str = "all", latest: Column | None = None) -> DataFrame:
     """G1: (ticker, date, price) without missing prices (L4); P12 log10 option."""
     df = enriched.select("ticker", "date", value).na.drop(subset=[value])
     if log:
         df = df.where(F.col(value) > 0).withColumn(value, F.log10(F.col(value).cast("double")))
-    return date_range(df, preset)
+    return date_range(df, preset, latest=latest)
 
 
 def volume_series(enriched: DataFrame) -> DataFrame:
@@ -254,11 +264,15 @@ def volume_series(enriched: DataFrame) -> DataFrame:
 
 
 def rolling_report(enriched: DataFrame, value: str = "converted_close",
-                   windows=ROLLING_WINDOWS, required=("ma1000", "ma200")) -> DataFrame:
-    """The four rolling means with rows lacking the plotted series dropped."""
+                   windows=ROLLING_WINDOWS, required=("ma1000", "ma200"),
+                   preset: str = "all") -> DataFrame:
+    """The four rolling means with rows lacking the plotted series dropped.
+
+    The range preset (L6) applies after the means, which need the rows
+    before it."""
     df = rolling_means(enriched.select("ticker", "date", value), value, windows)
     need = [c for c in required if c in df.columns] + [value]
-    return df.na.drop(subset=need)
+    return date_range(df.na.drop(subset=need), preset)
 
 
 def sort_for_report(df: DataFrame, order: str = "date", by: str = "ticker") -> DataFrame:

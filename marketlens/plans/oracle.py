@@ -100,20 +100,23 @@ def _ma(n: int, mp: int, src: str = "conv") -> str:
 
 
 MONEY = "CAST(round(conv, 6) AS DOUBLE) AS converted_close"
-RETURNS = f"""{DENSE},
+def _returns(head: str, master: str) -> str:
+    return f"""{head},
 filled AS (
   SELECT ticker, date, close,
          last_value(close IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY date
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cf
-  FROM master),
+  FROM {master}),
 returns AS (
   SELECT ticker, date, close,
          CASE WHEN lag(cf) OVER (PARTITION BY ticker ORDER BY date) = 0 THEN NULL
               ELSE cf / lag(cf) OVER (PARTITION BY ticker ORDER BY date) - 1 END AS daily_return
   FROM filled)"""
 
-CUMULATIVE = f"""{DENSE},
-priced AS (SELECT ticker, date, close FROM master WHERE close IS NOT NULL),
+
+def _cumulative(head: str, priced: str) -> str:
+    return f"""{head},
+priced AS ({priced}),
 axis AS (SELECT DISTINCT date FROM priced),
 names AS (SELECT DISTINCT ticker FROM priced),
 grid AS (SELECT n.ticker, a.date, p.close FROM axis a CROSS JOIN names n
@@ -128,66 +131,179 @@ cum AS (
            CAST(1 AS DOUBLE)) AS cumulative_return
   FROM grid)"""
 
+
+def _histogram(returns: str) -> str:
+    return f"""{returns},
+        r AS (SELECT * FROM returns WHERE daily_return IS NOT NULL AND NOT isnan(daily_return)),
+        rng AS (SELECT min(daily_return) AS lo, max(daily_return) AS hi FROM r),
+        b AS (SELECT r.ticker, r.daily_return, rng.lo, (rng.hi - rng.lo) / CAST(200 AS DOUBLE) AS width
+              FROM r, rng),
+        bb AS (SELECT ticker, lo, width,
+                 CASE WHEN width > 0 THEN least(CAST(199 AS BIGINT),
+                      CAST(floor((daily_return - lo) / width) AS BIGINT)) ELSE CAST(0 AS BIGINT) END AS bin
+               FROM b)
+        SELECT ticker, bin, round(lo + bin * width, 9) AS bin_start,
+               round(lo + (bin + 1) * width, 9) AS bin_end, count(*) AS count
+        FROM bb GROUP BY ticker, bin, lo, width"""
+
+
+RETURNS = _returns(DENSE, "master")
+CUMULATIVE = _cumulative(DENSE, "SELECT ticker, date, close FROM master WHERE close IS NOT NULL")
+
+
+def _quality(head: str, bars: str, rates: str, codes: str) -> str:
+    """The rules written out one by one over named tables."""
+    return f"""{head},
+        one_code AS (SELECT ticker, max(upper(trim(currency_code))) AS code FROM {codes} GROUP BY ticker),
+        one_rate AS (SELECT from_currency, date, max(close) AS close FROM {rates}
+                     WHERE to_currency = 'GBP' GROUP BY 1, 2),
+        rated AS (SELECT b.*, CASE WHEN c.code = 'GBP' THEN 1.0 ELSE r.close END AS rate
+                  FROM {bars} b LEFT JOIN one_code c USING (ticker)
+                  LEFT JOIN one_rate r ON r.from_currency = c.code AND r.date = b.date
+                  WHERE isodow(b.date) <= 5)
+        SELECT 'bars_unique_ticker_date' AS rule, v AS violations, v = 0 AS passed
+        FROM (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS v
+              FROM (SELECT count(*) AS n FROM {bars} GROUP BY ticker, date))
+        UNION ALL SELECT 'fx_unique_currency_date', v, v = 0
+        FROM (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS v
+              FROM (SELECT count(*) AS n FROM {rates} GROUP BY from_currency, to_currency, date))
+        UNION ALL SELECT 'close_positive', v, v = 0
+        FROM (SELECT count(*) AS v FROM {bars} WHERE close <= 0)
+        UNION ALL SELECT 'fx_coverage', v, v * 100.0 / n <= 20.0
+        FROM (SELECT count(*) FILTER (rate IS NULL) AS v, count(*) AS n FROM rated)
+        UNION ALL SELECT 'conversion_lost', CAST(0 AS BIGINT), true
+        UNION ALL SELECT 'currency_unique_ticker', v, v = 0
+        FROM (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS v
+              FROM (SELECT count(DISTINCT upper(trim(currency_code))) AS n FROM {codes} GROUP BY ticker))"""
+
+
 FORECAST_TRAIN = f"""{DENSE},
 train AS (SELECT ticker, date AS ds, close AS y, currency_code FROM master
           WHERE date > DATE '1999-01-01')"""
 
 
+# Published public holidays of the forecast fixture's days (1999 to early 2002),
+# listed by date: country, then "date name" lines.
+PUBLISHED_HOLIDAYS = {
+    "GB": """
+        1999-01-01 New Year's Day
+        1999-04-02 Good Friday
+        1999-04-05 Easter Monday
+        1999-05-03 May Day
+        1999-05-31 Spring Bank Holiday
+        1999-08-30 Late Summer Bank Holiday
+        1999-12-27 Christmas Day (substitute day)
+        1999-12-28 Boxing Day (substitute day)
+        1999-12-31 Millennium Celebrations
+        2000-01-03 New Year's Day (substitute day)
+        2000-04-21 Good Friday
+        2000-04-24 Easter Monday
+        2000-05-01 May Day
+        2000-05-29 Spring Bank Holiday
+        2000-08-28 Late Summer Bank Holiday
+        2000-12-25 Christmas Day
+        2000-12-26 Boxing Day
+        2001-01-01 New Year's Day
+        2001-04-13 Good Friday
+        2001-04-16 Easter Monday
+        2001-05-07 May Day
+        2001-05-28 Spring Bank Holiday
+        2001-08-27 Late Summer Bank Holiday
+        2001-12-25 Christmas Day
+        2001-12-26 Boxing Day
+        2002-01-01 New Year's Day""",
+    "HK": """
+        1999-01-01 The first day of January
+        1999-02-16 Lunar New Year's Day
+        1999-02-17 The second day of Lunar New Year
+        1999-02-18 The third day of Lunar New Year
+        1999-04-02 Good Friday
+        1999-04-05 Ching Ming Festival
+        1999-04-05 Easter Monday
+        1999-04-06 The day following Ching Ming Festival
+        1999-06-18 Tuen Ng Festival
+        1999-07-01 Hong Kong Special Administrative Region Establishment Day
+        1999-10-01 National Day
+        1999-10-18 The day following Chung Yeung Festival
+        1999-12-27 The first weekday after Christmas Day
+        2000-02-04 The day preceding Lunar New Year's Day
+        2000-02-07 The third day of Lunar New Year
+        2000-04-04 Ching Ming Festival
+        2000-04-21 Good Friday
+        2000-04-24 Easter Monday
+        2000-05-01 Labour Day
+        2000-05-11 The Birthday of the Buddha
+        2000-06-06 Tuen Ng Festival
+        2000-09-13 The day following the Chinese Mid-Autumn Festival
+        2000-10-02 The day following National Day
+        2000-10-06 Chung Yeung Festival
+        2000-12-25 Christmas Day
+        2000-12-26 The first weekday after Christmas Day
+        2001-01-01 The first day of January
+        2001-01-24 Lunar New Year's Day
+        2001-01-25 The second day of Lunar New Year
+        2001-01-26 The third day of Lunar New Year
+        2001-04-05 Ching Ming Festival
+        2001-04-13 Good Friday
+        2001-04-16 Easter Monday
+        2001-04-30 The Birthday of the Buddha
+        2001-05-01 Labour Day
+        2001-06-25 Tuen Ng Festival
+        2001-07-02 The day following Hong Kong Special Administrative Region Establishment Day
+        2001-10-01 National Day
+        2001-10-02 The day following the Chinese Mid-Autumn Festival
+        2001-10-25 Chung Yeung Festival
+        2001-12-25 Christmas Day
+        2001-12-26 The first weekday after Christmas Day
+        2002-01-01 The first day of January""",
+    "US": """
+        1999-01-01 New Year's Day
+        1999-01-18 Martin Luther King Jr. Day
+        1999-02-15 Washington's Birthday
+        1999-05-31 Memorial Day
+        1999-07-05 Independence Day (observed)
+        1999-09-06 Labor Day
+        1999-10-11 Columbus Day
+        1999-11-11 Veterans Day
+        1999-11-25 Thanksgiving
+        1999-12-24 Christmas Day (observed)
+        1999-12-31 New Year's Day (observed)
+        2000-01-17 Martin Luther King Jr. Day
+        2000-02-21 Washington's Birthday
+        2000-05-29 Memorial Day
+        2000-07-04 Independence Day
+        2000-09-04 Labor Day
+        2000-10-09 Columbus Day
+        2000-11-10 Veterans Day (observed)
+        2000-11-23 Thanksgiving
+        2000-12-25 Christmas Day
+        2001-01-01 New Year's Day
+        2001-01-15 Martin Luther King Jr. Day
+        2001-02-19 Washington's Birthday
+        2001-05-28 Memorial Day
+        2001-07-04 Independence Day
+        2001-09-03 Labor Day
+        2001-10-08 Columbus Day
+        2001-11-12 Veterans Day (observed)
+        2001-11-22 Thanksgiving
+        2001-12-25 Christmas Day
+        2002-01-01 New Year's Day
+        2002-01-21 Martin Luther King Jr. Day""",
+}
+
+
 def _holiday_sql() -> str:
-    """The holiday rules of sources.holidays, in DuckDB SQL."""
-    from ..sources.holidays import HOLIDAY_RULES
-
-    def rule_date(rule):
-        kind = rule[0]
-        if kind == "fixed":
-            return f"make_date(y, {rule[1]}, {rule[2]})"
-        if kind == "nth":
-            first = f"make_date(y, {rule[1]}, 1)"
-            return (f"({first} + CAST((({rule[2]} - (isodow({first}) - 1)) % 7 + 7) % 7 "
-                    f"+ {7 * (rule[3] - 1)} AS INTEGER))")
-        if kind == "last":
-            last = f"last_day(make_date(y, {rule[1]}, 1))"
-            return f"({last} - CAST(((isodow({last}) - 1 - {rule[2]}) % 7 + 7) % 7 AS INTEGER))"
-        if kind == "easter":
-            return f"(easter + {rule[1]})"
-        if kind == "observed":
-            base = f"make_date(y, {rule[1]}, {rule[2]})"
-            shift = {"near": "CASE isodow({b}) WHEN 6 THEN -1 WHEN 7 THEN 1 END",
-                     "next": "CASE isodow({b}) WHEN 6 THEN 2 WHEN 7 THEN 1 END",
-                     "plus2": "CASE WHEN isodow({b}) >= 6 THEN 2 END"}[rule[3]].format(b=base)
-            return f"({base} + {shift})"
-        if kind == "weekday_after":
-            base = f"make_date(y, {rule[1]}, {rule[2]})"
-            return (f"({base} + CASE isodow({base}) WHEN 5 THEN 3 WHEN 6 THEN 2 "
-                    f"ELSE 1 END)")
-        raise ValueError(kind)
-
-    parts = []
-    for country, rules in HOLIDAY_RULES.items():
-        for name, rule, since in rules:
-            cond = f"WHERE y >= {since}" if since is not None else ""
-            nm = name.replace("'", "''")
-            parts.append(f"SELECT * FROM (SELECT '{country}' AS country, {rule_date(rule)} AS date, "
-                         f"'{nm}' AS holiday FROM years_e {cond}) WHERE date IS NOT NULL")
-    return "\nUNION ALL ".join(parts)
-
-
-EASTER = """
-e1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM years),
-e2 AS (SELECT *, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f, c // 4 AS i, c % 4 AS k FROM e1),
-e3 AS (SELECT *, (b - f + 1) // 3 AS g FROM e2),
-e4 AS (SELECT *, (19 * a + b - d - g + 15) % 30 AS h FROM e3),
-e5 AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM e4),
-e6 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM e5),
-years_e AS (
-  SELECT y, make_date(y, (h + l - 7 * m + 114) // 31, ((h + l - 7 * m + 114) % 31) + 1) AS easter
-  FROM e6)"""
+    rows = []
+    for country, lines in PUBLISHED_HOLIDAYS.items():
+        for line in lines.split("\n"):
+            if line.strip():
+                day, name = line.strip().split(" ", 1)
+                rows.append("('{}', DATE '{}', '{}')".format(country, day, name.replace("'", "''")))
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") AS v(country, date, holiday)"
+
 
 CALENDAR = f"""{FORECAST_TRAIN},
 per AS (SELECT ticker, max(ds) AS last, max(currency_code) AS code FROM train GROUP BY ticker),
-years AS (SELECT CAST(unnest(generate_series(year(min(ds)), year(max(ds) + 90))) AS INTEGER) AS y
-          FROM train),
-{EASTER},
 hol_raw AS ({_holiday_sql()}),
 hol AS (SELECT country, date, string_agg(holiday, ', ' ORDER BY holiday) AS holiday
         FROM hol_raw GROUP BY country, date),
@@ -252,18 +368,7 @@ ORACLE: dict[str, str] = {
     "volume_series": f"{DENSE} SELECT ticker, date, volume FROM master",
     "daily_returns": f"{RETURNS} SELECT ticker, date, close, daily_return FROM returns",
     "daily_returns_chunked": f"{RETURNS} SELECT ticker, date, close, daily_return FROM returns",
-    "return_histogram": f"""{RETURNS},
-        r AS (SELECT * FROM returns WHERE daily_return IS NOT NULL AND NOT isnan(daily_return)),
-        rng AS (SELECT min(daily_return) AS lo, max(daily_return) AS hi FROM r),
-        b AS (SELECT r.ticker, r.daily_return, rng.lo, (rng.hi - rng.lo) / CAST(200 AS DOUBLE) AS width
-              FROM r, rng),
-        bb AS (SELECT ticker, lo, width,
-                 CASE WHEN width > 0 THEN least(CAST(199 AS BIGINT),
-                      CAST(floor((daily_return - lo) / width) AS BIGINT)) ELSE CAST(0 AS BIGINT) END AS bin
-               FROM b)
-        SELECT ticker, bin, round(lo + bin * width, 9) AS bin_start,
-               round(lo + (bin + 1) * width, 9) AS bin_end, count(*) AS count
-        FROM bb GROUP BY ticker, bin, lo, width""",
+    "return_histogram": _histogram(RETURNS),
     "cumulative_returns": f"{CUMULATIVE} SELECT ticker, date, cumulative_return FROM cum",
     "cumulative_returns_wide": f"""{CUMULATIVE}
         SELECT date,
@@ -283,7 +388,8 @@ ORACLE: dict[str, str] = {
         SELECT * FROM m WHERE ma1000 IS NOT NULL AND ma200 IS NOT NULL
           AND converted_close IS NOT NULL""",
     "rolling_means_wide_universe": f"""{WIDE}
-        SELECT ticker, date, {MONEY}, {_ma(50, 25)}, {_ma(200, 100)} FROM wmaster""",
+        SELECT ticker, date, {MONEY}, {_ma(50, 25)}, {_ma(200, 100)}, {_ma(365, 182)},
+               {_ma(1000, 500)} FROM wmaster""",
     "wide_to_long": f"WITH {DENSE_BARS} SELECT * FROM dense_bars",
     "financials_by_date": """
         SELECT l_returnflag AS ticker, make_date(CAST(year(l_shipdate) AS INTEGER), 12, 31) AS date,
@@ -333,23 +439,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 's_acctbal', 'double', NULL, 'DOUBLE' FROM m
         UNION ALL SELECT 'n_name', 'string', b, 'VARCHAR(' || CAST(coalesce(b, 1) AS VARCHAR) || ')' FROM m
         UNION ALL SELECT 'r_name', 'string', c, 'VARCHAR(' || CAST(coalesce(c, 1) AS VARCHAR) || ')' FROM m""",
-    "quality_report": f"""{DENSE},
-        q1 AS (SELECT 'bars_unique_ticker_date' AS rule,
-                      CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations
-               FROM (SELECT count(*) AS n FROM dense_bars GROUP BY ticker, date)),
-        q2 AS (SELECT 'fx_unique_currency_date' AS rule,
-                      CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS violations
-               FROM (SELECT count(*) AS n FROM dense_fx GROUP BY from_currency, to_currency, date)),
-        q3 AS (SELECT 'close_positive' AS rule,
-                      CAST(coalesce(sum(CASE WHEN close <= 0 THEN 1 ELSE 0 END), 0) AS BIGINT)
-                        AS violations FROM dense_bars),
-        q4 AS (SELECT 'fx_coverage' AS rule,
-                      CAST(coalesce(sum(CASE WHEN rate IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT)
-                        AS violations, count(*) AS n FROM master)
-        SELECT rule, violations, violations = 0 AS passed FROM q1
-        UNION ALL SELECT rule, violations, violations = 0 FROM q2
-        UNION ALL SELECT rule, violations, violations = 0 FROM q3
-        UNION ALL SELECT rule, violations, violations * 100.0 / n <= 20.0 FROM q4""",
+    "quality_report": _quality(DENSE, "dense_bars", "dense_fx", "dense_currency"),
     "linear_trend": f"""{FORECAST_TRAIN},
         xy AS (SELECT ticker, y, CAST(ds - DATE '1999-01-01' AS DOUBLE) AS x FROM train)
         SELECT ticker, count(y) AS n, round(regr_slope(y, x), 6) AS slope,
@@ -369,4 +459,73 @@ ORACLE: dict[str, str] = {
         SELECT ticker, count(*) AS n, round(avg(abs(y - yhat)), 6) AS mae,
                round(avg(abs(y - yhat) / greatest(abs(y), 2.220446049250313e-16)), 6) AS mape
         FROM j GROUP BY ticker""",
+    "forecast_frame": f"""{CALENDAR}
+        SELECT c.ticker, c.ds, t.y, c.is_future, true AS inside
+        FROM cal c LEFT JOIN train t ON c.ticker = t.ticker AND c.ds = t.ds""",
+    "forecast_holdout_split": f"""{FORECAST_TRAIN}
+        SELECT ticker, ds, row_number() OVER (PARTITION BY ticker ORDER BY ds DESC) <= 20 AS is_holdout
+        FROM train WHERE y IS NOT NULL AND isodow(ds) <= 5""",
+    "enriched_prices_wide": f"""{WIDE}
+        SELECT ticker, date, open, high, low, close, volume, dividends, currency_code, fx_close,
+               rate, {MONEY}, day FROM wmaster""",
+    "daily_returns_wide": f"""{_returns(WIDE, "wmaster")}
+        SELECT ticker, date, close, daily_return FROM returns""",
+    "return_histogram_wide": _histogram(_returns(WIDE, "wmaster")),
+    "cumulative_returns_wide_universe": f"""{_cumulative(
+        WIDE, "SELECT ticker, date, close FROM wmaster WHERE close IS NOT NULL")}
+        SELECT ticker, date, cumulative_return FROM cum""",
+    "cumulative_returns_duplicates": _cumulative("WITH unused AS (SELECT 1 AS x)", """
+        SELECT l_returnflag AS ticker, CAST(l_shipdate AS DATE) AS date,
+               CASE WHEN count(*) = 1 THEN max(l_extendedprice)
+                    ELSE CAST(sum(CAST(l_extendedprice AS DECIMAL(30,12))) AS DOUBLE) / count(*) END AS close
+        FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1, 2""")
+        + " SELECT ticker, date, round(cumulative_return, 9) AS cumulative_return FROM cum",
+    "quality_report_wide": _quality(WIDE, "wide_bars", "wide_fx", "wide_currency"),
+    "quality_violations": _quality(f"""{DENSE},
+        bad_bars AS (SELECT ticker, date, CASE WHEN day(date) = 2 THEN -close ELSE close END AS close
+                     FROM (SELECT * FROM dense_bars
+                           UNION ALL SELECT * FROM dense_bars WHERE day(date) = 1)),
+        bad_fx AS (SELECT * FROM dense_fx UNION ALL SELECT * FROM dense_fx WHERE day(date) = 15),
+        bad_codes AS (SELECT * FROM dense_currency UNION ALL SELECT 'A', 'usd')""",
+        "bad_bars", "bad_fx", "bad_codes"),
+    "linear_trend_wide": f"""{WIDE},
+        xy AS (SELECT ticker, close AS y, CAST(date - DATE '1999-01-01' AS DOUBLE) AS x
+               FROM wmaster WHERE date > DATE '1999-01-01')
+        SELECT ticker, count(y) AS n, round(regr_slope(y, x), 6) AS slope,
+               round(regr_intercept(y, x), 4) AS intercept
+        FROM xy GROUP BY ticker""",
+    "exchange_table_wide": f"""WITH {WIDE_CURRENCY},{WIDE_FX}
+        SELECT c.ticker, upper(trim(c.currency_code)) AS currency_code, f.date, f.open,
+               f.close AS currency_close, f.low, f.high, f.from_currency, f.to_currency,
+               strftime(f.date, '%m%d%Y') || f.from_currency AS exchange_id,
+               strftime(f.date, '%m%d%Y') AS currency_date_key
+        FROM wide_currency c RIGHT JOIN wide_fx f
+          ON upper(trim(c.currency_code)) = f.from_currency""",
+    "price_range_1m": f"""{DENSE}
+        SELECT ticker, date, {MONEY} FROM master WHERE conv IS NOT NULL
+          AND date > (SELECT max(date) FROM master WHERE conv IS NOT NULL) - INTERVAL 1 MONTH""",
+    "price_range_1y": f"""{DENSE}
+        SELECT ticker, date, {MONEY} FROM master WHERE conv IS NOT NULL
+          AND date > (SELECT max(date) FROM master WHERE conv IS NOT NULL) - INTERVAL 1 YEAR""",
+    "price_log": f"""{DENSE}
+        SELECT ticker, date, round(log10(close), 9) AS log_close FROM master WHERE close > 0""",
+    "rolling_average_6m": f"""{DENSE},
+        m AS (SELECT ticker, date, {MONEY}, {_ma(50, 25)}, {_ma(200, 100)}, {_ma(365, 182)},
+                     {_ma(1000, 500)} FROM master),
+        full_rows AS (SELECT * FROM m WHERE ma1000 IS NOT NULL AND ma200 IS NOT NULL
+                      AND converted_close IS NOT NULL)
+        SELECT * FROM full_rows WHERE date > (SELECT max(date) FROM full_rows) - INTERVAL 6 MONTH""",
+    "incremental_overlap": f"""WITH {DENSE_BARS}
+        SELECT * FROM dense_bars WHERE date > DATE '{fx.SPLIT_DATE}' OR ticker = '{fx.LATE_TICKER}'""",
+    "fx_overlap": f"""WITH {DENSE_FX}
+        SELECT * REPLACE (CASE WHEN day(date) % 2 = 0 THEN close * 2 ELSE close END AS close)
+        FROM dense_fx""",
+    "bars_from_text": f"""WITH {DENSE_BARS}
+        SELECT * REPLACE (CASE WHEN day(date) % 7 IN (0, 1) THEN NULL ELSE volume END AS volume)
+        FROM dense_bars""",
+    "currency_units": f"""WITH {WIDE_CURRENCY}
+        SELECT ticker, upper(currency_code) AS currency_code,
+               CASE WHEN currency_code = 'gbp' THEN 0.01::DOUBLE ELSE 1.0::DOUBLE END AS unit_factor
+        FROM wide_currency""",
 }
+ORACLE["news_feed_keys"] = ORACLE["news_items"]

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import money
 from ..operators import dims, enrich, forecast as fc, incremental, quality, reports, reshape, series
+from ..operators.normalize import normalize_bars, one_per_key
+from ..schemas import NEWS_TIME_KEY
 from ..sinks.tables import column_ddl
 from ..sources import fixtures as fx
 
@@ -25,7 +27,6 @@ from ..sources import fixtures as fx
 FORECAST_START = "1999-01-01"
 FORECAST_PERIODS = 90
 FORECAST_PARAMS = fc.ModelParams(growth="logistic", cap=150_000.0, floor=0.0)
-WIDE_WINDOWS = ((50, 25), (200, 100))
 
 
 def _r(c, places: int = 6):
@@ -137,13 +138,28 @@ def q_cumulative_returns(spark, sf):
     return series.cumulative_returns(dense_master(spark, sf))
 
 
+def _tickers(df) -> list[str]:
+    """The pivot's column list: one column per ticker there is (a wide table
+    has as many columns as tickers, so the list is as bounded as its schema)."""
+    return [r[0] for r in df.select("ticker").distinct().orderBy("ticker").collect()]
+
+
 def q_cumulative_returns_wide(spark, sf):
     long = series.cumulative_returns(dense_master(spark, sf))
-    # The pivot's ticker list: the dense universe is the three return flags.
-    tickers = sorted(fx.FLAG_CURRENCY)
+    tickers = _tickers(fx.line_bars(spark, sf))
     return reshape.pivot_measure(long, "cumulative_return", tickers, prefix="Close")
 
 
+def q_cumulative_returns_duplicates(spark, sf):
+    """W4 over repeated (ticker, date): every line is a bar of its own."""
+    df = series.cumulative_returns(fx.line_bars(spark, sf))
+    return df.withColumn("cumulative_return", _r("cumulative_return", 9))
+
+
+def q_cumulative_returns_wide_universe(spark, sf):
+    return series.cumulative_returns(wide_master(spark, sf))
+
+
 def _ma_out(df, windows):
     return df.select("ticker", "date", money("converted_close").alias("converted_close"),
                      *[f"ma{n}" for n, _ in windows])
@@ -168,12 +184,12 @@ def q_rolling_average_report(spark, sf):
 
 def q_rolling_means_wide_universe(spark, sf):
     m = wide_master(spark, sf).select("ticker", "date", "converted_close")
-    return _ma_out(series.rolling_means(m, "converted_close", WIDE_WINDOWS), WIDE_WINDOWS)
+    return _ma_out(series.rolling_means(m, "converted_close"), series.ROLLING_WINDOWS)
 
 
 def q_wide_to_long(spark, sf):
     bars = fx.dense_bars(spark, sf)
-    wide = reshape.long_to_wide(bars, sorted(fx.FLAG_CURRENCY))
+    wide = reshape.long_to_wide(bars, _tickers(fx.line_bars(spark, sf)))
     return reshape.wide_to_long(wide).select("ticker", "date", "open", "high", "low", "close",
                                              "volume", "dividends")
 
@@ -181,11 +197,10 @@ def q_wide_to_long(spark, sf):
 def q_financials_by_date(spark, sf):
     long = fx.financials_long(spark, sf)
     metrics = sorted(m for _, m in fx.FINANCIAL_METRICS)
-    statement = reshape.statement_wide(long)
-    out = reshape.transpose_financials(statement, metrics)
-    return out.where(F.col("discount").isNotNull() | F.col("quantity").isNotNull()
-                     | F.col("extended_price").isNotNull() | F.col("tax").isNotNull()
-                     ).select("ticker", "date", *metrics)
+    # A date column no line falls in stays empty and gives no row.
+    dates = [f"{y}-12-31" for y in fx.STATEMENT_YEARS]
+    statement = reshape.statement_wide(long, dates)
+    return reshape.transpose_financials(statement, metrics).select("ticker", "date", *metrics)
 
 
 def q_holders(spark, sf):
@@ -224,7 +239,101 @@ def q_max_string_lengths(spark, sf):
 
 def q_quality_report(spark, sf):
     return quality.quality_report(fx.dense_bars(spark, sf), fx.dense_fx(spark, sf),
-                                  dense_master(spark, sf))
+                                  fx.dense_currency(spark, sf))
+
+
+def q_quality_report_wide(spark, sf):
+    return quality.quality_report(fx.wide_bars(spark, sf), fx.wide_fx(spark, sf),
+                                  fx.wide_currency(spark, sf))
+
+
+def q_quality_violations(spark, sf):
+    """The rules on bars, rates and currencies that break each of them."""
+    bars, rates = fx.dense_bars(spark, sf), fx.dense_fx(spark, sf)
+    bars = bars.withColumn("close", F.when(F.dayofmonth("date") == 2, -F.col("close")).otherwise(F.col("close")))
+    bars = bars.unionByName(bars.where(F.dayofmonth("date") == 1))
+    rates = rates.unionByName(rates.where(F.dayofmonth("date") == 15))
+    codes = fx.dense_currency(spark, sf)
+    second = codes.where(F.col("ticker") == "A").withColumn("currency_code", F.lit("usd"))
+    return quality.quality_report(bars, rates, codes.unionByName(second))
+
+
+def q_enriched_prices_wide(spark, sf):
+    return _enriched_out(wide_master(spark, sf))
+
+
+def q_daily_returns_wide(spark, sf):
+    df = series.daily_returns(wide_master(spark, sf).select("ticker", "date", "close"))
+    return df.select("ticker", "date", "close", "daily_return")
+
+
+def q_return_histogram_wide(spark, sf):
+    r = series.daily_returns(wide_master(spark, sf).select("ticker", "date", "close"))
+    h = series.return_histogram(r)
+    return h.select("ticker", "bin", _r("bin_start", 9).alias("bin_start"),
+                    _r("bin_end", 9).alias("bin_end"), "count")
+
+
+def q_linear_trend_wide(spark, sf):
+    lt = fc.linear_trend(fc.training_frame(wide_master(spark, sf), FORECAST_START), FORECAST_START)
+    return lt.select("ticker", "n", _r("slope").alias("slope"), _r("intercept", 4).alias("intercept"))
+
+
+def q_exchange_table_wide(spark, sf):
+    return dims.exchange_table(fx.wide_currency(spark, sf), fx.wide_fx(spark, sf))
+
+
+def q_price_range_1m(spark, sf):
+    return _price(series.price_series(dense_master(spark, sf), preset="1m"))
+
+
+def q_price_range_1y(spark, sf):
+    return _price(series.price_series(dense_master(spark, sf), preset="1y"))
+
+
+def q_price_log(spark, sf):
+    """The base-ten logarithm of the native close."""
+    logs = series.price_series(dense_master(spark, sf), value="close", log=True)
+    return logs.select("ticker", "date", _r("close", 9).alias("log_close"))
+
+
+def q_rolling_average_6m(spark, sf):
+    return _ma_out(series.rolling_report(dense_master(spark, sf), preset="6m"), series.ROLLING_WINDOWS)
+
+
+def q_incremental_overlap(spark, sf):
+    """S5 where the landing files overlap (every new bar comes twice) and one
+    ticker is new, with days from before the others' last load."""
+    bars = fx.dense_bars(spark, sf)
+    split = F.to_date(F.lit(fx.SPLIT_DATE))
+    target = bars.where((F.col("date") <= split) & (F.col("ticker") != fx.LATE_TICKER))
+    again = bars.where(F.col("date") >= split)
+    return incremental.new_bars(target, bars.unionByName(again))
+
+
+def q_fx_overlap(spark, sf):
+    """Rates of two loads: the later load's rate replaces the earlier one's."""
+    first = fx.dense_fx(spark, sf).withColumn("_load", F.lit(1))
+    second = (first.where(F.dayofmonth("date") % 2 == 0)
+              .withColumn("close", F.col("close") * 2).withColumn("_load", F.lit(2)))
+    return one_per_key(first.unionByName(second), ["from_currency", "to_currency", "date"], ["_load"])
+
+
+def q_bars_from_text(spark, sf):
+    """P1, P2, P5-P7 on text: names, dates, numbers and unreadable volumes."""
+    return normalize_bars(fx.text_bars(spark, sf))
+
+
+def q_news_feed_keys(spark, sf):
+    """N1 on payloads that name the publish time as the feed does."""
+    return reshape.explode_news(fx.news_payloads(spark, sf, NEWS_TIME_KEY))
+
+
+def q_currency_units(spark, sf):
+    """The dimension with prices of one region quoted in pence."""
+    raw = fx.wide_currency(spark, sf)
+    pence = F.when(F.col("currency_code") == "gbp", F.lit("GBp")).otherwise(F.col("currency_code"))
+    return dims.with_unit_factor(raw.withColumn("currency_code", pence))
 
 
 def q_linear_trend(spark, sf):
@@ -240,6 +349,18 @@ def q_forecast(spark, sf):
     return fc.forecast(_train(spark, sf), FORECAST_PERIODS, FORECAST_PARAMS)
 
 
+def q_forecast_frame(spark, sf):
+    """What SQL can check of F1: every ticker and day, the observed prices, and
+    that the prediction lies inside its interval."""
+    f = fc.forecast(_train(spark, sf), FORECAST_PERIODS, FORECAST_PARAMS)
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return f.select("ticker", "ds", "y", "is_future", F.coalesce(inside, F.lit(False)).alias("inside"))
+
+
+def q_forecast_holdout_split(spark, sf):
+    return fc.holdout_split(fc.model_input(_train(spark, sf), 0), 20).select("ticker", "ds", "is_holdout")
+
+
 def q_forecast_scores(spark, sf):
     train = _train(spark, sf)
     pred = fc.linear_forecast(train, FORECAST_START, FORECAST_PERIODS)
@@ -288,4 +409,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast": q_forecast,
     "forecast_scores": q_forecast_scores,
     "forecast_grid_best": q_forecast_grid_best,
+    "forecast_frame": q_forecast_frame,
+    "forecast_holdout_split": q_forecast_holdout_split,
+    "enriched_prices_wide": q_enriched_prices_wide,
+    "daily_returns_wide": q_daily_returns_wide,
+    "return_histogram_wide": q_return_histogram_wide,
+    "cumulative_returns_wide_universe": q_cumulative_returns_wide_universe,
+    "cumulative_returns_duplicates": q_cumulative_returns_duplicates,
+    "quality_report_wide": q_quality_report_wide,
+    "quality_violations": q_quality_violations,
+    "linear_trend_wide": q_linear_trend_wide,
+    "exchange_table_wide": q_exchange_table_wide,
+    "price_range_1m": q_price_range_1m,
+    "price_range_1y": q_price_range_1y,
+    "price_log": q_price_log,
+    "rolling_average_6m": q_rolling_average_6m,
+    "incremental_overlap": q_incremental_overlap,
+    "fx_overlap": q_fx_overlap,
+    "bars_from_text": q_bars_from_text,
+    "news_feed_keys": q_news_feed_keys,
+    "currency_units": q_currency_units,
 }

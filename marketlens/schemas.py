@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names of the feed and of the stored tables.
 # Daily price bars, one row per (ticker, date).
 BARS = T.StructType([
     T.StructField("ticker", T.StringType(), False),
@@ -56,7 +57,9 @@ FINANCIALS = T.StructType([
     T.StructField("value", T.DoubleType(), True),
 ])
 
-# One news item inside a JSON payload array.
+# Fixed value: the feed's own key of the publish time.
+NEWS_TIME_KEY = "providerPublishTime"
+# One news item inside a JSON payload array, as the feed names it.
 NEWS_ITEM = T.StructType([
     T.StructField("uuid", T.StringType(), True),
     T.StructField("title", T.StringType(), True),
@@ -64,26 +67,16 @@ NEWS_ITEM = T.StructType([
     T.StructField("link", T.StringType(), True),
     T.StructField("type", T.StringType(), True),
     T.StructField("provider_publish_time", T.LongType(), True),
+    T.StructField(NEWS_TIME_KEY, T.LongType(), True),
 ])
 NEWS_PAYLOAD = T.StructType([
     T.StructField("ticker", T.StringType(), False),
     T.StructField("payload", T.StringType(), True),
 ])
+NEWS = T.StructType([T.StructField("ticker", T.StringType(), True)]
+                    + [f for f in NEWS_ITEM.fields if f.name != NEWS_TIME_KEY])
 NEWS_COLUMNS = ["ticker", "uuid", "title", "publisher", "link", "provider_publish_time", "type"]
 
-HOLIDAY = T.StructType([
-    T.StructField("country", T.StringType(), False),
-    T.StructField("date", T.DateType(), False),
-    T.StructField("holiday", T.StringType(), False),
-])
-
-DATE_DIMENSION = T.StructType([
-    T.StructField("date_key", T.StringType(), False),
-    T.StructField("year", T.LongType(), False),
-    T.StructField("quarter", T.LongType(), False),
-    T.StructField("month", T.LongType(), False),
-])
-
 FORECAST = T.StructType([
     T.StructField("ticker", T.StringType(), False),
     T.StructField("ds", T.DateType(), False),

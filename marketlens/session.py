@@ -43,11 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster `spark.checkpoint.dir` names a shared folder and is used as
-    is.  Only when it is unset (local tests) is a fresh scratch folder made.
+    is; without it a cluster session is refused.  Only a `local[...]` session
+    (tests) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="marketlens-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

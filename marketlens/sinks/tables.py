@@ -16,25 +16,18 @@ MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append",
          "ignore": "ignore"}
 
 
-# Files written per output partition (e.g. per ticker directory).
-FILES_PER_PARTITION = 4
-
-
-def spread_for_write(df: DataFrame, partition_by: list[str],
-                     files_per_partition: int = FILES_PER_PARTITION) -> DataFrame:
-    """Shuffle so each output directory gets at most `files_per_partition`
-    files, and a hot directory (one ticker with a third of the rows) is
-    written by that many tasks instead of one."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+def spread_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rebalance on the partition columns: adaptive execution gives small
+    directories one file and splits a directory that outgrows the advisory
+    partition size over as many tasks as it needs."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
 def write_table(df: DataFrame, path: str, if_exists: str = "append",
-                partition_by: list[str] | None = None, fmt: str = "parquet",
-                files_per_partition: int | None = FILES_PER_PARTITION) -> None:
+                partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """K1: write a frame as files; fail / replace / append."""
-    if partition_by and files_per_partition:
-        df = spread_for_write(df, partition_by, files_per_partition)
+    if partition_by:
+        df = spread_for_write(df, partition_by)
     w = df.write.mode(MODES[if_exists]).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -58,14 +51,14 @@ def column_ddl(df: DataFrame) -> DataFrame:
     """
     fields = df.schema.fields
     strings = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
-    lens = df.agg(*[F.max(F.length(F.col(c))).cast("bigint").alias(c) for c in strings]) \
+    lens = df.agg(*[F.max(F.length(F.col(f"`{c}`"))).cast("bigint").alias(c) for c in strings]) \
         if strings else df.sparkSession.range(1).select()
     rows = []
     for f in fields:
         dt = f.dataType
         if isinstance(dt, T.StringType):
             length = F.col(f"`{f.name}`")
-            ddl = F.concat(F.lit("VARCHAR("), F.coalesce(length, F.lit(1)).cast("string"), F.lit(")"))
+            ddl = F.concat(F.lit("VARCHAR("), F.greatest(F.coalesce(length, F.lit(1)), F.lit(1)).cast("string"), F.lit(")"))
         else:
             length = F.lit(None).cast("bigint")
             ddl = F.lit(_sql_type(dt))
@@ -119,8 +112,18 @@ def write_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append",
 
 
 def full_refresh(tables: dict[str, DataFrame], root: str,
-                 partition_by: dict[str, list[str]] | None = None) -> None:
-    """K5 + K8: replace every table of a refresh (no per-ticker loop)."""
+                 partition_by: dict[str, list[str]] | None = None,
+                 drop: dict[str, T.StructType] | None = None) -> None:
+    """K5 + K8: replace every table of a refresh (no per-ticker loop).
+
+    Tables in `drop` that this refresh does not load are left empty, with
+    their schema, so no rows of an earlier refresh survive."""
     partition_by = partition_by or {}
     for name, df in tables.items():
         write_table(df, f"{root.rstrip('/')}/{name}", "replace", partition_by.get(name))
+    if not tables:
+        return
+    spark = next(iter(tables.values())).sparkSession
+    for name, schema in (drop or {}).items():
+        if name not in tables:
+            write_table(spark.createDataFrame([], schema), f"{root.rstrip('/')}/{name}", "replace")

@@ -28,6 +28,10 @@ FX_FACTOR = "0.000002"
 BASE = "GBP"
 # Incremental-load fixture: batch 1 ends on, batch 2 starts on this day.
 SPLIT_DATE = "2000-12-31"
+# The ticker that the overlap fixture has not loaded before.
+LATE_TICKER = "R"
+# Date columns of the statement fixture (some without data).
+STATEMENT_YEARS = range(1990, 2011)
 # News fixture: pages go round-robin to the dense tickers, eight per payload.
 NEWS_TICKERS = ["A", "N", "R"]
 NEWS_CHUNK = 8
@@ -76,9 +80,31 @@ def dense_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticker -> raw currency code for the dense universe."""
-    flags = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("ticker")).distinct()
-    return flags.select("ticker", _lookup(FLAG_CURRENCY, F.col("ticker")).alias("currency_code"))
+    """Ticker -> raw currency code for the dense universe: the fixed mapping
+    itself (three rows), so a report scans the lines once, for its bars."""
+    rows = [F.struct(F.lit(t).alias("ticker"), F.lit(c).alias("currency_code"))
+            for t, c in FLAG_CURRENCY.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def line_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bar per line, so that (ticker, date) repeats: ticker, date, close."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_returnflag").alias("ticker"), F.col("l_shipdate").cast("date").alias("date"),
+                     F.col("l_extendedprice").alias("close"))
+
+
+def text_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense bars as a landing file of text has them: title-case names,
+    every value as text, the volume out of range or unreadable on some days."""
+    bars = dense_bars(spark, sf_dir)
+    volume = (F.when(F.dayofmonth("date") % 7 == 0, F.lit("1e30"))
+              .when(F.dayofmonth("date") % 7 == 1, F.lit("n/a"))
+              .when(F.dayofmonth("date") % 7 == 2, F.concat(F.col("volume").cast("string"), F.lit(".4")))
+              .otherwise(F.col("volume").cast("string")))
+    return bars.select(F.date_format("date", "yyyy-MM-dd").alias("Date"), F.col("ticker").alias("Stock"),
+                       *[F.col(c).cast("string").alias(c.capitalize()) for c in ("open", "high", "low", "close")],
+                       volume.alias("Volume"), F.lit("0").alias("Dividends"))
 
 
 def _fx_from_orders(orders: DataFrame, code: Column) -> DataFrame:
@@ -173,7 +199,7 @@ def holders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("l_returnflag").alias("ticker"))
 
 
-def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news_payloads(spark: SparkSession, sf_dir: str, time_key: str = "provider_publish_time") -> DataFrame:
     """(ticker, JSON array of news items) built from the pages table.
 
     Items are packed eight to a payload, so no payload grows with the data.
@@ -190,6 +216,6 @@ def news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("url").alias("link"),
         F.lit("STORY").alias("type"),
         F.when(F.pmod("page_id", F.lit(2)) == 0,
-               F.lit(NEWS_TIME_BASE) + F.col("page_id") * 3600).alias("provider_publish_time"))
+               F.lit(NEWS_TIME_BASE) + F.col("page_id") * 3600).alias(time_key))
     g = pages.groupBy(ticker.alias("ticker"), F.floor(F.col("page_id") / NEWS_CHUNK).alias("chunk"))
     return g.agg(F.to_json(F.collect_list(item)).alias("payload")).select("ticker", "payload")

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.normalize import normalize_bars, normalize_fx, union_all
-from ..operators.reshape import explode_news, transpose_financials, wide_to_long
+from ..operators.normalize import normalize_bars, normalize_fx, one_per_key, to_date, union_all
+from ..operators.reshape import explode_news, news_rejects, statement_long, transpose_financials, wide_to_long
 from ..schemas import BARS, CURRENCY, FX, NEWS_PAYLOAD
 
 
@@ -40,7 +40,15 @@ def read_bars(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
     """
     if schema is None:
         schema = BARS if fmt in ("parquet", "orc") else _as_text(BARS)
-    return normalize_bars(_reader(spark, fmt, schema).load(path))
+    return _newest(_reader(spark, fmt, schema).load(path), normalize_bars, ["ticker", "date"])
+
+
+def _newest(raw: DataFrame, normalize, keys: list[str]) -> DataFrame:
+    """Normalised rows, one per key: overlapping pulls repeat days, and the row
+    of the file written last wins."""
+    times = raw.select("*", F.col("_metadata.file_modification_time").alias("_file_time"),
+                       F.col("_metadata.file_path").alias("_file"))
+    return one_per_key(normalize(times, keep=["_file_time", "_file"]), keys, ["_file_time", "_file"])
 
 
 def read_holders(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
@@ -66,8 +74,10 @@ def name_holders(raw: DataFrame) -> DataFrame:
 
 def read_financial_statements(spark: SparkSession, path: str | list[str],
                               metrics: list[str] | None = None, fmt: str = "parquet") -> DataFrame:
-    """S3: statements (ticker, metric, one column per date) -> one row per date."""
-    return transpose_financials(_reader(spark, fmt, None).load(path), metrics)
+    """S3: statements (ticker, metric, one column per date) as long rows
+    (ticker, metric, date, value), or, with a metric list, one row per date."""
+    raw = _reader(spark, fmt, None).load(path)
+    return statement_long(raw) if metrics is None else transpose_financials(raw, metrics)
 
 
 def read_news(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
@@ -75,12 +85,20 @@ def read_news(spark: SparkSession, path: str | list[str], fmt: str = "parquet")
     return explode_news(_reader(spark, fmt, NEWS_PAYLOAD).load(path))
 
 
+def read_news_rejects(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
+    """The payloads that hold no readable list of items."""
+    return news_rejects(_reader(spark, fmt, NEWS_PAYLOAD).load(path))
+
+
 def read_fx(spark: SparkSession, paths: list[str], fmt: str = "parquet",
             to_currency: str | None = None) -> DataFrame:
     """S6 + U1: FX history; several landing paths are unioned by name."""
     schema = FX if fmt in ("parquet", "orc") else _as_text(FX)
-    frames = [_reader(spark, fmt, schema).load(p) for p in paths]
-    return normalize_fx(union_all(frames), to_currency)
+    frames = [_reader(spark, fmt, schema).load(p).select(
+        "*", F.col("_metadata.file_modification_time").alias("_file_time"),
+        F.col("_metadata.file_path").alias("_file")) for p in paths]
+    rows = normalize_fx(union_all(frames), to_currency, keep=["_file_time", "_file"])
+    return one_per_key(rows, ["from_currency", "to_currency", "date"], ["_file_time", "_file"])
 
 
 def read_currency(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
@@ -91,7 +109,8 @@ def read_currency(spark: SparkSession, path: str | list[str], fmt: str = "parque
 def read_wide_bars(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
     """Bulk file with `<ticker>_<measure>` columns, stacked to long."""
     wide = _reader(spark, fmt, None).load(path)
-    wide = wide.withColumn("date", F.to_date("date"))
+    key = next((c for c in wide.columns if c.lower() == "date"), "date")
+    wide = wide.withColumn(key, to_date(key)).withColumnRenamed(key, "date")
     return normalize_bars(wide_to_long(wide))
 
 

@@ -1,11 +1,13 @@
 """New bars since the last load, as an `availableNow` stream.
 
-Landing files are read as a stream with the bars schema.  Within the
-watermark, repeats of a (ticker, date) are dropped by the stream's own
-state; each micro-batch is then anti-joined against the target table before
-it is appended, so a bar stored by an earlier run - or by a retried batch
-after a lost executor - is never appended twice.  The checkpoint lives in
-the cluster's shared checkpoint folder (`spark.checkpoint.dir`).
+Landing files are read as a stream with the bars schema.  Each micro-batch goes
+through the same `new_bars` as the batch load: repeats inside it are reduced to
+one bar per (ticker, date), and only days after a ticker's last stored one are
+appended, so both loads store the same rows and a retried batch appends
+nothing.  There is no event-time watermark: a ticker that arrives late keeps
+its whole history.  The target is stored as parquet with the bars schema,
+whatever the landing format.  The checkpoint lives in the cluster's shared
+checkpoint folder (`spark.checkpoint.dir`).
 """
 
 from __future__ import annotations
@@ -13,7 +15,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.incremental import new_bars
@@ -21,36 +22,31 @@ from ..operators.normalize import normalize_bars
 from ..schemas import BARS
 from ..session import checkpoint_root
 
-WATERMARK = "7 days"
 
-
-def bar_stream(spark: SparkSession, landing: str, fmt: str = "parquet",
-               watermark: str = WATERMARK) -> DataFrame:
-    """Streaming bars, deduplicated on (ticker, date) within the watermark.
+def bar_stream(spark: SparkSession, landing: str, fmt: str = "parquet") -> DataFrame:
+    """Streaming bars.
 
     Streams need a schema up front and CSV maps it by position, so CSV
     landing files must carry the BARS column order; parquet and JSON map
     by name.
     """
-    raw = spark.readStream.schema(BARS).format(fmt).load(landing)
-    bars = normalize_bars(raw).withColumn("_ts", F.col("date").cast("timestamp"))
-    return (bars.withWatermark("_ts", watermark)
-                .dropDuplicatesWithinWatermark(["ticker", "date"]))
+    return normalize_bars(spark.readStream.schema(BARS).format(fmt).load(landing))
+
+
+def stored_bars(spark: SparkSession, target: str) -> DataFrame:
+    """The stored bars, empty before the first load."""
+    try:
+        return spark.read.schema(BARS).parquet(target)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], BARS)
 
 
-def _append_new(target: str, fmt: str):
+def _append_new(target: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.drop("_ts")
-        try:
-            stored = spark.read.format(fmt).load(target)
-        except Exception as e:  # the first batch creates the table
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        else:
-            # only stored rows on/after the batch's first day can collide
-            rows = new_bars(stored, rows, from_watermark=False)
-        rows.write.mode("append").format(fmt).save(target)
+        rows = new_bars(stored_bars(batch.sparkSession, target), batch)
+        rows.write.mode("append").parquet(target)
     return run
 
 
@@ -59,7 +55,7 @@ def load_new_bars(spark: SparkSession, landing: str, target: str, name: str = "n
     """Process every landing file present now, append unseen bars, stop."""
     checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "streams", name)
     q = (bar_stream(spark, landing, fmt).writeStream
-         .foreachBatch(_append_new(target, fmt))
+         .foreachBatch(_append_new(target))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .queryName(name)

@@ -1,12 +1,11 @@
 """Job-level API over landing files built from the driver tables."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from helpers import bars
 from marketlens.api import LandingPaths, MarketETL, MarketExplorer
-from marketlens.functions.text import fixed2, report_title
+from marketlens.functions.text import fixed2, joined_names
 from marketlens.operators import forecast as fc
 from marketlens.sources import fixtures as fx
 
@@ -77,5 +76,5 @@ def test_per_ticker_cap(spark):
 def test_text_helpers(spark):
     r = spark.range(1).select(fixed2(F.lit(10.256)).alias("a"), fixed2(F.lit(3)).alias("b")).first()
     assert (r.a, r.b) == ("10.26", "3.00")
-    assert report_title(["AF.PA", "IAG.L"], "Cumulative Returns") == "AF.PA IAG.L Cumulative Returns"
-    assert isinstance(pd.Timestamp("2024-01-01"), pd.Timestamp)
+    names = spark.createDataFrame([(["IAG.L", "AF.PA", "IAG.L"],)], "t array<string>")
+    assert names.select(joined_names("t")).first()[0] == "AF.PA IAG.L"

@@ -92,15 +92,31 @@ def test_fx_pairs_distinct_upper(spark):
 
 def test_coverage_rule_threshold(spark):
     b = bars(spark, [("A", "2024-01-08", 1.0), ("A", "2024-01-09", 1.0)])
-    e = enrich.enrich_prices(b, currency(spark, [("A", "usd")]),
-                             fx(spark, [("USD", "2024-01-08", 0.5)]))
-    r = quality.q4_fx_coverage(e, 40.0).toDF("rule", "v", "p").first()
-    assert r.v == 1 and r.p is False
-
-
-def test_out_of_range_rate_is_null_not_error(spark):
-    b = bars(spark, [("A", "2024-01-08", 10.0), ("A", "2024-01-09", 10.0)])
-    out = enrich.enrich_prices(b, currency(spark, [("A", "usd")]),
-                               fx(spark, [("USD", "2024-01-08", 1e12), ("USD", "2024-01-09", 0.5)]))
-    got = {str(r.date): r.converted_close for r in out.collect()}
-    assert got["2024-01-08"] is None and float(got["2024-01-09"]) == 5.0
+    cur, rates = currency(spark, [("A", "usd")]), fx(spark, [("USD", "2024-01-08", 0.5)])
+
+    def rule(limit):
+        return {r.rule: r for r in quality.quality_report(b, rates, cur, limit).collect()}["fx_coverage"]
+
+    r = rule(40.0)
+    assert r.violations == 1 and r.passed is False
+    assert rule(60.0).passed is True
+
+
+def test_wide_rates_convert_and_lost_ones_are_counted(spark):
+    b = bars(spark, [("A", "2024-01-08", 10.0), ("A", "2024-01-09", 10.0), ("A", "2024-01-10", 10.0),
+                     ("A", "2024-01-11", 2e12)])
+    cur = currency(spark, [("A", "usd")])
+    rates = fx(spark, [("USD", "2024-01-08", 1e12), ("USD", "2024-01-09", 2e-11), ("USD", "2024-01-10", 1e30),
+                       ("USD", "2024-01-11", 0.5)])
+    got = {str(r.date): r.converted_close for r in enrich.enrich_prices(b, cur, rates).collect()}
+    assert got["2024-01-10"] is None  # beyond the amount type, and counted:
+    assert [float(got[f"2024-01-{d}"]) for d in ("08", "09", "11")] == [1e13, 2e-10, 1e12]
+    lost = {r.rule: r.violations for r in quality.quality_report(b, rates, cur).collect()}
+    assert lost["conversion_lost"] == 1
+
+
+def test_prices_in_pence_convert_by_their_unit(spark):
+    cur = dims.with_unit_factor(currency(spark, [("L", "GBp"), ("P", "GBP")]))
+    b = bars(spark, [("L", "2024-01-08", 250.0), ("P", "2024-01-08", 2.5)])
+    out = enrich.enrich_prices(b, cur, fx(spark, []))
+    assert {r.ticker: float(r.converted_close) for r in out.collect()} == {"L": 2.5, "P": 2.5}

@@ -8,6 +8,8 @@ import pytest
 
 from helpers import weekdays
 from marketlens.operators import forecast as fc
+from marketlens.sources.holidays import holiday_dimension
+from pyspark.sql import functions as F
 
 
 def _series(spark, kind="trend_season", n=700, seed=0, tickers=("A",), code="GBP"):
@@ -95,6 +97,47 @@ def test_grid_search_one_row_per_ticker(spark):
     assert all(r.grid_id in range(len(fc.DEFAULT_GRID)) for r in out)
 
 
+def test_grid_takes_any_parameter_and_limits(spark):
+    train = _series(spark, n=200)
+    limits = spark.createDataFrame([("A", 300.0, 0.0)], "ticker string, cap double, floor double")
+    out = fc.grid_search(train, [{"growth": "linear"}, {"growth": "logistic", "yearly_order": 3}],
+                         base=LOG, limits=limits).first()
+    assert out.n_holdout == 20 and out.holdout_mae >= 0 and "growth" in out.params
+
+
+@pytest.mark.parametrize("growth", ["flat", "bogus"])
+def test_unknown_growth_is_refused(growth):
+    with pytest.raises(ValueError, match="growth"):
+        fc.ModelParams(growth=growth)
+
+
+def test_observations_beyond_the_cap_are_kept(spark):
+    rows = [("A", dt.date.fromisoformat(x), float(100 + 20 * np.sin(2 * np.pi * i / 260)), "GBP")
+            for i, x in enumerate(weekdays("2015-01-01", 1040))]
+    train = spark.createDataFrame(rows, "ticker string, ds date, y double, currency_code string")
+    out = fc.forecast(train, 0, fc.ModelParams(growth="logistic", cap=110.0, floor=0.0)).toPandas()
+    assert float((out.y - out.yhat).abs().mean()) < 0.5
+
+
+def test_ticker_without_prices_keeps_its_calendar(spark):
+    train = spark.createDataFrame([("A", dt.date(2024, 1, 2), None, "GBP")],
+                                  "ticker string, ds date, y double, currency_code string")
+    out = fc.forecast(train, 5, LIN).toPandas()
+    assert len(out) > 1 and out.yhat.isna().all()
+
+
+def test_published_holidays(spark):
+    years = spark.range(2009, 2025).select(F.col("id").alias("year"))
+    got = {(r.country, str(r.date)): r.holiday for r in holiday_dimension(years).collect()}
+    assert got[("US", "2010-12-31")] == "New Year's Day (observed)"
+    for day in ("2012-06-04", "2012-06-05", "2020-05-08", "2022-06-02", "2022-06-03", "2022-09-19", "2023-05-08"):
+        assert ("GB", day) in got, day
+    for day in ("2012-05-28", "2020-05-04", "2022-05-30"):
+        assert ("GB", day) not in got, day
+    for day in ("2013-02-13", "2018-02-16", "2018-04-05", "2021-04-06", "2022-02-01", "2023-09-30", "2024-10-11"):
+        assert ("HK", day) in got, day
+
+
 def test_linear_trend_and_scores(spark):
     rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=i), 10.0 + 2.0 * i, "GBP")
             for i in range(50)]

@@ -108,8 +108,55 @@ def test_stream_late_duplicate_is_not_appended(spark, scratch):
     out = spark.read.parquet(target)
     assert out.groupBy("ticker", "date").count().where("count > 1").count() == 0
     assert out.where("ticker = 'A'").count() == 2
+    assert [str(r.date) for r in out.where("ticker = 'B'").collect()] == ["2024-01-02"]
 
 
+def test_batch_and_stream_store_the_same_rows(spark, scratch):
+    first = [("A", "2024-03-01", 1.0), ("A", "2024-03-04", 2.0)]
+    second = [("A", "2024-03-04", 2.0), ("A", "2024-03-05", 3.0), ("A", "2024-03-05", 3.0),
+              ("B", "2024-01-02", 9.0), ("B", "2024-03-05", 8.0)]
+    landing, target, ck = f"{scratch}/landing", f"{scratch}/target", f"{scratch}/ck"
+    stored = incremental.append_new_bars(bars(spark, first).limit(0), bars(spark, first))
+    stored = incremental.append_new_bars(stored, bars(spark, second))
+    for i, rows in enumerate((first, second)):
+        bars(spark, rows).coalesce(1).write.csv(f"{landing}/b{i}")
+        stream.load_new_bars(spark, f"{landing}/*", target, fmt="csv", checkpoint=ck)
+    key = lambda df: sorted((r.ticker, str(r.date), r.close) for r in df.collect())
+    assert key(spark.read.parquet(target)) == key(stored)
+    assert ("B", "2024-01-02", 9.0) in key(stored) and len(key(stored)) == 5
+
+
+def test_overlapping_files_give_one_bar_per_day(spark, scratch):
+    import time
+    from marketlens.sources.landing import read_bars
+    bars(spark, [("A", "2024-03-01", 1.0), ("A", "2024-03-04", 2.0)]).coalesce(1).write.parquet(f"{scratch}/l/b1")
+    time.sleep(1.1)
+    bars(spark, [("A", "2024-03-04", 2.5)]).coalesce(1).write.parquet(f"{scratch}/l/b2")
+    got = {str(r.date): r.close for r in read_bars(spark, f"{scratch}/l/*").collect()}
+    assert got == {"2024-03-01": 1.0, "2024-03-04": 2.5}
+
+
+def test_tables_not_loaded_again_end_up_empty(spark, scratch):
+    df = _history(spark)
+    tables.full_refresh({"a": df, "b": df}, scratch)
+    tables.full_refresh({"a": df}, scratch, drop={"b": df.schema})
+    assert spark.read.parquet(f"{scratch}/b").count() == 0 and spark.read.parquet(f"{scratch}/a").count() == 3
+
+
+def test_empty_and_dotted_columns_get_a_type(spark):
+    df = spark.createDataFrame([("",)], "`a.b` string")
+    assert tables.create_table_column_types(df) == "a.b VARCHAR(1)"
+
+
+def test_a_cluster_session_needs_a_shared_folder():
+    from types import SimpleNamespace
+    import pytest
+    from marketlens.session import ensure_checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(
+        master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(fake)
+
 def test_full_and_incremental_loads_share_one_schema(spark, scratch):
     # Both paths go through the same normaliser, so schemas are equal
     from marketlens.api import LandingPaths, MarketETL

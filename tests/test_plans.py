@@ -1,10 +1,11 @@
 """Physical-plan checks: pushdown, pruning, shared exchanges, no cross joins."""
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from marketlens.plans import queries as Q
 from marketlens.operators import series
 
+FORECASTS = ("forecast", "forecast_grid_best", "forecast_frame")
+
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -30,8 +31,8 @@ def test_one_exchange_for_returns_and_rolling(spark):
 
 
 def test_no_cartesian_or_nested_loop(spark):
-    for name, fn in E.queries().items():
-        if name in ("forecast", "forecast_grid_best"):
+    for name, fn in Q.QUERIES.items():
+        if name in FORECASTS:
             continue
         p = _plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in p, name
@@ -45,8 +46,17 @@ def test_weekday_filter_pushed_below_joins(spark):
 
 
 def test_python_only_in_the_forecaster(spark):
-    for name, fn in E.queries().items():
+    for name, fn in Q.QUERIES.items():
         p = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         has_group_map = "FlatMapGroupsInPandas" in p
-        assert has_group_map == (name in ("forecast", "forecast_grid_best")), name
+        assert has_group_map == (name in FORECASTS), name
+
+
+def _line_scans(df) -> int:
+    return sum("lineitem.parquet" in line for line in _plan(df).splitlines() if "FileScan parquet" in line)
+
+
+def test_fact_table_is_scanned_once(spark):
+    assert _line_scans(Q.q_enriched_prices(spark, SF_SMALL)) == 1
+    assert _line_scans(Q.q_quality_report(spark, SF_SMALL)) <= 2
