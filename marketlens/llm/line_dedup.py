@@ -112,9 +112,10 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int) -> DataFrame:
 def drop_recurring_lines(df: DataFrame, text: str, min_docs: int = 20,
                          n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """The rows with `text` reduced to the lines that stay, and two counts."""
-    gone = recurring_lines(df, text, min_docs).groupBy("k1", "k2").agg(
+    # Stored, so that the join below can split a text that very many rows hold.
+    gone = cut_lineage(recurring_lines(df, text, min_docs).groupBy("k1", "k2").agg(
         F.collect_list("line_no").alias("__gone")).select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__gone")
+        F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__gone"))
     names = {c: free_name(df, f"__text_{c}") for c in ("k1", "k2")}
     k1, k2 = text_key(F.col(f"`{text}`"))
     keyed = df.withColumns({names["k1"]: k1, names["k2"]: k2})

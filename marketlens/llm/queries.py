@@ -34,10 +34,15 @@ def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = suffix_dedup.remove_repeats(docs, "doc_id", "text")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return done.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
-                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    zero = F.lit(0).cast("long")
+    done = suffix_dedup.with_cuts(
+        docs, "doc_id", "text", suffix_dedup.cut_texts(docs, "text"),
+        {"n_bytes": F.col("n_bytes"), "n_removed": removed, "n_spans": F.size("spans").cast("long"),
+         "kept_sha256": F.sha2("kept", 256)},
+        {"n_bytes": F.octet_length("text").cast("long"), "n_removed": zero, "n_spans": zero,
+         "kept_sha256": F.sha2(F.col("text").cast("binary"), 256)})
+    return done.withColumnRenamed("id", "doc_id")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,10 +117,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op5_top_k": """
         WITH vectors AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS whole
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS whole
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id,
                    list_inner_product(q.whole, c.whole)::BIGINT AS score

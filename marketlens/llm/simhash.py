@@ -186,9 +186,9 @@ def keep_first(df: DataFrame, row_id: str, text: str, shingle: int = 3, radius:
     best = rows.groupBy("root").agg(F.min(key).alias("best"))
     copies = rows.groupBy("id", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
     best = best.select("best.id", "best.k1", "best.k2")
-    stay = best.join(copies, best["id"].eqNullSafe(copies["id"]) & (best["k1"] == copies["k1"])
+    stay = cut_lineage(best.join(copies, best["id"].eqNullSafe(copies["id"]) & (best["k1"] == copies["k1"])
                      & (best["k2"] == copies["k2"])).select(
-        *[best[c].alias(f"__{c}") for c in ("id", "k1", "k2")], F.col("n").alias("__n"))
+        *[best[c].alias(f"__{c}") for c in ("id", "k1", "k2")], F.col("n").alias("__n")))
     names = {c: free_name(df, f"__text_{c}") for c in ("k1", "k2")}
     k1, k2 = text_key(F.col(f"`{text}`"))
     keyed = df.withColumns({names["k1"]: k1, names["k2"]: k2})

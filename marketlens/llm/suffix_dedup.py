@@ -485,42 +485,62 @@ def repeated_ranges(df: DataFrame, text: str) -> DataFrame:
     return ranges.unionByName(copies)
 
 
-def remove_repeats(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """(id, n_bytes, spans, kept): for each row the maximal removed byte ranges
-    and the remaining bytes."""
+def cut_texts(df: DataFrame, text: str) -> DataFrame:
+    """(k1, k2, n_bytes, spans, kept) of each different text that loses bytes:
+    the maximal removed byte ranges and the remaining bytes."""
     ranges = repeated_ranges(df, text).groupBy("k1", "k2").agg(
         F.collect_set(F.struct("start", "end")).alias("ranges"))
-    k1, k2 = text_key(F.col(f"`{text}`"))
-    rows = df.select(F.col(f"`{row_id}`").alias("id"), k1.alias("k1"), k2.alias("k2"),
-                     F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    kind = df.schema[row_id].dataType.simpleString()
-
-    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = pa.array([_squeeze(t.as_buffer()) for t in batch.column("text").cast(pa.binary())], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("k1"), batch.column("k2"), packed],
-                                             names=["id", "k1", "k2", "squeezed"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            sizes, spans, kept = [], [], []
-            for s, r in zip(batch.column("squeezed"), batch.column("ranges").to_pylist()):
+            rows = []
+            for k1, k2, s, r in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(),
+                                    batch.column("squeezed"), batch.column("ranges")):
+                if (k1, k2) in seen:
+                    continue
+                seen.add((k1, k2))
                 t = _unsqueeze(s.as_py())
                 merged: list[list[int]] = []
-                for a, b in sorted((x["start"], x["end"]) for x in r or []):
+                for a, b in sorted((x["start"], x["end"]) for x in r.as_py()):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
                         merged.append([a, b])
                 edges = [0, *(e for m in merged for e in m), len(t)]
-                sizes.append(len(t))
-                spans.append([{"start": a, "end": b} for a, b in merged])
-                kept.append(b"".join(t[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())],
-                names=["id", "n_bytes", "spans", "kept"])
-
-    packed = rows.mapInArrow(squeeze, f"id {kind}, k1 long, k2 long, squeezed binary")
-    met = packed.join(ranges.hint("shuffle_hash"), ["k1", "k2"], "left").select("id", "squeezed", "ranges")
-    return met.mapInArrow(cut, f"id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+                rows.append((k1, k2, len(t), [{"start": a, "end": b} for a, b in merged],
+                             b"".join(t[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))))
+            yield _rows(rows, [("k1", pa.int64()), ("k2", pa.int64()), ("n_bytes", pa.int64()),
+                               ("spans", span), ("kept", pa.binary())])
+
+    met = _texts(df, text).join(ranges.hint("shuffle_hash"), ["k1", "k2"])
+    return met.mapInArrow(cut, "k1 long, k2 long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary")
+
+
+def with_cuts(df: DataFrame, row_id: str, text: str, cuts: DataFrame, keep: dict[str, F.Column],
+              whole: dict[str, F.Column]) -> DataFrame:
+    """One row per input row: its id and the columns `keep` derived from its
+    text's cut, or `whole` derived from the text (`text`, null read as empty)
+    where nothing is cut.
+
+    Texts stay where they are; what is derived from the cuts joins them by
+    content key."""
+    k1, k2 = text_key(F.col(f"`{text}`"))
+    rows = df.select(F.col(f"`{row_id}`").alias("id"), k1.alias("k1"), k2.alias("k2"),
+                     F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    rows = rows.select("id", "k1", "k2", *[c.alias(f"__{n}") for n, c in whole.items()])
+    found = cuts.select("k1", "k2", F.lit(True).alias("__cut"), *[c.alias(n) for n, c in keep.items()])
+    # A text that two tasks held is cut twice, alike.
+    found = cut_lineage(found.dropDuplicates(["k1", "k2"]))
+    met = rows.join(found, ["k1", "k2"], "left")
+    return met.select("id", *[F.when(F.col("__cut"), F.col(n)).otherwise(F.col(f"__{n}")).alias(n) for n in keep])
+
+
+def remove_repeats(df: DataFrame, row_id: str, text: str) -> DataFrame:
+    """(id, n_bytes, spans, kept): for each row the maximal removed byte ranges
+    and the remaining bytes."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return with_cuts(df, row_id, text, cut_texts(df, text),
+                     {"n_bytes": F.col("n_bytes"), "spans": F.col("spans"), "kept": F.col("kept")},
+                     {"n_bytes": F.octet_length("text").cast("long"), "spans": none, "kept": F.col("text").cast("binary")})

@@ -251,7 +251,7 @@ def fit(bags: list[tuple[int, list[str]]]) -> Model:
         often = np.array([in_clean[number[v]] for v in neg], dtype=float)
         share = np.concatenate([share / share.sum(), often / often.sum() + 2 / len(neg)])
         w, bias = hinge(x, y, share)
-        table = np.tensordot(root @ w, np.stack(tables), axes=1).astype(np.float32)
+        table = sum((a * t for a, t in zip((root @ w).astype(np.float32), tables)), empty)
         values = _values(list(vocab), table) + bias
         worst = seen_clean[np.argsort(-values[seen_clean], kind="stable")[:MAX_NEGATIVES // 8]]
         negatives.update(dict.fromkeys(vocab[worst]))
