@@ -50,9 +50,9 @@ SAMPLE = 128
 GRAM = 16
 CORE = LENGTH - SAMPLE + 1
 SAMPLE_KEYS = 20_000
-RUN_KEYS = 200_000
+RUN_KEYS = 50_000
 CLASS_KEYS = 4096
-CHUNK = 1 << 22
+CHUNK = 1 << 19
 PLACES = np.uint64((1 << 24) - 1)  # a chunk holds under 2 * CHUNK + LENGTH bytes
 
 
