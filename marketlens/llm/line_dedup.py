@@ -9,8 +9,9 @@ template recurs, and its lines are dropped from every document, when
 
 - at least half of its tokens, and two, are constant, and
 - it is found in at least `min_docs` different texts that do not look like
-  copies of each other: of their first lines, middle lines or last lines, at
-  least `min_docs` differ, and at least `SPREAD` for each text that has it.
+  copies of each other: of the beginnings (`SIGNATURE` tokens) of their first
+  lines, middle lines or last lines, at least `min_docs` differ, and at least
+  `SPREAD` for each text that has it.
 
 The second rule leaves copies of a whole document to the document-level
 operators; without it, a large group of copies would lose all of its lines.
@@ -35,6 +36,7 @@ from .common import cut_lineage, free_name, text_key
 DEPTH = 3
 MIN_TOKENS = 3
 SPREAD = 0.2
+SIGNATURE = 4
 BROADCAST_ROWS = 500_000
 BLANKS = " \t\r"
 VARIABLE = "<*>"
@@ -52,6 +54,11 @@ def _masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(token)
 
 
+def _beginning(line: Column) -> Column:
+    first = F.slice(F.split(F.btrim(line, F.lit(BLANKS)), "[ \t\r]+", SIGNATURE + 1), 1, SIGNATURE)
+    return F.xxhash64(F.transform(first, _masked))
+
+
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast a checkpointed table after counting it, else leave the join
     to the engine."""
@@ -60,12 +67,12 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _parsed(df: DataFrame, text: str) -> DataFrame:
     """One row per line that can be a template: content key of its text, line
-    number, leaf, tokens, and the text's first, middle and last line hashes."""
+    number, leaf, tokens, and how the text's first, middle and last lines begin."""
     k1, k2 = text_key(F.col(f"`{text}`"))
     texts = df.where(F.col(f"`{text}`").isNotNull()).select(
         k1.alias("k1"), k2.alias("k2"), _lines(F.col(f"`{text}`")).alias("lines"))
     half = F.floor((F.size("lines") - 1) / 2).cast("int")
-    rows = texts.select("k1", "k2", *[F.xxhash64(F.get("lines", i)).alias(n) for n, i in (
+    rows = texts.select("k1", "k2", *[_beginning(F.get("lines", i)).alias(n) for n, i in (
         ("head", F.lit(0)), ("middle", half), ("tail", F.size("lines") - 1))],
         F.posexplode("lines").alias("line_no", "line"))
     rows = rows.withColumn("tokens", _tokens(F.col("line"))).withColumn("n", F.size("tokens"))

@@ -114,7 +114,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
+def _masked_sql(line: str) -> str:
+    """The tokens of a line in DuckDB, those with a digit as a variable field."""
+    return (f"list_transform(regexp_split_to_array(trim({line}, ' ' || chr(9) || chr(13)), '[ \\t\\r]+'), "
+            f"lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END)")
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_line_dedup": f"""
+        WITH texts AS (
+            SELECT text, string_split(text, chr(10)) AS ls
+            FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL)),
+        ends AS (
+            SELECT *, ({_masked_sql('ls[1]')})[1:4] AS head,
+                   ({_masked_sql('ls[(len(ls) - 1) // 2 + 1]')})[1:4] AS middle,
+                   ({_masked_sql('ls[len(ls)]')})[1:4] AS tail
+            FROM texts),
+        lines AS (SELECT text, head, middle, tail, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM ends),
+        parsed AS (SELECT text, head, middle, tail, line_no, {_masked_sql('line')} AS tokens FROM lines),
+        leaves AS (SELECT *, len(tokens) AS n, tokens[1:3] AS leading FROM parsed WHERE len(tokens) >= 3),
+        placed AS (SELECT text, line_no, n, leading, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS at FROM leaves),
+        constant AS (
+            SELECT n, leading, at, token FROM placed WHERE token <> '<*>'
+            GROUP BY n, leading, at, token HAVING count(*) >= {RECURRING_FROM}),
+        templates AS (
+            SELECT text, line_no, n, leading, list((at, token) ORDER BY at) AS template
+            FROM placed JOIN constant USING (n, leading, at, token)
+            GROUP BY text, line_no, n, leading HAVING count(*) >= 2 AND count(*) * 2 >= n),
+        found AS (SELECT t.*, e.head, e.middle, e.tail FROM templates t JOIN ends e USING (text)),
+        recurring AS (
+            SELECT n, leading, template FROM found GROUP BY n, leading, template
+            HAVING count(DISTINCT text) >= {RECURRING_FROM}
+               AND greatest(count(DISTINCT head), count(DISTINCT middle), count(DISTINCT tail))
+                   >= greatest({RECURRING_FROM}, count(DISTINCT text) * 0.2)),
+        gone AS (
+            SELECT text, list(line_no) AS dropped FROM found JOIN recurring USING (n, leading, template) GROUP BY text)
+        SELECT d.doc_id,
+               CASE WHEN g.dropped IS NULL THEN d.text
+                    ELSE array_to_string(list_filter(string_split(d.text, chr(10)),
+                         lambda x, i: NOT list_contains(g.dropped, i)), chr(10)) END AS text,
+               coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,
+               coalesce(len(g.dropped), 0)::BIGINT AS n_dropped
+        FROM documents d LEFT JOIN gone g ON d.text = g.text""",
     "op5_top_k": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS whole

@@ -76,18 +76,21 @@ def leaks(text, items, window=13, mismatches=2, shortest=5):
     return out
 
 
-def recurring(texts, min_docs, depth=3, min_tokens=3, spread=0.2):
+def masked_tokens(line):
+    return ["<*>" if re.search("[0-9]", x) else x for x in re.split("[ \t\r]+", line.strip(" \t\r"))]
+
+
+def recurring(texts, min_docs, depth=3, min_tokens=3, spread=0.2, signature=4):
     """{(text, line number)} of the lines that belong to a recurring template."""
     lines, leaves = [], defaultdict(list)
     for t in dict.fromkeys(t for t in texts if t is not None):
         all_lines = t.split("\n")
-        ends = (all_lines[0], all_lines[(len(all_lines) - 1) // 2], all_lines[-1])
+        ends = [tuple(masked_tokens(all_lines[i])[:signature]) for i in (0, (len(all_lines) - 1) // 2, -1)]
         for n, line in enumerate(all_lines):
-            tokens = re.split("[ \t\r]+", line.strip(" \t\r"))
-            if len(tokens) >= min_tokens:
-                masked = ["<*>" if re.search("[0-9]", x) else x for x in tokens]
+            masked = masked_tokens(line)
+            if len(masked) >= min_tokens:
                 lines.append((t, n, masked, ends))
-                leaves[len(tokens), *masked[:depth]].append(lines[-1])
+                leaves[len(masked), *masked[:depth]].append(lines[-1])
     out = set()
     for leaf in leaves.values():
         seen = Counter((i, x) for _, _, masked, _ in leaf for i, x in enumerate(masked) if x != "<*>")
