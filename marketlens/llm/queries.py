@@ -132,23 +132,23 @@ ORACLE_SQL: dict[str, str] = {
             FROM texts),
         lines AS (SELECT text, head, middle, tail, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM ends),
         parsed AS (SELECT text, head, middle, tail, line_no, {_masked_sql('line')} AS tokens FROM lines),
-        leaves AS (SELECT *, len(tokens) AS n, tokens[1:3] AS leading FROM parsed WHERE len(tokens) >= 3),
-        placed AS (SELECT text, line_no, n, leading, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS at FROM leaves),
-        constant AS (
-            SELECT n, leading, at, token FROM placed WHERE token <> '<*>'
-            GROUP BY n, leading, at, token HAVING count(*) >= {RECURRING_FROM}),
+        leaves AS (SELECT *, len(tokens) AS n, tokens[1:3] AS start3 FROM parsed WHERE len(tokens) >= 3),
+        placed AS (SELECT text, line_no, n, start3, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM leaves),
+        fixed_tokens AS (
+            SELECT n, start3, spot, token FROM placed WHERE token <> '<*>'
+            GROUP BY n, start3, spot, token HAVING count(*) >= {RECURRING_FROM}),
         templates AS (
-            SELECT text, line_no, n, leading, list((at, token) ORDER BY at) AS template
-            FROM placed JOIN constant USING (n, leading, at, token)
-            GROUP BY text, line_no, n, leading HAVING count(*) >= 2 AND count(*) * 2 >= n),
+            SELECT text, line_no, n, start3, list((spot, token) ORDER BY spot) AS template
+            FROM placed JOIN fixed_tokens USING (n, start3, spot, token)
+            GROUP BY text, line_no, n, start3 HAVING count(*) >= 2 AND count(*) * 2 >= n),
         found AS (SELECT t.*, e.head, e.middle, e.tail FROM templates t JOIN ends e USING (text)),
         recurring AS (
-            SELECT n, leading, template FROM found GROUP BY n, leading, template
+            SELECT n, start3, template FROM found GROUP BY n, start3, template
             HAVING count(DISTINCT text) >= {RECURRING_FROM}
                AND greatest(count(DISTINCT head), count(DISTINCT middle), count(DISTINCT tail))
                    >= greatest({RECURRING_FROM}, count(DISTINCT text) * 0.2)),
         gone AS (
-            SELECT text, list(line_no) AS dropped FROM found JOIN recurring USING (n, leading, template) GROUP BY text)
+            SELECT text, list(line_no) AS dropped FROM found JOIN recurring USING (n, start3, template) GROUP BY text)
         SELECT d.doc_id,
                CASE WHEN g.dropped IS NULL THEN d.text
                     ELSE array_to_string(list_filter(string_split(d.text, chr(10)),
