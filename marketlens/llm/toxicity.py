@@ -165,8 +165,13 @@ def text_words(texts: list[str], kinds: np.ndarray) -> list[list[str]]:
 
 
 def _values(words: list[str], table: np.ndarray) -> np.ndarray:
-    codes = np.frombuffer("".join(" " + w for w in words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    return word_values(codes.astype(np.uint32), table)[0]
+    """Value of each word, some thousand at a time."""
+    out = [np.zeros(0)]
+    for i in range(0, len(words), 8192):
+        text = "".join(" " + w for w in words[i:i + 8192])
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        out.append(word_values(codes.astype(np.uint32), table)[0])
+    return np.concatenate(out)
 
 
 def surprise(a: np.ndarray, n: np.ndarray, toxic: int, clean: int) -> np.ndarray:
