@@ -334,7 +334,8 @@ def _anchor_rows(df: DataFrame, text: str) -> DataFrame:
 def candidates(df: DataFrame, text: str) -> DataFrame:
     """(k1, places) of the anchors whose core hash is met again."""
     rows = _anchor_rows(df, text)
-    again = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core")
+    # Stored, so that the join below can split a core that very many texts hold.
+    again = cut_lineage(rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"))
     met = rows.join(again, "core", "left_semi")
     return cut_lineage(met.groupBy("k1").agg(F.collect_set("place").alias("places")))
 
@@ -474,7 +475,8 @@ def repeated_ranges(df: DataFrame, text: str) -> DataFrame:
     cuts = borders(texts, cands, parts)
     found = cut_lineage(combine(sorted_runs(texts, cands, cuts), cuts))
     windows = found.where(F.col("d1").isNotNull())
-    again = windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2")
+    again = cut_lineage(windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("d1", "d2"))
     across = windows.join(again, ["d1", "d2"], "left_semi")
     ranges = found.where(F.col("d1").isNull()).unionByName(across).select("k1", "k2", "start", "end")
     k1, k2 = text_key(F.col(f"`{text}`"))
