@@ -1,6 +1,6 @@
-"""Summarise the final (post-AQE) physical plan of every registered query.
+"""Summarise the final (post-AQE) physical plan of every market query.
 
-Runs each query once (noop sink), then counts operators in the executed
+Runs each query once, then counts operators in the executed
 plan.  Writes a markdown table to stdout; PLANS.md holds a copy.
 """
 
@@ -36,16 +36,16 @@ def _finals(text: str) -> str:
 
 
 def main(sf_dir: str) -> None:
-    import __spark_entry__ as E
+    from marketlens.plans.queries import QUERIES
     from marketlens.session import local_session
 
     spark = local_session(8, app="marketlens-plans")
     print("| query | " + " | ".join(k for k, _ in KEYS) + " |")
     print("| --- " * (len(KEYS) + 1) + "|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
-        df.collect()
         plan = df._jdf.queryExecution().executedPlan()
+        plan.execute().count()  # runs it, and leaves the rows on the executors
         if plan.nodeName() == "AdaptiveSparkPlan":
             plan = plan.executedPlan()  # the final plan after AQE re-planning
         text = "\n".join(line for line in plan.toString().splitlines()
