@@ -72,9 +72,10 @@ def _parsed(df: DataFrame, text: str) -> DataFrame:
     texts = df.where(F.col(f"`{text}`").isNotNull()).select(
         k1.alias("k1"), k2.alias("k2"), _lines(F.col(f"`{text}`")).alias("lines"))
     half = F.floor((F.size("lines") - 1) / 2).cast("int")
-    rows = texts.select("k1", "k2", *[_beginning(F.get("lines", i)).alias(n) for n, i in (
-        ("head", F.lit(0)), ("middle", half), ("tail", F.size("lines") - 1))],
-        F.posexplode("lines").alias("line_no", "line"))
+    # Once per text, in a projection below the explode.
+    texts = texts.select("k1", "k2", "lines", *[_beginning(F.get("lines", i)).alias(n) for n, i in (
+        ("head", F.lit(0)), ("middle", half), ("tail", F.size("lines") - 1))])
+    rows = texts.select("k1", "k2", "head", "middle", "tail", F.posexplode("lines").alias("line_no", "line"))
     rows = rows.withColumn("tokens", _tokens(F.col("line"))).withColumn("n", F.size("tokens"))
     leading = [_masked(F.get("tokens", F.lit(i))) for i in range(DEPTH)]
     return rows.where(F.col("n") >= MIN_TOKENS).withColumn("leaf", F.xxhash64("n", *leading))
