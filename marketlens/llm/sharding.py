@@ -8,7 +8,7 @@ as four 16-bit limbs.
 
 Cases: a null key is placed as key -1; a null text has size 8 and CRC 0;
 repeated rows share a shard and get different slots; an empty table gives no
-rows; other columns, whatever their names, pass through `assign_shards`.
+rows; other columns pass through, and a result column replaces one of its name.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 # Fixed value: the multiplier of the generator in the published algorithm.
 MULTIPLIER = 2862933555777941757
 LIMBS = [(MULTIPLIER >> s) & 0xFFFF for s in (0, 16, 32, 48)]
@@ -73,10 +75,10 @@ def number_slots(df: DataFrame, shard_col: str = "shard", slot_col: str = "slot"
     offsets, a window numbers the rows inside a block, and counts of equal rows
     are expanded last, in chunks, so repeated rows never meet in one task.
     """
-    spark = df.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.drop(slot_col)
     cols = df.columns
-    count, block, first, base, chunk = "__copies", "__block", "__first", "__base", "__chunk"
+    count, block, first, base, chunk = (free_name(df, n) for n in ("copies", "block", "first", "base", "chunk"))
     size = 65536
     rows = (df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias(count))
             .withColumn(block, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(blocks))))
@@ -84,10 +86,10 @@ def number_slots(df: DataFrame, shard_col: str = "shard", slot_col: str = "slot"
     rows = rows.withColumn(first, F.sum(count).over(
         in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(count))
     before = Window.partitionBy(shard_col).orderBy(block)
-    bases = (rows.groupBy(shard_col, block).agg(F.sum(count).alias("__n"))
-             .withColumn(base, F.sum("__n").over(
-                 before.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__n"))
-             .drop("__n"))
+    bases = (rows.groupBy(shard_col, block).agg(F.sum(count).alias(count))
+             .withColumn(base, F.sum(count).over(
+                 before.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(count))
+             .drop(count))
     placed = rows.join(bases, [shard_col, block]).withColumn(first, F.col(first) + F.col(base))
     chunks = placed.withColumn(chunk, F.explode(
         F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(size).cast("long"))))

@@ -27,7 +27,7 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
 
 def test_slots_are_gapless_with_nulls_and_repeated_rows(spark):
     rows = [(None, "x", 1), (None, "x", 1), *[(7, "same", 2)] * 40, *[(i, f"t{i}", 3) for i in range(200)]]
-    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    df = spark.createDataFrame([(*r, r[2], r[2]) for r in rows], "doc_id long, text string, block int, SLOT int, shard int")
     out = sharding.number_slots(sharding.assign_shards(df, "doc_id", 5), blocks=7).collect()
     assert len(out) == len(rows)
     by = {}
