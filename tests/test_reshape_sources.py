@@ -123,3 +123,53 @@ def test_read_wide_bars_and_statements_csv(spark, scratch):
     st = landing.read_financial_statements(spark, f"{scratch}/s", ["revenue"], fmt="csv")
     assert sorted((str(r.date), r.revenue) for r in st.collect()) == [
         ("2022-12-31", 20.0), ("2023-12-31", 10.0)]
+
+
+def test_wide_file_with_title_case_measures(spark, scratch):
+    from marketlens.sources.landing import read_wide_bars
+    wide = spark.createDataFrame([("2024-01-08", 1.5, 100, 7.0), ("2024-01-09", None, None, 8.0)],
+                                 "Date string, `IAG.L_Close` double, `IAG.L_Volume` long, `AF.PA_Close` double")
+    wide.write.parquet(f"{scratch}/wide")
+    got = {(r.ticker, str(r.date)): (r.close, r.volume) for r in read_wide_bars(spark, f"{scratch}/wide").collect()}
+    assert got == {("IAG.L", "2024-01-08"): (1.5, 100), ("AF.PA", "2024-01-08"): (7.0, None),
+                   ("AF.PA", "2024-01-09"): (8.0, None)}
+
+
+def test_wide_file_without_measures_is_refused(spark):
+    import pytest
+    with pytest.raises(ValueError, match="measure"):
+        reshape.wide_to_long(spark.createDataFrame([("2024-01-08", 1.0)], "date string, x_price double"))
+
+
+def test_unreadable_and_large_volumes(spark):
+    from marketlens.operators.normalize import normalize_bars
+    texts = ["1e30", "n/a", "12.6", "1e3", "9007199254740993", "", "-5"]
+    raw = spark.createDataFrame([("A", f"2024-01-{i + 1:02d}", v) for i, v in enumerate(texts)],
+                                "Ticker string, Date string, Volume string")
+    got = [r.volume for r in normalize_bars(raw).orderBy("date").collect()]
+    assert got == [None, None, 13, 1000, 9007199254740993, None, -5]
+
+
+def test_statement_dates_without_values_give_no_rows(spark):
+    st = spark.createDataFrame([("A", "cost", 1.0, None), ("A", "revenue", 2.0, None), ("B", "cost", None, 3.0)],
+                               "ticker string, metric string, `2020-12-31` double, `2021-12-31` double")
+    rows = sorted((r.ticker, str(r.date), r.cost, r.revenue)
+                  for r in reshape.transpose_financials(st, ["cost", "revenue"]).collect())
+    assert rows == [("A", "2020-12-31", 1.0, 2.0), ("B", "2021-12-31", 3.0, None)]
+    assert reshape.statement_long(st).count() == 3
+
+
+def test_news_time_under_the_feeds_key_and_rejected_payloads(spark):
+    rows = [("A", '[{"uuid": "1", "providerPublishTime": 7}, {"uuid": "2", "provider_publish_time": 8}]'),
+            ("A", "not json"), ("A", None), ("A", "[]")]
+    df = spark.createDataFrame(rows, "ticker string, payload string")
+    assert {r.uuid: r.provider_publish_time for r in reshape.explode_news(df).collect()} == {"1": 7, "2": 8}
+    assert [r.payload for r in reshape.news_rejects(df).collect()] == ["not json"]
+
+
+def test_tickers_that_share_a_flat_name_are_refused(spark):
+    import pytest
+    df = spark.createDataFrame([("BRK.B", "2024-01-08", 1.0)], "ticker string, date string, close double")
+    with pytest.raises(ValueError, match="share"):
+        reshape.pivot_measure(df, "close", ["BRK.B", "BRK_B"])
+
