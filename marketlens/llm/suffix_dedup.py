@@ -52,6 +52,7 @@ CORE = LENGTH - SAMPLE + 1
 SAMPLE_KEYS = 20_000
 RUN_KEYS = 50_000
 CLASS_KEYS = 4096
+OUT_ROWS = 50_000
 CHUNK = 1 << 19
 PLACES = np.uint64((1 << 24) - 1)  # a chunk holds under 2 * CHUNK + LENGTH bytes
 
@@ -243,7 +244,9 @@ def window_bytes(key: bytes) -> tuple[bytes, int]:
 
 
 def repeated(entries: list[tuple[bytes, list]]) -> Iterator[tuple[int, int, int, int]]:
-    """(k1, k2, start, end) repeated within the keys of one core."""
+    """(k1, k2, start, end) repeated within the keys of one core.  A place that
+    two runs hold counts once."""
+    entries = [(key, places if len(places) == 1 else sorted(set(places))) for key, places in entries]
     for key, places in entries:
         if len(places) > 1:
             size = len(key) - 2
@@ -340,16 +343,15 @@ def candidates(df: DataFrame, text: str) -> DataFrame:
     return cut_lineage(met.groupBy("k1").agg(F.collect_set("place").alias("places")))
 
 
-def _keys(squeezed: bytes, places: np.ndarray) -> Iterator[tuple[bytes, int]]:
+def _keys(t: bytes, places: np.ndarray) -> Iterator[tuple[bytes, int]]:
     """(key, anchor) of a text's candidate anchors."""
-    t = _unsqueeze(squeezed)
     for _, anchor, first, last, _ in anchors([t]):
         pick = np.flatnonzero(np.isin(anchor, places))
         for a, f, e in zip(anchor[pick].tolist(), first[pick].tolist(), last[pick].tolist()):
             yield key_of(t, a, f, e), a
 
 
-def borders(texts: DataFrame, cands: DataFrame, parts: int) -> list[bytes]:
+def borders(df: DataFrame, text: str, cands: DataFrame, parts: int) -> list[bytes]:
     """Up to parts-1 keys that cut the sampled keys into equal shares.  The
     sample (about SAMPLE_KEYS keys) decides balance only, never the result."""
     total = cands.agg(F.sum(F.size("places"))).first()[0] or 0
@@ -360,11 +362,13 @@ def borders(texts: DataFrame, cands: DataFrame, parts: int) -> list[bytes]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _rows([(key,) for s, p in zip(batch.column("squeezed"), batch.column("places"))
-                         for key, _ in _keys(s.as_py(), np.asarray(p.values))], [("key", pa.binary())])
+            yield _rows([(key,) for t, p in zip(batch.column("text").cast(pa.binary()), batch.column("places"))
+                         for key, _ in _keys(t.as_py(), np.asarray(p.values))], [("key", pa.binary())])
 
-    drawn = texts.join(F.broadcast(some), "k1").select("squeezed", "places").mapInArrow(run, "key binary")
-    keys = sorted(bytes(r[0]) for r in drawn.collect())
+    k1, _ = text_key(F.col(f"`{text}`"))
+    rows = df.select(k1.alias("k1"), F.col(f"`{text}`").alias("text"))
+    drawn = rows.join(F.broadcast(some), "k1").select("text", "places").mapInArrow(run, "key binary")
+    keys = sorted(bytes(r[0]) for r in drawn.distinct().collect())  # copies of a text give its keys once
     cuts = {keys[len(keys) * i // parts] for i in range(1, parts)} if keys else set()
     return sorted(cuts)
 
@@ -392,7 +396,7 @@ def sorted_runs(texts: DataFrame, cands: DataFrame, cuts: list[bytes]) -> DataFr
                 if (k1, k2) in seen:
                     continue
                 seen.add((k1, k2))
-                for key, a in _keys(s.as_py(), np.asarray(p.values)):
+                for key, a in _keys(_unsqueeze(s.as_py()), np.asarray(p.values)):
                     held.setdefault(key, set()).add((k1, k2, a))
                 if len(held) >= RUN_KEYS:
                     yield from flush(held)
@@ -420,6 +424,7 @@ def combine(runs: DataFrame, cuts: list[bytes]) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         import xxhash
 
+        done: list[pa.RecordBatch] = []  # results, compact
         out: list[tuple] = []
         entries: list[tuple[bytes, list]] = []
         wide = False
@@ -433,11 +438,13 @@ def combine(runs: DataFrame, cuts: list[bytes]) -> DataFrame:
                     out.append((int.from_bytes(d[:8], "little", signed=True),
                                 int.from_bytes(d[8:], "little", signed=True),
                                 k1, k2, a - before + i, a - before + i + LENGTH))
-                if len(places) > 1:
-                    out.extend((None, None, *r) for r in repeated([(key, places)]))
+                out.extend((None, None, *r) for r in repeated([(key, places)]))
             entries.clear()
 
         def close() -> None:
+            if len(out) >= OUT_ROWS:
+                done.append(_rows(out, fields))
+                out.clear()
             if wide:
                 spread()
             else:
@@ -448,7 +455,7 @@ def combine(runs: DataFrame, cuts: list[bytes]) -> DataFrame:
         for shared, key, places in merge(readers):
             found = list(map(tuple, places.tolist()))
             if entries and shared == len(key) and entries[-1][0] == key:
-                entries[-1] = (key, sorted({*entries[-1][1], *found}))
+                entries[-1][1].extend(found)
                 continue
             if shared < CORE:
                 close()
@@ -456,11 +463,11 @@ def combine(runs: DataFrame, cuts: list[bytes]) -> DataFrame:
             elif len(entries) >= CLASS_KEYS:
                 wide = True
                 last = entries.pop()  # equal keys may still follow
-                spread()
+                close()
                 entries.append(last)
             entries.append((key, found))
         close()
-        return pa.Table.from_batches([_rows(out, fields)])
+        return pa.Table.from_batches([*done, _rows(out, fields)])
 
     return runs.groupBy("part").applyInArrow(
         run, "d1 long, d2 long, k1 long, k2 long, start int, end int")
@@ -472,7 +479,7 @@ def repeated_ranges(df: DataFrame, text: str) -> DataFrame:
     cands = candidates(df, text)
     texts = _texts(df, text)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = borders(texts, cands, parts)
+    cuts = borders(df, text, cands, parts)
     found = cut_lineage(combine(sorted_runs(texts, cands, cuts), cuts))
     windows = found.where(F.col("d1").isNotNull())
     again = cut_lineage(windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"))
