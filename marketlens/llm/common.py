@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
+from typing import Any
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,16 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(t), F.xxhash64(t, F.lit(1))]
 
 
+def send(spark: SparkSession, value: Any) -> Broadcast:
+    """Broadcast an object of a class of this subpackage, its code included, for
+    workers that have no copy of the package; read it with `received`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent: Broadcast) -> Any:
+    return pickle.loads(sent.value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`, which all executors share.
 

@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import free_name, received, send
+
 MASKS = ("11101011", "110100111")
 WINDOW = 13
 MISMATCHES = 2
@@ -191,9 +193,8 @@ def find_leaks(docs: DataFrame, text: str, bench: DataFrame, bench_id: str = "it
     result = docs
     for k in range(blocks):
         rows = parts.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k).select("item_id", "words").collect()
-        index = spark.sparkContext.broadcast(Index([(r[0], bytes(r[1])) for r in rows]))
-        found = _join_block(result, text, index, out, schema)
-        result = found
+        index = send(spark, Index([(r[0], bytes(r[1])) for r in rows]))
+        result = _join_block(result, text, index, out, schema)
     return result
 
 
@@ -203,6 +204,7 @@ def _join_block(docs: DataFrame, text: str, index, out: str, schema: T.StructTyp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("item_id", "first_word", "end_word")
+        ix = received(index)
         for batch in batches:
             found: list[list] = []
             group: list[list[bytes]] = []
@@ -211,9 +213,9 @@ def _join_block(docs: DataFrame, text: str, index, out: str, schema: T.StructTyp
                 group.append(words_of(value))
                 held += len(group[-1])
                 if held >= BATCH_WORDS:
-                    found += index.value.leaks(group)
+                    found += ix.leaks(group)
                     group, held = [], 0
-            found += index.value.leaks(group)
+            found += ix.leaks(group)
             new = [[dict(zip(names, x)) for x in row] for row in found]
             if before:
                 new = [a + b for a, b in zip(batch.column(out).to_pylist(), new)]
@@ -227,7 +229,5 @@ def _join_block(docs: DataFrame, text: str, index, out: str, schema: T.StructTyp
 def clean(docs: DataFrame, text: str, bench: DataFrame, bench_id: str = "item_id",
           bench_text: str = "text") -> DataFrame:
     """The documents that leak no test item, with their own columns."""
-    from .common import free_name
-
     out = free_name(docs, "leaks")
     return find_leaks(docs, text, bench, bench_id, bench_text, out).where(F.size(out) == 0).drop(out)

@@ -25,7 +25,6 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from math import log
 
 import pyarrow as pa
@@ -172,7 +171,6 @@ def _text(raw: str, role: str | None, main: bool) -> Iterator[tuple[str, str, in
     yield f"word {role or 'plain'}{' in main' if main else ''}", text, len(text.split())
 
 
-@lru_cache(maxsize=1)
 def weights() -> dict[str, float]:
     """Log-odds of each kind of token, learned from the labelled pages."""
     inside, outside = Counter(), Counter()
@@ -201,11 +199,11 @@ def _weight(kind: str, learned: dict[str, float]) -> float:
     return -0.3
 
 
-def extract(page: str | None) -> str:
-    """Main text of a page."""
+def extract(page: str | None, learned: dict[str, float] | None = None) -> str:
+    """Main text of a page, by the given weights or those of the labelled pages."""
     if not page:
         return ""
-    learned = weights()
+    learned = weights() if learned is None else learned
     parts = [t for t in tokens(page)]
     best = total = 0.0
     begin = 0
@@ -233,9 +231,11 @@ def extract_pages(df: DataFrame, html: str, out: str = "text") -> DataFrame:
     schema = T.StructType([f for f in df.schema.fields if f.name.lower() not in gone]
                           + [T.StructField(out, T.StringType(), False)])
 
+    learned = weights()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([extract(p.as_py()) for p in batch.column(html)], pa.string())
+            found = pa.array([extract(p.as_py(), learned) for p in batch.column(html)], pa.string())
             keep = [(n, c) for n, c in zip(batch.schema.names, batch.columns) if n.lower() not in gone]
             yield pa.RecordBatch.from_arrays([c for _, c in keep] + [found], names=[n for n, _ in keep] + [out])
 

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import received, send
+
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 512
 EXACT_FLOAT = 2.0 ** 52
@@ -164,7 +166,7 @@ def top_k(df: DataFrame, row_id: str, vector: str, is_query: F.Column, k: int =
                 made.setdefault(m.shape[1], []).append((ids, m))
         index = {dim: QueryBlock(np.concatenate([i for i, _ in found]), np.concatenate([m for _, m in found]))
                  for dim, found in made.items()}
-        parts.append(_search(rows.select("id", "vector"), df.sparkSession.sparkContext.broadcast(index), k, scale))
+        parts.append(_search(rows.select("id", "vector"), send(df.sparkSession, index), k, scale))
     found = reduce(DataFrame.unionByName, parts)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -173,7 +175,7 @@ def top_k(df: DataFrame, row_id: str, vector: str, is_query: F.Column, k: int =
 
 def _search(rows: DataFrame, index, k: int, scale: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = index.value
+        blocks = received(index)
         best = {dim: Best(len(b.ids), k) for dim, b in blocks.items()}
 
         def out(found: list[tuple[int, int, int]]) -> pa.RecordBatch:

@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import received, send
+
 DECAY = 0.6
 SPAN = 5
 SHORT = 7
@@ -327,10 +329,10 @@ def score(df: DataFrame, text: str, model: Model, out: str = "score") -> DataFra
     """Add `out`, the probability of toxicity, by a narrow pass."""
     fields = [f for f in df.schema.fields if f.name.lower() != out.lower()]
     schema = T.StructType(fields + [T.StructField(out, T.DoubleType(), False)])
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent = send(df.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, kinds = sent.value, character_kinds()
+        m, kinds = received(sent), character_kinds()
         for batch in batches:
             texts = [t or "" for t in batch.column(text).to_pylist()]
             best = np.full(len(texts), LOWEST)
