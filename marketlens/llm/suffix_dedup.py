@@ -21,8 +21,8 @@ offsets, and their suffixes from the anchor share `CORE` bytes.
    next to each other.
 4. Equal keys of two places repeat all their windows.  Different keys of one
    core are resolved window by window, in the partition.  Where a border cuts a
-   core, or a core has very many keys, the windows go by 128-bit hash into one
-   more aggregate instead, which combines before its shuffle, so no frequent
+   core, or a core has very many keys, one of each different window left also
+   goes by its 128-bit hash into an aggregate over all parts, so no frequent
    passage meets in one task.
 
 Texts are identified by a 128-bit content key.  Equal texts enter once and, at
@@ -243,9 +243,12 @@ def window_bytes(key: bytes) -> tuple[bytes, int]:
     return left + key[:n], len(left)
 
 
-def repeated(entries: list[tuple[bytes, list]]) -> Iterator[tuple[int, int, int, int]]:
+def repeated(entries: list[tuple[bytes, list]], others: list | None = None) -> Iterator[tuple[int, int, int, int]]:
     """(k1, k2, start, end) repeated within the keys of one core.  A place that
-    two runs hold counts once."""
+    two runs hold counts once.
+
+    Where further keys of the core lie elsewhere, `others` gets one (hash, k1,
+    k2, start) of each different window, to be compared with theirs."""
     entries = [(key, places if len(places) == 1 else sorted(set(places))) for key, places in entries]
     for key, places in entries:
         if len(places) > 1:
@@ -253,7 +256,7 @@ def repeated(entries: list[tuple[bytes, list]]) -> Iterator[tuple[int, int, int,
             before = size - int.from_bytes(key[-2:], "big")
             for k1, k2, a in places:
                 yield k1, k2, a - before, a - before + size
-    if len(entries) < 2 or all(len(p) > 1 for _, p in entries):
+    if others is None and (len(entries) < 2 or all(len(p) > 1 for _, p in entries)):
         return
     import xxhash
 
@@ -263,8 +266,11 @@ def repeated(entries: list[tuple[bytes, list]]) -> Iterator[tuple[int, int, int,
     for key, places in entries:
         text, before = window_bytes(key)
         marks = [digest(text[i:i + LENGTH]) for i in range(len(text) - LENGTH + 1)]
-        for m in marks:
+        k1, k2, a = places[0]
+        for i, m in enumerate(marks):
             seen[m] = seen.get(m, 0) + 1
+            if others is not None and seen[m] == 1:
+                others.append((m, k1, k2, a - before + i))
         if len(places) == 1:
             lone.append((marks, before, places[0]))
     for marks, before, (k1, k2, a) in lone:
@@ -422,23 +428,16 @@ def combine(runs: DataFrame, cuts: list[bytes]) -> DataFrame:
               ("start", pa.int32()), ("end", pa.int32())]
 
     def run(table: pa.Table) -> pa.Table:
-        import xxhash
-
         done: list[pa.RecordBatch] = []  # results, compact
         out: list[tuple] = []
         entries: list[tuple[bytes, list]] = []
         wide = False
 
         def spread() -> None:
-            for key, places in entries:
-                text, before = window_bytes(key)
-                k1, k2, a = places[0]
-                for i in range(len(text) - LENGTH + 1):
-                    d = xxhash.xxh3_128_digest(text[i:i + LENGTH])
-                    out.append((int.from_bytes(d[:8], "little", signed=True),
-                                int.from_bytes(d[8:], "little", signed=True),
-                                k1, k2, a - before + i, a - before + i + LENGTH))
-                out.extend((None, None, *r) for r in repeated([(key, places)]))
+            others: list[tuple] = []
+            out.extend((None, None, *r) for r in repeated(entries, others))
+            out.extend((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True),
+                        k1, k2, a, a + LENGTH) for d, k1, k2, a in others)
             entries.clear()
 
         def close() -> None:
