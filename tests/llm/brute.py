@@ -62,7 +62,7 @@ def words(text):
 
 
 def leaks(text, items, window=13, mismatches=2, shortest=5):
-    """Ids of the items that a text leaks, by comparing every aligned window."""
+    """Ids of the items that a text leaks, by every aligned window."""
     doc, out = words(text), set()
     for item, t in items:
         w = words(t)
@@ -70,9 +70,16 @@ def leaks(text, items, window=13, mismatches=2, shortest=5):
             continue
         size = min(window, len(w))
         need = size - (mismatches if len(w) >= window else 0)
-        if any(sum(doc[a + i] == w[b + i] for i in range(size)) >= need
-               for a in range(len(doc) - size + 1) for b in range(len(w) - size + 1)):
-            out.add(item)
+        places, diagonals = defaultdict(list), defaultdict(list)
+        for j, x in enumerate(w):
+            places[x].append(j)
+        for i, x in enumerate(doc):
+            for j in places.get(x, ()):
+                diagonals[i - j].append(i)
+        for d, hits in diagonals.items():
+            fits = min(len(doc), d + len(w)) - max(0, d) >= size
+            if fits and any(hits[k + need - 1] - hits[k] < size for k in range(len(hits) - need + 1)):
+                out.add(item)
     return out
 
 
