@@ -95,7 +95,7 @@ def stream(texts: list[str], kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     last = np.append(blank[1:], True)
     used = ~(blank & last)  # of several blanks, the one before a letter
     codes, owner, blank = codes[used], owner[used], blank[used]
-    if len(codes) > 4:
+    if len(codes) > 2:
         single_before = np.append([False, False], blank[:-2] & (owner[:-2] == owner[2:]))
         single_after = np.append(blank[2:], [True, True])
         used = ~(blank & single_before & single_after)
