@@ -109,7 +109,7 @@ class Index:
         c = np.array(codes, dtype=np.int64)
         begin = np.array(starts, dtype=np.int64)
         known = c != 0
-        diagonals = set()
+        hits = set()
         for offsets, keys, first, n, places in self.seeds:
             size = len(c) - offsets[-1]
             if size <= 0:
@@ -127,29 +127,27 @@ class Index:
             reps = n[slot]
             step = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
             place = places[np.repeat(first[slot], reps) + step]
-            diagonals.update(zip(place[:, 0].tolist(), (np.repeat(at, reps) - place[:, 1]).tolist()))
-        if not diagonals:
+            # The gap is longer than every mask, so a hit lies in one document.
+            at = np.repeat(at, reps)
+            doc = np.searchsorted(begin, at, side="right") - 1
+            hits.update(zip(place[:, 0].tolist(), doc.tolist(), (at - place[:, 1]).tolist()))
+        if not hits:
             return out
         found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for item, diagonal in diagonals:
+        for item, d, diagonal in hits:
             codes_i = self.items[item]
-            doc = int(np.searchsorted(begin, max(diagonal, 0), side="right")) - 1
-            # A diagonal may begin in the gap before the document that it hits.
-            for d in (doc, doc + 1):
-                if d >= len(texts):
-                    continue
-                lo, hi = int(begin[d]), int(begin[d]) + len(texts[d])
-                a, b = max(lo, diagonal), min(hi, diagonal + len(codes_i))
-                size = min(WINDOW, len(codes_i))
-                if b - a < size:
-                    continue
-                same = np.concatenate([[0], np.cumsum(c[a:b] == codes_i[a - diagonal:b - diagonal])])
-                need = size - (MISMATCHES if len(codes_i) >= WINDOW else 0)
-                good = np.flatnonzero(same[size:] - same[:-size] >= need)
-                if len(good):
-                    cuts = np.flatnonzero(np.diff(good) > size) + 1
-                    for run in np.split(good, cuts):
-                        found[d, item].append((a + int(run[0]) - lo, a + int(run[-1]) + size - lo))
+            lo, hi = int(begin[d]), int(begin[d]) + len(texts[d])
+            a, b = max(lo, diagonal), min(hi, diagonal + len(codes_i))
+            size = min(WINDOW, len(codes_i))
+            if b - a < size:
+                continue
+            same = np.concatenate([[0], np.cumsum(c[a:b] == codes_i[a - diagonal:b - diagonal])])
+            need = size - (MISMATCHES if len(codes_i) >= WINDOW else 0)
+            good = np.flatnonzero(same[size:] - same[:-size] >= need)
+            if len(good):
+                cuts = np.flatnonzero(np.diff(good) > size) + 1
+                for run in np.split(good, cuts):
+                    found[d, item].append((a + int(run[0]) - lo, a + int(run[-1]) + size - lo))
         for (d, item), spans in sorted(found.items()):
             merged: list[list[int]] = []
             for s, e in sorted(spans):

@@ -61,6 +61,15 @@ def test_equals_brute_force(spark, block_words):
     assert {r.n for r in clean.collect()} == {r.n for r in rows if not r.leaks}
 
 
+def test_part_of_an_item_behind_short_documents(spark):
+    item = [f"w{i}" for i in range(59)]
+    docs = ["a", "b", *["c"] * 10, " ".join(item[30:50]), "d", " ".join(item[45:59]), "", " ".join(item)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.leaks] for r in D.find_leaks(df, "text", bench).collect() if r.leaks}
+    assert got == {12: [(1, 0, 20)], 14: [(1, 0, 14)], 16: [(1, 0, 59)]}
+
+
 def test_long_items_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(D, "SEGMENT_WORDS", 20)
     rng = random.Random(1)
