@@ -10,11 +10,16 @@ template recurs, and its lines are dropped from every document, when
 - at least half of its tokens, and two, are constant, and
 - it is found in at least `min_docs` different texts that do not look like
   copies of each other: of the beginnings (`SIGNATURE` tokens) of their first
-  lines, middle lines or last lines, at least `min_docs` differ, and at least
-  `SPREAD` for each text that has it.
+  lines, middle lines or last lines, at least `min_docs` differ, and either at
+  least `SPREAD` for each text that has it, or at least `min_docs` of the
+  texts' signatures (the three beginnings) are no variants.  A signature is a
+  variant of another that agrees in two beginnings and is held by over half of
+  the texts with these two.
 
 The second rule leaves copies of a whole document to the document-level
-operators; without it, a large group of copies would lose all of its lines.
+operators; without it, a large group of copies would lose all of its lines.  A
+group of copies and near copies counts once, so it does not keep a line that
+unrelated texts share.
 
 Only templates of leaves that are large enough are worked out, so unique lines
 cost one hash.  Leaf, token and template counts combine before they are
@@ -86,9 +91,23 @@ def _independent(min_docs: int) -> list[Column]:
             *[F.countDistinct(c).alias(c) for c in ("head", "middle", "tail")]]
 
 
-def _recurs(min_docs: int) -> Column:
-    spread = F.greatest("head", "middle", "tail")
-    return (F.col("texts") >= min_docs) & (spread >= min_docs) & (spread >= F.col("texts") * SPREAD)
+def _unlike(templates: DataFrame, min_docs: int) -> DataFrame:
+    """(leaf, template) of the templates with at least min_docs signatures that
+    are no variants of a more frequent one."""
+    ends = ["head", "middle", "tail"]
+    one = ["leaf", "template"]
+    signatures = cut_lineage(templates.groupBy(*one, *ends).agg(F.countDistinct("k1", "k2").alias("held")))
+    own = signatures
+    for end in ends:
+        pair = [*one, *(e for e in ends if e != end)]
+        ruling = (signatures.groupBy(*pair).agg(F.sum("held").alias("all"), F.max("held").alias("top"))
+                  .where((F.col("top") * 2 > F.col("all")) & (F.col("top") < F.col("all")))
+                  .select(*[F.col(c).alias(f"__{c}") for c in pair], "top"))
+        variant = F.col("held") < F.col("top")
+        for c in pair:
+            variant = variant & (F.col(c) == F.col(f"__{c}"))
+        own = own.join(ruling, variant, "left_anti")
+    return own.groupBy(*one).agg(F.count(F.lit(1)).alias("own")).where(F.col("own") >= min_docs).select(*one)
 
 
 def recurring_lines(df: DataFrame, text: str, min_docs: int) -> DataFrame:
@@ -112,8 +131,15 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int) -> DataFrame:
                       F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "token")))).alias("template"))
                  .where((F.col("fixed") >= 2) & (F.col("fixed") * 2 >= F.col("n"))))
     templates = cut_lineage(templates.select("leaf", "template", "k1", "k2", "line_no", "head", "middle", "tail"))
-    recurring = cut_lineage(templates.groupBy("leaf", "template").agg(*_independent(min_docs))
-                            .where(_recurs(min_docs)).select("leaf", "template"))
+    spread = F.greatest("head", "middle", "tail")
+    often = cut_lineage(templates.groupBy("leaf", "template").agg(*_independent(min_docs))
+                        .where((F.col("texts") >= min_docs) & (spread >= min_docs))
+                        .select("leaf", "template", (spread >= F.col("texts") * SPREAD).alias("spread")))
+    recurring = often.where("spread").select("leaf", "template")
+    crowded = often.where(~F.col("spread")).select("leaf", "template")
+    if not crowded.isEmpty():
+        held = templates.join(_small(crowded), ["leaf", "template"], "left_semi")
+        recurring = cut_lineage(recurring.unionByName(_unlike(held, min_docs)))
     return templates.join(_small(recurring), ["leaf", "template"], "left_semi").select("k1", "k2", "line_no")
 
 

@@ -55,6 +55,21 @@ def test_join_without_broadcast_gives_the_same(spark, monkeypatch):
     assert Counter(tuple(r) for r in L.drop_recurring_lines(df, "text", 5).collect()) == want
 
 
+def test_copies_do_not_keep_a_line_that_unrelated_texts_share(spark):
+    word = lambda *k: "w" + "".join(chr(97 + int(c)) for x in k for c in f"{x:03d}")
+    line = lambda *k: " ".join(word(i, *k) for i in range(8))
+    footer = "All of this is held by us"
+    unrelated = ["\n".join([line(d, 1), line(d, 2), line(d, 3), footer]) for d in range(30)]
+    # Near copies: another line in each, and another beginning in every tenth.
+    copies = ["\n".join([line(900, d if d % 10 == 0 else 999), line(901), line(902), line(903), line(904),
+                         line(905, d), line(906), footer]) for d in range(300)]
+    df = spark.createDataFrame(list(enumerate(unrelated + copies)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in L.drop_recurring_lines(df, "text", 20).collect()}
+    assert got == {i: t.removesuffix("\n" + footer) for i, t in enumerate(unrelated + copies)}
+    alone = spark.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in L.drop_recurring_lines(alone, "text", 20).collect()} == dict(enumerate(copies))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.drop_recurring_lines(df, "text").count() == 0
