@@ -7,7 +7,9 @@ field.  In a leaf, a token is constant at its position when at least
 fields.  Lines of a leaf with the same constant tokens share a template.  A
 template recurs, and its lines are dropped from every document, when
 
-- at least half of its tokens, and two, are constant, and
+- at least half of its tokens, and two, are constant; as the leading tokens of
+  a leaf are constant by construction, either one beyond them is as well, or
+  all tokens are constant or have a digit, and
 - it is found in at least `min_docs` different texts that do not look like
   copies of each other: of the beginnings (`SIGNATURE` tokens) of their first
   lines, middle lines or last lines, at least `min_docs` differ, and either at
@@ -120,16 +122,18 @@ def recurring_lines(df: DataFrame, text: str, min_docs: int) -> DataFrame:
         F.transform("tokens", lambda t: F.when(t.rlike("[0-9]"), F.lit(0).cast("long"))
                     .otherwise(F.xxhash64(t))).alias("tokens"))
     lines = cut_lineage(lines.distinct())
+    words = F.size(F.filter("tokens", lambda t: t != 0))
     placed = lines.select("leaf", F.posexplode("tokens").alias("at", "token")).where("token != 0")
     constant = (placed.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("lines"))
                 .where(F.col("lines") >= min_docs).select("leaf", "at", "token"))
-    mine = lines.select("leaf", "k1", "k2", "line_no", "n", "head", "middle", "tail",
+    mine = lines.select("leaf", "k1", "k2", "line_no", "n", words.alias("words"), "head", "middle", "tail",
                         F.posexplode("tokens").alias("at", "token"))
     fixed = mine.join(constant, ["leaf", "at", "token"])
-    templates = (fixed.groupBy("leaf", "k1", "k2", "line_no", "n", "head", "middle", "tail")
-                 .agg(F.count(F.lit(1)).alias("fixed"),
+    templates = (fixed.groupBy("leaf", "k1", "k2", "line_no", "n", "words", "head", "middle", "tail")
+                 .agg(F.count(F.lit(1)).alias("fixed"), F.max("at").alias("last"),
                       F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "token")))).alias("template"))
-                 .where((F.col("fixed") >= 2) & (F.col("fixed") * 2 >= F.col("n"))))
+                 .where((F.col("fixed") >= 2) & (F.col("fixed") * 2 >= F.col("n"))
+                        & ((F.col("last") >= DEPTH) | (F.col("fixed") == F.col("words")))))
     templates = cut_lineage(templates.select("leaf", "template", "k1", "k2", "line_no", "head", "middle", "tail"))
     spread = F.greatest("head", "middle", "tail")
     often = cut_lineage(templates.groupBy("leaf", "template").agg(*_independent(min_docs))

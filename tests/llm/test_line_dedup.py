@@ -70,6 +70,18 @@ def test_copies_do_not_keep_a_line_that_unrelated_texts_share(spark):
     assert {r.doc_id: r.text for r in L.drop_recurring_lines(alone, "text", 20).collect()} == dict(enumerate(copies))
 
 
+def test_leading_tokens_alone_make_no_template(spark):
+    word = lambda d, i: "".join(chr(97 + int(c)) for c in f"{d:03d}{i}")
+    texts = ["\n".join([" ".join(word(d, i) for i in range(9)),
+                        f"It is a {word(d, 1)} {word(d, 2)} {word(d, 3)}",  # nothing but the start in common
+                        f"It was the {word(d, 1)}",
+                        f"Seen at {d} of {d}",                           # the rest has digits
+                        f"Posted by the {word(d, 1)} today {word(d, 2)}"]) for d in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in L.drop_recurring_lines(df, "text", 20).collect()}
+    assert got == {i: "\n".join(t.split("\n")[:3]) for i, t in enumerate(texts)}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert L.drop_recurring_lines(df, "text").count() == 0
