@@ -19,7 +19,8 @@ offsets, and their suffixes from the anchor share `CORE` bytes.
    more with the last output is the smaller, and only ties are compared, from
    the end of the known prefix on.  The order puts equal keys and equal cores
    next to each other.
-4. Equal keys of two places repeat all their windows.  Different keys of one
+4. Equal keys of two places repeat all their windows; a run sends on only two
+   places of a key, and the others' ranges past the merge.  Different keys of one
    core are resolved window by window, in the partition.  Where a border cuts a
    core, or a core has very many keys, one of each different window left also
    goes by its 128-bit hash into an aggregate over all parts, so no frequent
@@ -51,6 +52,7 @@ GRAM = 16
 CORE = LENGTH - SAMPLE + 1
 SAMPLE_KEYS = 20_000
 RUN_KEYS = 50_000
+RUN_PLACES = 200_000
 CLASS_KEYS = 4096
 OUT_ROWS = 50_000
 CHUNK = 1 << 19
@@ -380,21 +382,26 @@ def borders(df: DataFrame, text: str, cands: DataFrame, parts: int) -> list[byte
 
 
 def sorted_runs(texts: DataFrame, cands: DataFrame, cuts: list[bytes]) -> DataFrame:
-    """(part, run): the candidate keys as sorted, front-coded runs."""
+    """(part, run): the candidate keys as sorted, front-coded runs.
+
+    A key with two places is repeated, so a run sends on no more than two; the
+    ranges of the others are known and go, by text, to parts under 0."""
     from bisect import bisect_right
 
     def flush(held: dict[bytes, set]) -> Iterator[pa.RecordBatch]:
         keys = sorted(held)
-        rows, a = [], 0
+        places = [sorted(held[k]) for k in keys]
+        rows, a = _packed_ranges(keys, places, len(cuts) + 1), 0
         while a < len(keys):
             part = bisect_right(cuts, keys[a])
             b = len(keys) if part == len(cuts) else _first_from(keys, cuts[part], a)
-            rows.append((part, Run.pack(keys[a:b], [sorted(held[k]) for k in keys[a:b]])))
+            rows.append((part, Run.pack(keys[a:b], [p[:2] for p in places[a:b]])))
             a = b
         yield _rows(rows, [("part", pa.int32()), ("run", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, set] = {}
+        n = 0
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for k1, k2, s, p in zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(),
@@ -404,9 +411,10 @@ def sorted_runs(texts: DataFrame, cands: DataFrame, cuts: list[bytes]) -> DataFr
                 seen.add((k1, k2))
                 for key, a in _keys(_unsqueeze(s.as_py()), np.asarray(p.values)):
                     held.setdefault(key, set()).add((k1, k2, a))
-                if len(held) >= RUN_KEYS:
+                    n += 1
+                if len(held) >= RUN_KEYS or n >= RUN_PLACES:
                     yield from flush(held)
-                    held = {}
+                    held, n = {}, 0
         if held:
             yield from flush(held)
 
@@ -414,6 +422,18 @@ def sorted_runs(texts: DataFrame, cands: DataFrame, cuts: list[bytes]) -> DataFr
     return met.mapInArrow(run, "part int, run binary")
 
 
+def _packed_ranges(keys: list[bytes], places: list[list[tuple[int, int, int]]], parts: int) -> list[tuple[int, bytes]]:
+    """(part, packed ranges) of the places beyond the first two of each key."""
+    dealt: dict[int, list[tuple[int, int, int, int]]] = {}
+    for key, ps in zip(keys, places):
+        if len(ps) > 2:
+            size = len(key) - 2
+            before = size - int.from_bytes(key[-2:], "big")
+            for k1, k2, a in ps[2:]:
+                dealt.setdefault(-1 - k1 % parts, []).append((k1, k2, a - before, a - before + size))
+    return [(part, np.array(rows, dtype="<i8").tobytes()) for part, rows in dealt.items()]
+
+
 def _first_from(keys: list[bytes], cut: bytes, start: int) -> int:
     from bisect import bisect_left
 
@@ -428,6 +448,11 @@ def combine(runs: DataFrame, cuts: list[bytes]) -> DataFrame:
               ("start", pa.int32()), ("end", pa.int32())]
 
     def run(table: pa.Table) -> pa.Table:
+        if table.column("part")[0].as_py() < 0:
+            known = np.concatenate([np.frombuffer(b.as_buffer(), "<i8").reshape(-1, 4) for b in table.column("run")])
+            none = pa.nulls(len(known), pa.int64())
+            return pa.Table.from_arrays([none, none, *(pa.array(known[:, i], t) for i, t in enumerate(
+                (pa.int64(), pa.int64(), pa.int32(), pa.int32())))], names=[n for n, _ in fields])
         done: list[pa.RecordBatch] = []  # results, compact
         out: list[tuple] = []
         entries: list[tuple[bytes, list]] = []

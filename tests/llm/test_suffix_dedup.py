@@ -104,3 +104,16 @@ def test_merge_orders_runs_and_reports_shared_prefixes():
 
 def test_known_prefix_is_not_compared_again():
     assert S.shared_prefix(b"xxabcd", b"yyabce", 2) == 5
+
+
+def test_a_run_sends_two_places_of_a_frequent_passage(spark):
+    rng = random.Random(9)
+    prose = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    passage = prose(400)
+    texts = [prose(50) + passage + prose(50) for _ in range(100)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    runs = S.sorted_runs(S._texts(df, "text"), S.candidates(df, "text"), []).collect()
+    places = [p for r in runs if r.part >= 0 for _, _, p in S.Run.read(bytes(r.run))]
+    assert places and max(map(len, places)) == 2
+    assert Counter(result(spark, list(enumerate(texts)), "doc_id long, text string, k1 string, ranges int")) == Counter(
+        (i, *b) for i, b in enumerate(brute(texts)))
