@@ -30,7 +30,9 @@ def text_key(text: Column) -> list[Column]:
     that repeat an id, or have none, keep their own result.
     """
     t = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(t), F.xxhash64(t, F.lit(1))]
+    # Spark seeds each hash with the one before: the constant goes first, so that
+    # the text itself is hashed under a second seed.
+    return [F.xxhash64(t), F.xxhash64(F.lit(1), t)]
 
 
 def send(spark: SparkSession, value: Any) -> Broadcast:

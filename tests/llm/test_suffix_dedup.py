@@ -106,6 +106,18 @@ def test_known_prefix_is_not_compared_again():
     assert S.shared_prefix(b"xxabcd", b"yyabce", 2) == 5
 
 
+def test_content_key_hashes_the_text_under_two_seeds(spark):
+    import xxhash
+
+    from marketlens.llm.common import text_key
+
+    texts = ["", "a", "some longer text " * 9]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(*text_key(F.col("t"))).collect()
+    second = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), 42)
+    for t, row in zip(texts, got):
+        assert [x % 2**64 for x in row] == [xxhash.xxh64_intdigest(t, 42), xxhash.xxh64_intdigest(t, second)]
+
+
 def test_a_run_sends_two_places_of_a_frequent_passage(spark):
     rng = random.Random(9)
     prose = lambda k: "".join(rng.choices("abcdefgh ", k=k))
