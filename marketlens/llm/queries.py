@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, line_dedup, sharding, simhash, suffix_dedup, topk, toxicity, url_filter
+from . import bpe, conversation_repair, decontaminate, html_extract, line_dedup, sharding, simhash, suffix_dedup, topk, toxicity, url_filter
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -102,6 +102,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows as the contract damages them; `present` is false on dropped rows."""
+    def shown(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    effect = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn"))) % 20
+    rows = conversations.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"),
+                                effect.alias("effect"))
+    text = (F.when(F.col("effect") == 1, F.lit("")).when(F.col("effect") == 2, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text")))
+    copies = F.array_repeat(F.lit(1), F.when(F.col("effect") == 3, 2).otherwise(1))
+    return rows.select("conv_id", "turn", F.when(F.col("effect") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), (F.col("effect") != 0).alias("present"),
+                       F.explode(copies).alias("__copy")).drop("__copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return conversation_repair.audits(rows, "conv_id", "turn", "role", "text", F.col("present"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -113,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 def _masked_sql(line: str) -> str:
     """The tokens of a line in DuckDB, those with a digit as a variable field."""
