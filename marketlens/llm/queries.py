@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_repair, decontaminate, html_extract, line_dedup, sharding, simhash, suffix_dedup, topk, toxicity, url_filter
+from . import (bpe, conversation_repair, decontaminate, html_extract, line_dedup, sharding, simhash, source_divergence,
+               suffix_dedup, topk, toxicity, url_filter)
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -19,6 +20,7 @@ SHINGLE, RADIUS = 3, 2
 HELD_OUT_OF, HELD_OUT = 4, 2
 TOXIC_FROM = 0.3
 RECURRING_FROM = 20
+TERM_DOCS, TOP_TERMS = 10, 10
 QUERY_STEP, TOP, SCALE = 20, 20, 64
 
 
@@ -123,6 +125,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audits(rows, "conv_id", "turn", "role", "text", F.col("present"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
+    return source_divergence.divergence(docs, "text", "lang", "source", TERM_DOCS, TOP_TERMS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_simhash": op2_simhash,
@@ -135,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_source_divergence": op13_source_divergence,
 }
 def _masked_sql(line: str) -> str:
     """The tokens of a line in DuckDB, those with a digit as a variable field."""
@@ -178,6 +186,47 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines,
                coalesce(len(g.dropped), 0)::BIGINT AS n_dropped
         FROM documents d LEFT JOIN gone g ON d.text = g.text""",
+    "op13_source_divergence": f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents),
+        tokens AS (
+            SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM docs),
+        kept AS (
+            SELECT lang, term FROM (SELECT DISTINCT id, lang, term FROM tokens)
+            GROUP BY lang, term HAVING count(*) >= {TERM_DOCS}),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        counted AS (SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY ALL),
+        every_term AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+            FROM groups g JOIN kept k ON g.lang = k.lang
+            LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        in_group AS (
+            SELECT *, 1 + (1000000000::HUGEINT * (n + 2)) //
+                   (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+            FROM every_term),
+        in_lang AS (
+            SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) //
+                   (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+            FROM (SELECT lang, term, sum(n) AS n FROM every_term GROUP BY lang, term)),
+        pair_sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM in_group a JOIN in_group b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        terms AS (
+            SELECT g.lang, g.source, 'term' AS part, g.term AS item, (p - q) * (p - q) // (p + q) AS value
+            FROM in_group g JOIN in_lang l ON g.lang = l.lang AND g.term = l.term WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= {TOP_TERMS}""",
     "op5_top_k": """
         WITH vectors AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS whole
