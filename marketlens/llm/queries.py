@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, conversation_repair, decontaminate, html_extract, line_dedup, sharding, simhash, source_divergence,
-               suffix_dedup, topk, toxicity, url_filter)
+from . import (bpe, conversation_repair, decontaminate, html_extract, language_id, line_dedup, sharding, simhash,
+               source_divergence, suffix_dedup, topk, toxicity, url_filter)
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -125,6 +125,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audits(rows, "conv_id", "turn", "role", "text", F.col("present"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = docs.select("doc_id", "text", "lang").where(~held_out("doc_id"))
+    filters = language_id.train(labelled, "text", "lang")
+    done = language_id.predict(docs.select("doc_id", "text"), "text", filters)
+    return done.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("text", "lang", "source")
     return source_divergence.divergence(docs, "text", "lang", "source", TERM_DOCS, TOP_TERMS)
@@ -142,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_language_id": op12_language_id,
     "op13_source_divergence": op13_source_divergence,
 }
 def _masked_sql(line: str) -> str:

@@ -6,7 +6,7 @@ import sys
 
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NAMES = ("op1_suffix_dedup", "op2_simhash", "op3_decontaminate", "op4_html_text", "op5_top_k", "op6_byte_bpe",
-         "op8_toxicity")
+         "op8_toxicity", "op11_conversation_repair", "op12_language_id", "op13_source_divergence")
 
 SCRIPT = f"""
 import sys
