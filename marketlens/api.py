@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from .operators import dims, enrich, forecast as fc, incremental, reshape, series
 from .operators.reports import yearly_report
-from .schemas import BAR_COLUMNS, BARS, FINANCIALS, HOLDERS, NEWS
+from .schemas import BAR_COLUMNS, FINANCIALS, HOLDERS, NEWS
 from .sinks import tables
 from .sources import landing
 from .session import checkpoint_root
+from .streaming.new_bars import stored_bars
 
 
 @dataclass
@@ -61,14 +62,14 @@ class MarketETL:
                             {"major_share_holders": HOLDERS, "financials": FINANCIALS, "news": NEWS})
 
     def update_history(self, root: str, end: str | None = None) -> None:
-        """Append bars newer than each ticker's last stored day."""
-        target = self.stored_history(root)
-        new = incremental.new_bars(target, self.history(), end)
-        tables.write_table(new.withColumn("year", F.year("date")), f"{root}/stock_history", "append", ["year"])
+        """Store the days the table lacks, late ones included, and replace
+        corrected ones; only the increment's years are read."""
+        path = f"{root}/stock_history"
+        tables.store_bars(stored_bars(self.spark, path), path, incremental.one_per_day(self.history(), end))
 
     def stored_history(self, root: str) -> DataFrame:
         """The stored bars, read with their schema ("0700" stays text)."""
-        return self.spark.read.schema(BARS).parquet(f"{root}/stock_history").select(*BAR_COLUMNS)
+        return stored_bars(self.spark, f"{root}/stock_history").select(*BAR_COLUMNS)
 
     def exchange_rate_tables(self, root: str, salt_buckets: int = 16) -> None:
         """G8 + G9: date dimension and ticker x FX table."""

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from ..schemas import BAR_COLUMNS, BARS, FX, FX_COLUMNS
 
+# When a landing row was written, and in which file; the greatest is the newest.
+LOAD_MARKS = ("_file_time", "_file")
+
 # Column names that mean the instrument in landing files.
 TICKER_ALIASES = ("ticker", "stock", "symbol")
 
@@ -98,6 +101,12 @@ def one_per_key(df: DataFrame, keys: list[str], newest: list[str] = ()) -> DataF
         for c in df.columns if c not in newest])
 
 
+def with_load_marks(raw: DataFrame) -> DataFrame:
+    """Rows of a file source with the time and name of their file."""
+    return raw.select("*", F.col("_metadata.file_modification_time").alias(LOAD_MARKS[0]),
+                      F.col("_metadata.file_path").alias(LOAD_MARKS[1]))
+
+
 def normalize_fx(raw: DataFrame, to_currency: str | None = None, keep: list[str] = ()) -> DataFrame:
     """FX normaliser; upper-case codes so joins are case-insensitive."""
     df = lower_columns(raw)

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import incremental
+
 # The source's if_exists words mapped to Spark save modes.
 MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append",
          "ignore": "ignore"}
@@ -111,6 +113,25 @@ def write_jdbc(df: DataFrame, url: str, table: str, if_exists: str = "append",
     w.jdbc(url, table, properties=props)
 
 
+def store_bars(target: DataFrame, path: str, rows: DataFrame) -> None:
+    """Add an increment (one bar per (ticker, date)) to the stored bars at
+    `path`, a table partitioned by year of which `target` is the present content.
+
+    Corrected bars replace the stored ones by rewriting their years, then new
+    ones are appended.  Each write is one commit, and a load that is repeated
+    after a failure finds what it stored before and adds nothing twice.
+    """
+    changed = incremental.corrected_bars(target, rows)
+    years = [r.year for r in changed.select(F.year("date").alias("year")).distinct().collect()]  # calendar years
+    if years:
+        kept = target.where(F.col("year").isin(years)).drop("year")
+        whole = incremental.merge_bars(kept, rows.where(F.year("date").isin(years)))
+        out = spread_for_write(whole.withColumn("year", F.year("date")), ["year"])
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+        rows = rows.where(~F.year("date").isin(years))
+    write_table(incremental.new_bars(target, rows).withColumn("year", F.year("date")), path, "append", ["year"])
+
+
 def full_refresh(tables: dict[str, DataFrame], root: str,
                  partition_by: dict[str, list[str]] | None = None,
                  drop: dict[str, T.StructType] | None = None) -> None:

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.normalize import normalize_bars, normalize_fx, one_per_key, to_date, union_all
+from ..operators.normalize import (LOAD_MARKS, normalize_bars, normalize_fx, one_per_key, to_date, union_all,
+                                   with_load_marks)
 from ..operators.reshape import explode_news, news_rejects, statement_long, transpose_financials, wide_to_long
 from ..schemas import BARS, CURRENCY, FX, NEWS_PAYLOAD
 
@@ -46,9 +47,7 @@ def read_bars(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
 def _newest(raw: DataFrame, normalize, keys: list[str]) -> DataFrame:
     """Normalised rows, one per key: overlapping pulls repeat days, and the row
     of the file written last wins."""
-    times = raw.select("*", F.col("_metadata.file_modification_time").alias("_file_time"),
-                       F.col("_metadata.file_path").alias("_file"))
-    return one_per_key(normalize(times, keep=["_file_time", "_file"]), keys, ["_file_time", "_file"])
+    return one_per_key(normalize(with_load_marks(raw), keep=[*LOAD_MARKS]), keys, [*LOAD_MARKS])
 
 
 def read_holders(spark: SparkSession, path: str | list[str], fmt: str = "csv") -> DataFrame:
@@ -94,11 +93,9 @@ def read_fx(spark: SparkSession, paths: list[str], fmt: str = "parquet",
             to_currency: str | None = None) -> DataFrame:
     """S6 + U1: FX history; several landing paths are unioned by name."""
     schema = FX if fmt in ("parquet", "orc") else _as_text(FX)
-    frames = [_reader(spark, fmt, schema).load(p).select(
-        "*", F.col("_metadata.file_modification_time").alias("_file_time"),
-        F.col("_metadata.file_path").alias("_file")) for p in paths]
-    rows = normalize_fx(union_all(frames), to_currency, keep=["_file_time", "_file"])
-    return one_per_key(rows, ["from_currency", "to_currency", "date"], ["_file_time", "_file"])
+    frames = [with_load_marks(_reader(spark, fmt, schema).load(p)) for p in paths]
+    rows = normalize_fx(union_all(frames), to_currency, keep=[*LOAD_MARKS])
+    return one_per_key(rows, ["from_currency", "to_currency", "date"], [*LOAD_MARKS])
 
 
 def read_currency(spark: SparkSession, path: str | list[str], fmt: str = "parquet") -> DataFrame:
