@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import is_weekday
 from ..schemas import FORECAST
-from ..sources.holidays import country_for_currency, holiday_dimension
+from ..sources.holidays import country_for_currency, holiday_table
 
 # The grouped-map functions run in Python workers that need not have this
 # package installed: ship this module's code with the closures.
@@ -90,14 +90,13 @@ def _calendar_rows(train: DataFrame, periods: int, default_country: str) -> Data
 
     Training rows are unique on (ticker, ds) (rule Q1), so history rows are
     taken as they are and only the per-ticker summary (one row per ticker)
-    feeds the future days; no join brings y back.  The holiday table has a
-    handful of rows per country and year, so its broadcast is bounded.
+    feeds the future days; no join brings y back.  The holiday table is of fixed
+    size, so its broadcast is bounded.
     """
     # A ticker has one currency (A10, rule Q5); of several, the future days
     # follow the greatest, so they are never doubled.
     per = (train.groupBy("ticker")
-                .agg(F.min("ds").alias("_first"), F.max("ds").alias("_last"),
-                     F.max("currency_code").alias("_code")))
+                .agg(F.max("ds").alias("_last"), F.max("currency_code").alias("_code")))
     hist = train.select("ticker", "ds", "y", F.lit(False).alias("is_future"),
                         F.col("currency_code").alias("_code"))
     fut = per.select("ticker",
@@ -108,12 +107,7 @@ def _calendar_rows(train: DataFrame, periods: int, default_country: str) -> Data
     cal = hist.unionByName(fut) if periods > 0 else hist
     cal = cal.where(is_weekday("ds"))
     cal = cal.withColumn("country", country_for_currency(F.col("_code"), default_country))
-    # One year more: a New Year's Day on a Saturday is observed the day before.
-    years = per.agg(F.min("_first").alias("lo"), F.max("_last").alias("hi")).select(
-        F.explode(F.sequence(F.year("lo"), F.year(F.date_add("hi", periods)) + 1)).alias("year"))
-    hol = holiday_dimension(years)
-    hol = (hol.groupBy("country", "date")
-              .agg(F.array_join(F.array_sort(F.collect_list("holiday")), ", ").alias("holiday")))
+    hol = holiday_table(train.sparkSession)
     cal = cal.join(F.broadcast(hol), (cal["country"] == hol["country"]) & (cal["ds"] == hol["date"]),
                    "left").drop(hol["country"]).drop("date")
     return cal.select("ticker", "ds", "y", "is_future", "country", "holiday")

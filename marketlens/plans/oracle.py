@@ -318,6 +318,42 @@ cal AS (
   FROM cal0 WHERE isodow(ds) <= 5)"""
 
 
+def _model_terms() -> list[tuple[str, str]]:
+    """(name, SQL) of each term of the linear-growth model, in order."""
+    pi = "2 * pi()"
+    out = [("one", "CAST(1 AS DOUBLE)"), ("t", "t")]
+    out += [(f"bend{k}", f"greatest(t - CAST(0.8 AS DOUBLE) * {k} / 9, 0)") for k in range(1, 9)]
+    for kind, period, order in (("year", "365.25", 4), ("week", "7", 2)):
+        for k in range(1, order + 1):
+            out += [(f"{f}_{kind}{k}", f"{f}(days * ({pi} * {k} / CAST({period} AS DOUBLE)))") for f in ("sin", "cos")]
+    return [*out, ("holiday", "CASE WHEN holiday IS NULL THEN 0 ELSE 1 END")]
+
+
+def _normal_sums() -> str:
+    names = [n for n, _ in _model_terms()]
+    return f"""{CALENDAR},
+seen AS (
+  SELECT t.ticker, t.ds, t.y, h.holiday FROM train t JOIN cal c ON t.ticker = c.ticker AND t.ds = c.ds
+  LEFT JOIN (SELECT DISTINCT country, date, 'x' AS holiday FROM hol) h ON h.country = c.country AND h.date = t.ds
+  WHERE t.y IS NOT NULL),
+ends AS (SELECT ticker, min(ds) AS d0, greatest(max(ds) - min(ds), 1) AS span FROM seen GROUP BY ticker),
+base AS (SELECT s.*, CAST(s.ds - e.d0 AS DOUBLE) / e.span AS t, CAST(s.ds - DATE '1970-01-01' AS DOUBLE) AS days
+         FROM seen s JOIN ends e USING (ticker)),
+terms AS (SELECT ticker, ds, y, unnest([{', '.join(f"'{n}'" for n in names)}]) AS a,
+                 unnest([{', '.join(f"CAST({e} AS DOUBLE)" for _, e in _model_terms())}]) AS x,
+                 unnest(range({len(names)})) AS i FROM base)
+SELECT p.ticker, count(*) AS n, p.a, q.a AS b, round(sum(p.x * q.x) / count(*), 6) AS value
+FROM terms p JOIN terms q ON p.ticker = q.ticker AND p.ds = q.ds AND p.i <= q.i GROUP BY p.ticker, p.a, q.a
+UNION ALL
+SELECT ticker, count(*), a, 'y', round(sum(x * y) / count(*), 4) FROM terms GROUP BY ticker, a"""
+
+
+CUTOFF_SQL = f"""{FORECAST_TRAIN},
+seen AS (SELECT ticker, ds, y, CAST(ds - DATE '1999-01-01' AS DOUBLE) AS x FROM train WHERE y IS NOT NULL),
+ends AS (SELECT ticker, min(ds) AS d0, max(ds) AS d1 FROM seen GROUP BY ticker),
+cuts AS (SELECT ticker, CAST(k AS INTEGER) AS k, CAST(d1 - 60 - CAST(k * 30 AS INTEGER) AS DATE) AS cutoff
+         FROM ends, range(1000) AS r(k) WHERE d1 - 60 - CAST(k * 30 AS INTEGER) >= d0 + 365)"""
+
 ORACLE: dict[str, str] = {
     "daily_bars": f"WITH {DENSE_BARS} SELECT * FROM dense_bars",
     "yearly_report": f"""WITH {DENSE_BARS}
@@ -462,6 +498,19 @@ ORACLE: dict[str, str] = {
     "forecast_frame": f"""{CALENDAR}
         SELECT c.ticker, c.ds, t.y, c.is_future, true AS inside
         FROM cal c LEFT JOIN train t ON c.ticker = t.ticker AND c.ds = t.ds""",
+    "forecast_normal_sums": _normal_sums(),
+    "forecast_cutoffs": f"""{CUTOFF_SQL}
+        SELECT ticker, k, cutoff FROM cuts""",
+    "forecast_origin_errors": f"""{CUTOFF_SQL},
+        fits AS (SELECT c.ticker, c.k, c.cutoff, regr_slope(s.y, s.x) AS slope, regr_intercept(s.y, s.x) AS intercept
+                 FROM cuts c JOIN seen s ON s.ticker = c.ticker AND s.ds <= c.cutoff GROUP BY ALL),
+        err AS (SELECT f.ticker, CAST(s.ds - f.cutoff AS INTEGER) AS horizon, s.y, s.y - f.intercept - f.slope * s.x AS e
+                FROM fits f JOIN seen s ON s.ticker = f.ticker AND s.ds > f.cutoff AND s.ds <= f.cutoff + 60),
+        by_day AS (SELECT ticker, horizon, count(e) AS n, sum(abs(e)) AS a, sum(e * e) AS q,
+                          sum(abs(e) / greatest(abs(y), 2.220446049250313e-16)) AS p FROM err GROUP BY 1, 2)
+        SELECT ticker, horizon, n, round(a / n, 4) AS mae, round(sqrt(q / n), 4) AS rmse, round(p / n, 6) AS mape,
+               round(sum(a) OVER w / sum(n) OVER w, 4) AS mae_smooth
+        FROM by_day WINDOW w AS (PARTITION BY ticker ORDER BY horizon RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     "forecast_holdout_split": f"""{FORECAST_TRAIN}
         SELECT ticker, ds, row_number() OVER (PARTITION BY ticker ORDER BY ds DESC) <= 20 AS is_holdout
         FROM train WHERE y IS NOT NULL AND isodow(ds) <= 5""",

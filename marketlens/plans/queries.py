@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exact import money
-from ..operators import dims, enrich, forecast as fc, incremental, quality, reports, reshape, series
+from ..operators import dims, enrich, forecast as fc, incremental, normal_equations as ne, quality, reports, reshape, series
 from ..operators.normalize import normalize_bars, one_per_key
 from ..schemas import NEWS_TIME_KEY
 from ..sinks.tables import column_ddl
@@ -26,6 +26,8 @@ from ..sources import fixtures as fx
 # logistic cap is scaled to the data, not the 1,000 default).
 FORECAST_START = "1999-01-01"
 FORECAST_PERIODS = 90
+# Rolling origins: days of history before the first cutoff, between cutoffs, ahead.
+CUTOFFS = (365, 30, 60)
 FORECAST_PARAMS = fc.ModelParams(growth="logistic", cap=150_000.0, floor=0.0)
 
 
@@ -372,6 +374,44 @@ def q_forecast_grid_best(spark, sf):
     return fc.grid_search(_train(spark, sf), base=FORECAST_PARAMS)
 
 
+def q_forecast_normal_sums(spark, sf):
+    """The sums that F1 with linear growth is solved from, per observation: every
+    entry of X'X and X'y."""
+    model = ne.LinearGrowth()
+    featured = ne.with_features(fc.model_input(_train(spark, sf), 0), model)
+    sums = ne.normal_sums(featured, model)
+    names = F.array(*[F.lit(n) for n in model.names])
+    places = [(i, j) for i in range(len(model.names)) for j in range(i, len(model.names))]
+    pairs = F.array(*[F.struct(F.lit(model.names[i]).alias("a"), F.lit(model.names[j]).alias("b")) for i, j in places])
+    xx = F.transform(F.arrays_zip(pairs.alias("at"), F.col("xx").alias("v")), lambda z: F.struct(
+        z["at"]["a"].alias("a"), z["at"]["b"].alias("b"), F.round(z["v"] / F.col("n"), 6).alias("value")))
+    xy = F.transform(F.arrays_zip(names.alias("at"), F.col("xy").alias("v")), lambda z: F.struct(
+        z["at"].alias("a"), F.lit("y").alias("b"), F.round(z["v"] / F.col("n"), 4).alias("value")))
+    return sums.select("ticker", "n", F.inline(F.concat(xx, xy)))
+
+
+def q_forecast_linear_growth(spark, sf):
+    """F1 with linear growth, solved from the normal equations."""
+    return ne.linear_growth_forecast(_train(spark, sf), FORECAST_PERIODS)
+
+
+def q_forecast_linear_growth_wide(spark, sf):
+    """The same for one ticker per supplier."""
+    train = fc.training_frame(wide_master(spark, sf), FORECAST_START)
+    return ne.linear_growth_forecast(train, FORECAST_PERIODS)
+
+
+def q_forecast_cutoffs(spark, sf):
+    return ne.cutoffs(_train(spark, sf), *CUTOFFS).select("ticker", "k", "cutoff")
+
+
+def q_forecast_origin_errors(spark, sf):
+    """errors of the linear trend at rolling origins, by days ahead."""
+    e = ne.origin_errors(_train(spark, sf), FORECAST_START, *CUTOFFS)
+    return e.select("ticker", "horizon", "n", _r("mae", 4).alias("mae"), _r("rmse", 4).alias("rmse"),
+                    _r("mape").alias("mape"), _r("mae_smooth", 4).alias("mae_smooth"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_bars": q_daily_bars,
     "yearly_report": q_yearly_report,
@@ -411,6 +451,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_grid_best": q_forecast_grid_best,
     "forecast_frame": q_forecast_frame,
     "forecast_holdout_split": q_forecast_holdout_split,
+    "forecast_normal_sums": q_forecast_normal_sums,
+    "forecast_linear_growth": q_forecast_linear_growth,
+    "forecast_linear_growth_wide": q_forecast_linear_growth_wide,
+    "forecast_cutoffs": q_forecast_cutoffs,
+    "forecast_origin_errors": q_forecast_origin_errors,
     "enriched_prices_wide": q_enriched_prices_wide,
     "daily_returns_wide": q_daily_returns_wide,
     "return_histogram_wide": q_return_histogram_wide,

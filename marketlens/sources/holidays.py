@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import easter_sunday, last_weekday, nth_weekday
@@ -198,6 +198,23 @@ def holiday_dimension(years: DataFrame, countries: list[str] | None = None) -> D
     return out.unionByName(_after_sundays(out)) if "HK" in countries else out
 
 
+# Years that `holiday_table` covers.
+TABLE_YEARS = range(1900, 2200)
+_TABLE: list = []
+
+
+def holiday_table(spark: SparkSession) -> DataFrame:
+    """(country, date, holiday) of all countries for TABLE_YEARS, one row per
+    country and day, names joined.  The rules are evaluated once per process; the
+    rows, of fixed number, are part of the plan, so no query derives its holiday
+    years from its facts and a broadcast is bounded."""
+    if not _TABLE:
+        days = holiday_dimension(spark.range(TABLE_YEARS.start, TABLE_YEARS.stop, 1, 1).withColumnRenamed("id", "year"))
+        _TABLE.append(days.groupBy("country", "date").agg(
+            F.array_join(F.array_sort(F.collect_list("holiday")), ", ").alias("holiday")).toArrow())
+    return spark.createDataFrame(_TABLE[0])
+
+
 def _after_sundays(holidays: DataFrame) -> DataFrame:
     """HK: for each holiday on a Sunday, and for two on one day, the next day
     that is no holiday itself (at most five later: no longer run of holidays
