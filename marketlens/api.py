@@ -43,7 +43,8 @@ class MarketETL:
         return landing.read_bars(self.spark, self.paths.bars, self.paths.fmt)
 
     def full_refresh(self, root: str, tickers: list[str] | None = None) -> None:
-        """K5 + K8: replace every table in one pass over all tickers.
+        """K5 + K8: replace every table in one pass over all tickers.  The new set
+        is written beside the old one and shows all at once (`tables.publish`).
 
         Tables without a landing path this time end up empty.  `tickers` are
         listed in the master table even when they have no history."""
@@ -58,26 +59,33 @@ class MarketETL:
             out["financials"] = landing.read_financial_statements(s, p.financials, fmt=p.fmt)
         if p.news:
             out["news"] = landing.read_news(s, p.news, p.fmt)
-        tables.full_refresh(out, root, {"stock_history": ["year"]},
-                            {"major_share_holders": HOLDERS, "financials": FINANCIALS, "news": NEWS})
+        tables.publish(out, root, {"stock_history": ["year"]},
+                       {"major_share_holders": HOLDERS, "financials": FINANCIALS, "news": NEWS})
 
     def update_history(self, root: str, end: str | None = None) -> None:
         """Store the days the table lacks, late ones included, and replace
         corrected ones; only the increment's years are read."""
-        path = f"{root}/stock_history"
+        path = tables.current_path(self.spark, root, "stock_history")
+        if path is None:  # nothing was published yet: an empty table to load into
+            tables.publish({"stock_history": stored_bars(self.spark, f"{root}/none")}, root, {"stock_history": ["year"]})
+            path = tables.current_path(self.spark, root, "stock_history")
         tables.store_bars(stored_bars(self.spark, path), path, incremental.one_per_day(self.history(), end))
 
     def stored_history(self, root: str) -> DataFrame:
         """The stored bars, read with their schema ("0700" stays text)."""
-        return stored_bars(self.spark, f"{root}/stock_history").select(*BAR_COLUMNS)
+        return stored_bars(self.spark, tables.current_path(self.spark, root, "stock_history")).select(*BAR_COLUMNS)
 
-    def exchange_rate_tables(self, root: str, salt_buckets: int = 16) -> None:
+    def table(self, root: str, name: str) -> DataFrame:
+        """A stored table of the set that was published last."""
+        return tables.read_published(self.spark, root, name)
+
+    def exchange_rate_tables(self, root: str, rows_per_task: int = 1_000_000) -> None:
         """G8 + G9: date dimension and ticker x FX table."""
         cur = landing.read_currency(self.spark, self.paths.currency, self.paths.fmt)
         fx = dims.scope_fx(landing.read_fx(self.spark, self.paths.fx, self.paths.fmt), cur,
                            self.base)
-        tables.full_refresh({"date_dimension": dims.date_dimension(fx),
-                             "exchange_table": dims.exchange_table(cur, fx, salt_buckets)}, root)
+        tables.publish({"date_dimension": dims.date_dimension(fx),
+                        "exchange_table": dims.exchange_table(cur, fx, rows_per_task)}, root)
 
 
 class MarketExplorer:

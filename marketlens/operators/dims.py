@@ -71,12 +71,12 @@ def date_dimension(dated: DataFrame, date_col: str = "date") -> DataFrame:
         F.month("d").cast("bigint").alias("month"))
 
 
-def exchange_table(currency: DataFrame, fx: DataFrame, salt_buckets: int = 16) -> DataFrame:
+def exchange_table(currency: DataFrame, fx: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
     """G9 + J3 + C4: ticker-currency RIGHT JOIN FX on code = from_currency.
 
     One row per ticker and FX day; FX days of a code no ticker uses are kept
-    with a NULL ticker.  The join key has few values, so it is salted by date
-    (see joins.salted_right_join).
+    with a NULL ticker.  The join key has few values, so codes with more than
+    `rows_per_task` rows are cut by their size (see joins.salted_right_join).
     """
     cur = currency_dimension(currency)
     rates = fx.select(
@@ -84,7 +84,7 @@ def exchange_table(currency: DataFrame, fx: DataFrame, salt_buckets: int = 16) -
         F.col("close").alias("currency_close"), "low", "high",
         F.concat(date_key("date"), F.col("from_currency")).alias("exchange_id"),
         date_key("date").alias("currency_date_key"))
-    joined = salted_right_join(cur, rates, "currency_code", "from_currency", "date", salt_buckets)
+    joined = salted_right_join(cur, rates, "currency_code", "from_currency", rows_per_task)
     return joined.select(
         "ticker", "currency_code", "date", "open", "currency_close", "low", "high",
         "from_currency", "to_currency", "exchange_id", "currency_date_key")

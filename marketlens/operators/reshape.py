@@ -130,6 +130,31 @@ def explode_news(payloads: DataFrame) -> DataFrame:
     return rows.withColumn("provider_publish_time", time).select(*NEWS_COLUMNS)
 
 
+def news_variants(payloads: DataFrame) -> DataFrame:
+    """S4 with open keys: (ticker, uuid, item), the whole item as a VARIANT, so
+    keys that no schema names are kept and can be taken out later with a type
+    (`F.try_variant_get`)."""
+    items = payloads.select("ticker", F.explode(F.from_json("payload", "array<variant>")).alias("item"))
+    return items.select("ticker", F.try_variant_get("item", "$.uuid", "string").alias("uuid"), "item")
+
+
+def statement_variants(long: DataFrame) -> DataFrame:
+    """S3 with open line items: (ticker, date, items), one VARIANT object of all
+    metrics that a statement has on a date, whatever their names; a statement's
+    lines are few.  A metric that repeats for a date takes its largest value."""
+    rows = (long.where(F.col("value").isNotNull() & F.col("metric").isNotNull())
+            .groupBy("ticker", "date", "metric").agg(F.max("value").alias("value")))
+    return rows.groupBy("ticker", "date").agg(F.to_variant_object(F.map_from_entries(
+        F.collect_list(F.struct("metric", "value")))).alias("items"))
+
+
+def variant_fields(df: DataFrame, variant: str, fields: dict[str, str]) -> DataFrame:
+    """Typed columns from a VARIANT column: name -> type; a field that is absent
+    or does not fit its type is NULL.  Other columns stay, the variant goes."""
+    return df.select(*[c for c in df.columns if c != variant], *[
+        F.try_variant_get(variant, f"$['{n}']", t).alias(n) for n, t in fields.items()])
+
+
 def news_rejects(payloads: DataFrame) -> DataFrame:
     """Payloads that hold text but no readable list: (ticker, payload)."""
     items = F.from_json("payload", T.ArrayType(NEWS_ITEM))

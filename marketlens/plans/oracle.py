@@ -348,6 +348,10 @@ UNION ALL
 SELECT ticker, count(*), a, 'y', round(sum(x * y) / count(*), 4) FROM terms GROUP BY ticker, a"""
 
 
+LATE_DAYS = f"""
+target AS (SELECT * FROM dense_bars WHERE date <= DATE '{fx.SPLIT_DATE}' AND day(date) <> {fx.GAP_DAY}),
+incoming AS (SELECT * FROM dense_bars WHERE date > DATE '{fx.SPLIT_DATE}' - INTERVAL {fx.LATE_MONTHS} MONTH)"""
+
 CUTOFF_SQL = f"""{FORECAST_TRAIN},
 seen AS (SELECT ticker, ds, y, CAST(ds - DATE '1999-01-01' AS DOUBLE) AS x FROM train WHERE y IS NOT NULL),
 ends AS (SELECT ticker, min(ds) AS d0, max(ds) AS d1 FROM seen GROUP BY ticker),
@@ -463,6 +467,54 @@ ORACLE: dict[str, str] = {
     "last_update": f"WITH {DENSE_BARS} SELECT ticker, max(date) AS last_date FROM dense_bars GROUP BY 1",
     "incremental_new_bars": f"""WITH {DENSE_BARS}
         SELECT * FROM dense_bars WHERE date > DATE '{fx.SPLIT_DATE}'""",
+    "incremental_late_days": f"""WITH {DENSE_BARS},{LATE_DAYS}
+        SELECT * FROM incoming i WHERE NOT EXISTS (
+          SELECT 1 FROM target t WHERE t.ticker = i.ticker AND t.date = i.date)""",
+    "incremental_until": f"""WITH {DENSE_BARS},{LATE_DAYS}
+        SELECT * FROM incoming i WHERE date < DATE '{fx.UNTIL}' AND NOT EXISTS (
+          SELECT 1 FROM target t WHERE t.ticker = i.ticker AND t.date = i.date)""",
+    "incremental_corrections": f"""WITH {DENSE_BARS},{LATE_DAYS}
+        SELECT * REPLACE (CASE WHEN day(date) = {fx.CORRECTED_DAY} THEN close * 2 ELSE close END AS close) FROM incoming
+        UNION ALL SELECT * FROM target t WHERE NOT EXISTS (
+          SELECT 1 FROM incoming i WHERE t.ticker = i.ticker AND t.date = i.date)""",
+    "stream_loads": f"""WITH {DENSE_BARS}
+        SELECT * REPLACE (CASE WHEN day(date) = {fx.CORRECTED_DAY} THEN close * 2 ELSE close END AS close)
+        FROM dense_bars""",
+    "last_update_footers": f"WITH {DENSE_BARS} SELECT ticker, max(date) AS last_date FROM dense_bars GROUP BY 1",
+    "colocated_series": f"""{WIDE},
+        filled AS (
+          SELECT b.ticker, b.date, b.close, upper(trim(c.currency_code)) AS currency_code,
+                 last_value(close IGNORE NULLS) OVER (PARTITION BY b.ticker ORDER BY date
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cf
+          FROM wide_bars b LEFT JOIN wide_currency c ON b.ticker = c.ticker)
+        SELECT ticker, date, close, currency_code,
+               cf / nullif(lag(cf) OVER (PARTITION BY ticker ORDER BY date), 0) - 1 AS daily_return,
+               {_ma(50, 25, "CAST(close AS DECIMAL(18,2))")}, {_ma(200, 100, "CAST(close AS DECIMAL(18,2))")}
+        FROM filled""",
+    "published_refresh": f"WITH {DENSE_BARS} SELECT * FROM dense_bars",
+    "wide_file": f"WITH {DENSE_BARS} SELECT * FROM dense_bars",
+    "rates_union": f"""WITH {DENSE_FX}
+        SELECT * REPLACE (CASE WHEN from_currency = 'EUR' THEN NULL ELSE low END AS low,
+                          CASE WHEN from_currency = 'EUR' THEN NULL ELSE high END AS high) FROM dense_fx""",
+    "price_series_sorted": f"""{DENSE}
+        SELECT ticker, date, {MONEY} FROM master WHERE conv IS NOT NULL ORDER BY date, ticker""",
+    "exchange_table_hot": f"""WITH {WIDE_CURRENCY},{WIDE_FX},
+        hot AS (SELECT ticker, CASE WHEN ticker LIKE '%7' THEN currency_code ELSE 'usd' END AS code FROM wide_currency)
+        SELECT c.ticker, upper(trim(c.code)) AS currency_code, f.date, f.open, f.close AS currency_close, f.low, f.high,
+               f.from_currency, f.to_currency, strftime(f.date, '%m%d%Y') || f.from_currency AS exchange_id,
+               strftime(f.date, '%m%d%Y') AS currency_date_key
+        FROM hot c RIGHT JOIN wide_fx f ON upper(trim(c.code)) = f.from_currency""",
+    "news_open_keys": f"""
+        SELECT (['{"', '".join(fx.NEWS_TICKERS)}'])[(page_id % {len(fx.NEWS_TICKERS)}) + 1] AS ticker,
+               CAST(page_id AS VARCHAR) AS uuid, 'Market update ' || CAST(page_id AS VARCHAR) AS title,
+               (page_id % 7) / CAST(4 AS DOUBLE) AS sentiment, 'p' || CAST(page_id % 3 AS VARCHAR) AS place,
+               CAST(NULL AS VARCHAR) AS absent
+        FROM pages""",
+    "financials_open_items": """
+        SELECT l_returnflag AS ticker, make_date(CAST(year(l_shipdate) AS INTEGER), 12, 31) AS date,
+          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS extended_price,
+          CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) AS tax, CAST(NULL AS DOUBLE) AS goodwill
+        FROM lineitem GROUP BY 1, 2""",
     "max_string_lengths": """
         WITH d AS (
           SELECT s.s_suppkey, s.s_name, s.s_acctbal, n.n_name, r.r_name
@@ -578,3 +630,4 @@ ORACLE: dict[str, str] = {
         FROM wide_currency""",
 }
 ORACLE["news_feed_keys"] = ORACLE["news_items"]
+ORACLE["yearly_view"] = ORACLE["yearly_report"]

@@ -10,6 +10,7 @@ error scores, bin edges) are rounded.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,13 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import money
 from ..operators import dims, enrich, forecast as fc, incremental, normal_equations as ne, quality, reports, reshape, series
-from ..operators.normalize import normalize_bars, one_per_key
+from ..operators.normalize import normalize_bars, one_per_key, union_all
 from ..schemas import NEWS_TIME_KEY
+from ..session import checkpoint_root
+from ..sinks import tables
 from ..sinks.tables import column_ddl
-from ..sources import fixtures as fx
+from ..sources import fixtures as fx, landing
+from ..streaming.new_bars import load_new_bars, stored_bars
 
 # Parameters of the fixture forecasts (fixture prices reach ~105,000, so the
 # logistic cap is scaled to the data, not the 1,000 default).
@@ -28,6 +32,8 @@ FORECAST_START = "1999-01-01"
 FORECAST_PERIODS = 90
 # Rolling origins: days of history before the first cutoff, between cutoffs, ahead.
 CUTOFFS = (365, 30, 60)
+# Buckets of the co-located tables.
+BUCKETS = 8
 FORECAST_PARAMS = fc.ModelParams(growth="logistic", cap=150_000.0, floor=0.0)
 
 
@@ -39,7 +45,7 @@ def _r(c, places: int = 6):
 
 def dense_master(spark, sf) -> DataFrame:
     """The enriched master frame of the dense (three-ticker) universe."""
-    return enrich.enrich_prices(fx.dense_bars(spark, sf), fx.dense_currency(spark, sf),
+    return enrich.enrich_prices(fx.dense_bars(spark, sf), fx.flag_currency(spark),
                                 fx.dense_fx(spark, sf))
 
 
@@ -48,6 +54,11 @@ def wide_master(spark, sf) -> DataFrame:
                                 fx.wide_fx(spark, sf))
 
 
+def _folder(spark, name: str) -> str:
+    """A new folder for a table that a query stores and reads, in the shared folder."""
+    return f"{checkpoint_root(spark)}/queries/{name}-{uuid.uuid4().hex}"
+
+
 def _train(spark, sf):
     return fc.training_frame(dense_master(spark, sf), FORECAST_START)
 
@@ -241,7 +252,7 @@ def q_max_string_lengths(spark, sf):
 
 def q_quality_report(spark, sf):
     return quality.quality_report(fx.dense_bars(spark, sf), fx.dense_fx(spark, sf),
-                                  fx.dense_currency(spark, sf))
+                                  fx.flag_currency(spark))
 
 
 def q_quality_report_wide(spark, sf):
@@ -412,6 +423,135 @@ def q_forecast_origin_errors(spark, sf):
                     _r("mape").alias("mape"), _r("mae_smooth", 4).alias("mae_smooth"))
 
 
+def _stored_with_gaps(spark, sf):
+    """Bars up to the split date, stored by year, without the gap days."""
+    bars = fx.dense_bars(spark, sf)
+    split = F.to_date(F.lit(fx.SPLIT_DATE))
+    path = _folder(spark, "gaps")
+    kept = bars.where((F.col("date") <= split) & (F.dayofmonth("date") != fx.GAP_DAY))
+    tables.write_table(kept.withColumn("year", F.year("date")), path, "append", ["year"])
+    return path, bars.where(F.col("date") > F.add_months(split, -fx.LATE_MONTHS))
+
+
+def q_incremental_late_days(spark, sf):
+    """S5 + J5 on a stored table with gap days: an increment that reaches back
+    brings days that the target lacks, behind its last ones, and days it has."""
+    path, incoming = _stored_with_gaps(spark, sf)
+    return incremental.new_bars(stored_bars(spark, path), incoming)
+
+
+def q_incremental_until(spark, sf):
+    """The same increment up to a day."""
+    path, incoming = _stored_with_gaps(spark, sf)
+    return incremental.new_bars(stored_bars(spark, path), incoming, end=fx.UNTIL)
+
+
+def q_incremental_corrections(spark, sf):
+    """The stored table after a load with late and corrected days."""
+    path, incoming = _stored_with_gaps(spark, sf)
+    corrected = incoming.withColumn("close", F.when(F.dayofmonth("date") == fx.CORRECTED_DAY, F.col("close") * 2)
+                                    .otherwise(F.col("close")))
+    tables.store_bars(stored_bars(spark, path), path, incremental.one_per_day(corrected))
+    return stored_bars(spark, path).drop("year")
+
+
+def q_stream_loads(spark, sf):
+    """Three stream runs over landing files, the second with late days, the
+    third with corrected ones; the stored table."""
+    bars = fx.dense_bars(spark, sf)
+    landing_at, target = _folder(spark, "landing"), _folder(spark, "streamed")
+    late = F.dayofmonth("date") == fx.GAP_DAY
+    doubled = bars.where(F.dayofmonth("date") == fx.CORRECTED_DAY).withColumn("close", F.col("close") * 2)
+    for i, rows in enumerate((bars.where(~late), bars.where(late | (F.dayofmonth("date") < 3)), doubled)):
+        rows.write.parquet(f"{landing_at}/{i}")
+        load_new_bars(spark, f"{landing_at}/*", target, checkpoint=f"{target}-state")
+    return stored_bars(spark, target).drop("year")
+
+
+def q_last_update_footers(spark, sf):
+    """S9 + K6: last dates from the footers of a table partitioned by ticker."""
+    path = _folder(spark, "by-ticker")
+    tables.write_table(fx.dense_bars(spark, sf), path, "append", ["ticker"])
+    return incremental.last_update_from_files(spark, path)
+
+
+def q_colocated_series(spark, sf):
+    """K8 + J1 + W1 + W2 on tables bucketed by ticker: no exchange after the scans."""
+    names = {}
+    for name, df in (("bars", fx.wide_bars(spark, sf)), ("currency", fx.wide_currency(spark, sf))):
+        path = _folder(spark, name)
+        names[name] = path.rsplit("/", 1)[1].replace("-", "_")
+        tables.save_bucketed(df, names[name], BUCKETS, path=path)
+    joined = enrich.attach_currency(spark.table(names["bars"]), spark.table(names["currency"]))
+    df = series.daily_returns(joined.select("ticker", "date", "close", "currency_code"))
+    return series.rolling_means(df, "close", ((50, 25), (200, 100))).select(
+        "ticker", "date", "close", "currency_code", "daily_return", "ma50", "ma200")
+
+
+def q_published_refresh(spark, sf):
+    """K5 + K8: a set published twice, the second refresh with later bars."""
+    bars, root = fx.dense_bars(spark, sf), _folder(spark, "db")
+    split = F.to_date(F.lit(fx.SPLIT_DATE))
+    for part in (bars.where(F.col("date") <= split), bars):
+        tables.publish({"stock_history": part.withColumn("year", F.year("date")), "stocks_master": dims.ticker_master(part)},
+                       root, {"stock_history": ["year"]})
+    last = tables.read_published(spark, root, "stock_history").drop("year")
+    return last.join(tables.read_published(spark, root, "stocks_master"), "ticker")
+
+
+def q_yearly_view(spark, sf):
+    """S10 + K7: the yearly report as a view over a stored table, through SQL."""
+    path = _folder(spark, "history")
+    name = "stock_history_" + path.rsplit("-", 1)[1]
+    tables.write_table(fx.dense_bars(spark, sf), path, "append", ["ticker"])
+    spark.read.parquet(path).createOrReplaceTempView(name)
+    reports.create_yearly_view(spark, landing.read_table(spark, name), f"yearly_{name}")
+    return spark.sql(f"SELECT year, ticker, avg_open, avg_close, avg_high, avg_low FROM yearly_{name}")
+
+
+def q_wide_file(spark, sf):
+    """A bulk file with a column per ticker and measure, read as bars."""
+    path = _folder(spark, "wide")
+    reshape.long_to_wide(fx.dense_bars(spark, sf), list(fx.FLAG_CURRENCY)).write.parquet(path)
+    return landing.read_wide_bars(spark, path)
+
+
+def q_rates_union(spark, sf):
+    """Rates of three landing folders, one without a low and a high."""
+    rates = fx.dense_fx(spark, sf)
+    parts = [rates.where(F.col("from_currency") == c) for c in fx.STATUS_CURRENCY.values()]
+    return union_all([*parts[:2], parts[2].drop("low", "high")])
+
+
+def q_price_series_sorted(spark, sf):
+    """O1: the price report by date, then ticker."""
+    return _price(series.sort_for_report(series.price_series(dense_master(spark, sf))))
+
+
+def q_exchange_table_hot(spark, sf):
+    """J3 where one code has nine tenths of the tickers, cut by its measured size."""
+    hot = F.when(F.substring("ticker", -1, 1) == "7", F.col("currency_code")).otherwise(F.lit("usd"))
+    currency = fx.wide_currency(spark, sf).withColumn("currency_code", hot)
+    return dims.exchange_table(currency, fx.wide_fx(spark, sf), rows_per_task=20_000)
+
+
+def q_news_open_keys(spark, sf):
+    """News items with keys that no schema names, typed when they are read."""
+    more = {"sentiment": F.pmod("page_id", F.lit(7)) / 4, "place": F.concat(F.lit("p"), F.pmod("page_id", F.lit(3)))}
+    path = _folder(spark, "news")
+    reshape.news_variants(fx.news_payloads(spark, sf, more=more)).write.parquet(path)
+    return reshape.variant_fields(spark.read.parquet(path), "item", {
+        "title": "string", "sentiment": "double", "place": "string", "absent": "string"})
+
+
+def q_financials_open_items(spark, sf):
+    """S3: statements with line items that no schema names."""
+    path = _folder(spark, "statements")
+    reshape.statement_variants(fx.financials_long(spark, sf)).write.parquet(path)
+    return reshape.variant_fields(spark.read.parquet(path), "items", {
+        "extended_price": "double", "tax": "double", "goodwill": "double"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_bars": q_daily_bars,
     "yearly_report": q_yearly_report,
@@ -442,6 +582,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ticker_master": q_ticker_master,
     "last_update": q_last_update,
     "incremental_new_bars": q_incremental_new_bars,
+    "incremental_late_days": q_incremental_late_days,
+    "incremental_until": q_incremental_until,
+    "incremental_corrections": q_incremental_corrections,
+    "stream_loads": q_stream_loads,
+    "last_update_footers": q_last_update_footers,
+    "colocated_series": q_colocated_series,
+    "published_refresh": q_published_refresh,
+    "yearly_view": q_yearly_view,
+    "wide_file": q_wide_file,
+    "rates_union": q_rates_union,
+    "price_series_sorted": q_price_series_sorted,
+    "exchange_table_hot": q_exchange_table_hot,
+    "news_open_keys": q_news_open_keys,
+    "financials_open_items": q_financials_open_items,
     "max_string_lengths": q_max_string_lengths,
     "quality_report": q_quality_report,
     "linear_trend": q_linear_trend,

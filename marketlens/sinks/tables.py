@@ -7,7 +7,9 @@ stored (see operators.incremental).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,6 +134,71 @@ def store_bars(target: DataFrame, path: str, rows: DataFrame) -> None:
     write_table(incremental.new_bars(target, rows).withColumn("year", F.year("date")), path, "append", ["year"])
 
 
+def save_bucketed(df: DataFrame, name: str, buckets: int, by: str = "ticker", order: str = "date",
+                  path: str | None = None) -> None:
+    """K1 + K8 for tables that meet by `by`: bucketed on it and sorted within, so
+    a join of two such tables and windows partitioned by `by` need no exchange.
+    Rows go to their buckets first, so each bucket is written by one task."""
+    sort = [c for c in (by, order) if c in df.columns]
+    w = df.repartition(buckets, by).sortWithinPartitions(*sort).write.mode("overwrite").format("parquet")
+    w = w.bucketBy(buckets, by).sortBy(*sort)
+    (w.option("path", path) if path else w).saveAsTable(name)
+
+
+PUBLISHED = T.StructType([T.StructField("seq", T.LongType()), T.StructField("table", T.StringType()),
+                          T.StructField("path", T.StringType())])
+
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    """What was published: a row per table and publication."""
+    try:
+        return spark.read.schema(PUBLISHED).parquet(f"{root.rstrip('/')}/_published_tables")
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], PUBLISHED)
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str | None:
+    """Where the last published version of a table lies (None: there is none)."""
+    found = _pointers(spark, root).where(F.col("table") == name).agg(F.max_by("path", "seq")).first()
+    return found[0]
+
+
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    path = current_path(spark, root, name)
+    if path is None:
+        raise ValueError(f"no table {name!r} was published under {root}")
+    return spark.read.parquet(path)
+
+
+def publish(tables: dict[str, DataFrame], root: str, partition_by: dict[str, list[str]] | None = None,
+            drop: dict[str, T.StructType] | None = None) -> str:
+    """K5 + K8, all or nothing: write a set of tables into a folder of its own
+    run, then show all of them by one commit.
+
+    Readers find a table through the pointer rows (`current_path`).  A run's
+    pointers are one file, added by one commit after every table is complete, so
+    a run that fails at any table, or whose driver is lost, leaves the set before
+    it whole; its folder is never read.  A refresh is one writer at a time.
+    Tables in `drop` that this run does not load are published empty.
+    """
+    root, partition_by = root.rstrip("/"), partition_by or {}
+    if not tables:
+        raise ValueError("nothing to publish")
+    spark = next(iter(tables.values())).sparkSession
+    whole = dict(tables)
+    for name, schema in (drop or {}).items():
+        whole.setdefault(name, spark.createDataFrame([], schema))
+    seq = (_pointers(spark, root).agg(F.max("seq")).first()[0] or 0) + 1
+    folder = f"{root}/runs/{seq:08d}-{uuid.uuid4().hex}"
+    for name, df in whole.items():
+        write_table(df, f"{folder}/{name}", "fail", partition_by.get(name))
+    rows = spark.createDataFrame([(seq, name, f"{folder}/{name}") for name in whole], PUBLISHED)
+    rows.coalesce(1).write.mode("append").parquet(f"{root}/_published_tables")
+    return folder
+
+
 def full_refresh(tables: dict[str, DataFrame], root: str,
                  partition_by: dict[str, list[str]] | None = None,
                  drop: dict[str, T.StructType] | None = None) -> None:

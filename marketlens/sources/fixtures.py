@@ -28,6 +28,12 @@ FX_FACTOR = "0.000002"
 BASE = "GBP"
 # Incremental-load fixture: batch 1 ends on, batch 2 starts on this day.
 SPLIT_DATE = "2000-12-31"
+# Late-day fixture: the day of the month that is never loaded in time, the one
+# that is corrected later, the months an increment reaches back, and its end.
+GAP_DAY = 11
+CORRECTED_DAY = 13
+LATE_MONTHS = 3
+UNTIL = "2001-03-01"
 # The ticker that the overlap fixture has not loaded before.
 LATE_TICKER = "R"
 # Date columns of the statement fixture (some without data).
@@ -80,8 +86,14 @@ def dense_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticker -> raw currency code for the dense universe: the fixed mapping
-    itself (three rows), so a report scans the lines once, for its bars."""
+    """Ticker -> raw currency code of the tickers that have lines."""
+    flags = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("ticker")).distinct()
+    return flags.select("ticker", _lookup(FLAG_CURRENCY, F.col("ticker")).alias("currency_code"))
+
+
+def flag_currency(spark: SparkSession) -> DataFrame:
+    """The fixed mapping itself (three rows).  Bars look their ticker up in it, so
+    the tickers are those of the bars, and the lines are scanned once."""
     rows = [F.struct(F.lit(t).alias("ticker"), F.lit(c).alias("currency_code"))
             for t, c in FLAG_CURRENCY.items()]
     return spark.range(1).select(F.inline(F.array(*rows)))
@@ -199,11 +211,13 @@ def holders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.col("l_returnflag").alias("ticker"))
 
 
-def news_payloads(spark: SparkSession, sf_dir: str, time_key: str = "provider_publish_time") -> DataFrame:
+def news_payloads(spark: SparkSession, sf_dir: str, time_key: str = "provider_publish_time",
+                  more: dict[str, Column] | None = None) -> DataFrame:
     """(ticker, JSON array of news items) built from the pages table.
 
     Items are packed eight to a payload, so no payload grows with the data.
-    Odd pages carry no publish time (the key is absent from the JSON).
+    Odd pages carry no publish time (the key is absent from the JSON).  `more`
+    are further keys of an item.
     """
     from ..functions.text import url_host
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -216,6 +230,7 @@ def news_payloads(spark: SparkSession, sf_dir: str, time_key: str = "provider_pu
         F.col("url").alias("link"),
         F.lit("STORY").alias("type"),
         F.when(F.pmod("page_id", F.lit(2)) == 0,
-               F.lit(NEWS_TIME_BASE) + F.col("page_id") * 3600).alias(time_key))
+               F.lit(NEWS_TIME_BASE) + F.col("page_id") * 3600).alias(time_key),
+        *[c.alias(n) for n, c in (more or {}).items()])
     g = pages.groupBy(ticker.alias("ticker"), F.floor(F.col("page_id") / NEWS_CHUNK).alias("chunk"))
     return g.agg(F.to_json(F.collect_list(item)).alias("payload")).select("ticker", "payload")

@@ -30,19 +30,19 @@ def test_etl_full_refresh_update_and_fx_tables(spark, scratch):
                                         news=f"{scratch}/news"))
     etl.full_refresh(out)
     etl.full_refresh(out)  # a re-run replaces, never duplicates
-    assert spark.read.parquet(f"{out}/stocks_master").count() == 3
-    n1 = spark.read.parquet(f"{out}/stock_history").count()
+    assert etl.table(out, "stocks_master").count() == 3
+    n1 = etl.table(out, "stock_history").count()
     assert n1 == b.where("date <= '2000-12-31'").count()
-    assert spark.read.parquet(f"{out}/news").count() > 0
+    assert etl.table(out, "news").count() > 0
     upd = MarketETL(spark, LandingPaths(f"{scratch}/bars2", f"{scratch}/currency", fxp))
     upd.update_history(out)
     upd.update_history(out)  # idempotent
-    hist = spark.read.parquet(f"{out}/stock_history")
+    hist = upd.stored_history(out)
     assert hist.count() == b.count()
     assert hist.groupBy("ticker", "date").count().where("count > 1").count() == 0
     etl.exchange_rate_tables(out)
-    assert spark.read.parquet(f"{out}/exchange_table").count() == fx.dense_fx(spark, SF_SMALL).count()
-    dd = spark.read.parquet(f"{out}/date_dimension")
+    assert etl.table(out, "exchange_table").count() == fx.dense_fx(spark, SF_SMALL).count()
+    dd = etl.table(out, "date_dimension")
     assert dd.count() == dd.select("date_key").distinct().count()
 
 

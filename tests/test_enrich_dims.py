@@ -67,8 +67,8 @@ def test_three_currencies_every_fx_row_keeps_its_date(spark):
     f = fx(spark, [("GBP", "2024-01-08", 1.0), ("HKD", "2024-01-08", 0.1),
                    ("EUR", "2024-01-09", 0.86), ("JPY", "2024-01-09", 0.005)])
     cur = currency(spark, [("A", "gbp"), ("B", "hkd"), ("C", "eur"), ("D", "eur")])
-    for buckets in (1, 4):
-        t = dims.exchange_table(cur, f, salt_buckets=buckets).collect()
+    for rows in (1, 2, 1_000_000):
+        t = dims.exchange_table(cur, f, rows_per_task=rows).collect()
         assert all(r.date is not None for r in t)
         assert len(t) == 5  # EUR has two tickers; JPY has none and is kept
         jpy = [r for r in t if r.from_currency == "JPY"][0]
@@ -120,3 +120,39 @@ def test_prices_in_pence_convert_by_their_unit(spark):
     b = bars(spark, [("L", "2024-01-08", 250.0), ("P", "2024-01-08", 2.5)])
     out = enrich.enrich_prices(b, cur, fx(spark, []))
     assert {r.ticker: float(r.converted_close) for r in out.collect()} == {"L": 2.5, "P": 2.5}
+
+
+def _code_sizes(spark, dim, fact, rows_per_task):
+    from marketlens.operators.joins import SALT, salted_right_join, salted_sides
+    d, f = salted_sides(dim, fact, "code", "from_code", rows_per_task)
+    pieces = d.groupBy("code", SALT).count().withColumnRenamed("count", "d").join(
+        f.groupBy(F.col("from_code").alias("code"), SALT).count(), ["code", SALT])
+    joined = salted_right_join(dim, fact, "code", "from_code", rows_per_task)
+    return joined, [r.n for r in pieces.select((F.col("d") * F.col("count")).alias("n")).collect()]
+
+
+def test_only_heavy_codes_are_cut_and_each_by_its_size(spark):
+    # One code holds nine tenths of the instruments; another has most days.
+    dim = spark.range(3000).select("id", F.when(F.col("id") % 10 > 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("C"), F.col("id") % 7)).alias("code"))
+    fact = spark.range(4000).select(F.col("id").alias("day"), F.when(F.col("id") < 400, F.lit("HOT")).when(
+        F.col("id") < 3000, F.lit("C0")).otherwise(F.concat(F.lit("C"), F.col("id") % 9)).alias("from_code"))
+    joined, sizes = _code_sizes(spark, dim, fact, 20_000)
+    plain = dim.join(fact, dim["code"] == fact["from_code"], "right")
+    assert sorted(map(tuple, joined.select("id", "day").na.fill(-1).collect())) == sorted(
+        map(tuple, plain.select("id", "day").na.fill(-1).collect()))
+    heavy = [n for n in sizes if n > 10_000]
+    assert len(heavy) > 50 and max(sizes) < 2 * sorted(heavy)[len(heavy) // 2]
+    none, whole = _code_sizes(spark, dim, fact, 10**9)
+    assert len(whole) <= 9 and none.count() == joined.count()
+
+
+def test_exchange_table_without_any_lines(spark, tmp_path):
+    from conftest import SF_SMALL
+    from marketlens.plans import queries as Q
+    for name in ("lineitem", "orders"):
+        t = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        (t.limit(0) if name == "lineitem" else t).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = Q.q_exchange_table(spark, str(tmp_path))
+    assert out.count() > 0 and out.where("ticker is not null").count() == 0
+    assert Q.q_fx_rates(spark, str(tmp_path)).count() == 0

@@ -263,3 +263,33 @@ def test_last_dates_come_from_file_statistics(spark, scratch):
     assert "PushedAggregation: [MAX(date)]" in got._jdf.queryExecution().toString()
     assert sorted(map(tuple, got.collect())) == [("0700", dt.date(2024, 3, 4)), ("B", dt.date(2020, 1, 2))]
     assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_a_refresh_that_fails_leaves_the_old_set_whole(spark, scratch):
+    import pytest
+    old = {n: bars(spark, [("old", "2024-01-08", 1.0)]) for n in ("a", "b", "c", "d")}
+    tables.publish(old, scratch)
+    new = {n: bars(spark, [("new", "2024-01-09", 2.0)]) for n in old}
+    new["c"] = new["c"].withColumn("close", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        tables.publish(new, scratch)
+    for n in old:
+        assert _rows(tables.read_published(spark, scratch, n)) == [("old", "2024-01-08", 1.0)]
+    new["c"] = bars(spark, [("new", "2024-01-09", 2.0)])
+    tables.publish(new, scratch)
+    assert {_rows(tables.read_published(spark, scratch, n))[0][0] for n in old} == {"new"}
+    # A set of other tables, and tables that are not loaded again.
+    tables.publish({"e": old["a"]}, scratch, drop={"d": old["d"].schema})
+    assert _rows(tables.read_published(spark, scratch, "a"))[0][0] == "new"
+    assert tables.read_published(spark, scratch, "d").count() == 0
+    assert tables.current_path(spark, scratch, "x") is None
+    with pytest.raises(ValueError):
+        tables.read_published(spark, scratch, "x")
+
+
+def test_an_update_needs_no_earlier_refresh(spark, scratch):
+    from marketlens.api import LandingPaths, MarketETL
+    _land(spark, f"{scratch}/landing", [("A", "2024-03-01", 1.0)])
+    etl = MarketETL(spark, LandingPaths(f"{scratch}/landing", f"{scratch}/cur", []))
+    etl.update_history(f"{scratch}/db")
+    assert _rows(etl.stored_history(f"{scratch}/db")) == [("A", "2024-03-01", 1.0)]

@@ -32,7 +32,7 @@ def test_one_exchange_for_returns_and_rolling(spark):
 
 def test_no_cartesian_or_nested_loop(spark):
     for name, fn in Q.QUERIES.items():
-        if name in FORECASTS:
+        if name in (*FORECASTS, "stream_loads"):
             continue
         p = _plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in p, name
@@ -47,6 +47,8 @@ def test_weekday_filter_pushed_below_joins(spark):
 
 def test_python_only_in_the_forecaster(spark):
     for name, fn in Q.QUERIES.items():
+        if name == "stream_loads":
+            continue
         p = _plan(fn(spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
         has_group_map = "FlatMapGroupsInPandas" in p
@@ -60,3 +62,21 @@ def _line_scans(df) -> int:
 def test_fact_table_is_scanned_once(spark):
     assert _line_scans(Q.q_enriched_prices(spark, SF_SMALL)) == 1
     assert _line_scans(Q.q_quality_report(spark, SF_SMALL)) <= 2
+
+
+def test_colocated_tables_need_no_exchange_after_the_scan(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # as if both sides were large
+    try:
+        df = Q.q_colocated_series(spark, SF_SMALL)
+        plan = _plan(df)
+        assert df.count() > 0
+    finally:
+        spark.conf.set(key, before)
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2 and "SortMergeJoin" in plan
+
+
+def test_forecast_calendar_reads_the_lines_once(spark):
+    assert _line_scans(Q.q_future_calendar(spark, SF_SMALL)) <= 2
+    assert "LocalTableScan" in _plan(Q.q_future_calendar(spark, SF_SMALL))

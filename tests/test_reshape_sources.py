@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from helpers import bars
+from helpers import d, bars
 from marketlens.functions.text import flat_name
 from marketlens.operators import reshape
 from marketlens.sources import landing
@@ -173,3 +173,20 @@ def test_tickers_that_share_a_flat_name_are_refused(spark):
     with pytest.raises(ValueError, match="share"):
         reshape.pivot_measure(df, "close", ["BRK.B", "BRK_B"])
 
+
+
+def test_variants_keep_keys_that_no_schema_names(spark, scratch):
+    from marketlens.operators import reshape
+    payloads = spark.createDataFrame([
+        ("A", '[{"uuid": "1", "mood": 0.5, "tags": ["x", "y"]}, {"uuid": "2", "mood": "bad", "a.b": 7}]'),
+        ("B", "[]"), ("C", None), ("D", "{not json")], "ticker string, payload string")
+    reshape.news_variants(payloads).write.parquet(f"{scratch}/news")
+    got = reshape.variant_fields(spark.read.parquet(f"{scratch}/news"), "item",
+                                 {"mood": "double", "tags": "array<string>", "a.b": "long"}).collect()
+    assert sorted((r.ticker, r.uuid, r.mood, r.tags, r["a.b"]) for r in got) == [
+        ("A", "1", 0.5, ["x", "y"], None), ("A", "2", None, None, 7)]
+    long = spark.createDataFrame([("A", "Net Income", d("2024-12-31"), 5.0), ("A", "Odd line", d("2024-12-31"), 2.0),
+                                  ("A", "Odd line", d("2024-12-31"), 3.0), ("A", "x", d("2023-12-31"), None)],
+                                 "ticker string, metric string, date date, value double")
+    out = reshape.variant_fields(reshape.statement_variants(long), "items", {"Odd line": "double", "none": "double"})
+    assert [tuple(r) for r in out.collect()] == [("A", d("2024-12-31"), 3.0, None)]
