@@ -205,21 +205,20 @@ def return_histogram(returns: DataFrame, value: str = "daily_return", nbins: int
                      by: str = "ticker") -> DataFrame:
     """A6 + G3: fixed-width histogram of returns per ticker on one global range.
 
-    Returns are first counted per (ticker, value); the range, a scalar
-    subquery, and the bins both read those counts, so the plan holds the
-    windows below them once (the exchange is reused).  Bins are
+    The range is a scalar subquery of one min/max aggregate, and bins are
+    counted map-side, so only bins are shuffled, not returns.  The exchange
+    below the windows of `returns` is the same in both and is reused.  Bins are
     [lo + i*w, lo + (i+1)*w), the last one closed.
     """
-    vals = (returns.where(F.col(value).isNotNull() & ~F.isnan(value))
-                   .groupBy(by, value).agg(F.count(F.lit(1)).alias("_n")))
+    vals = returns.where(F.col(value).isNotNull() & ~F.isnan(value))
     rng = vals.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    vals = vals.select(by, value, "_n", rng.alias("_r"))  # the subquery is referenced once
+    vals = vals.select(by, value, rng.alias("_r"))  # the subquery is referenced once
     lo, hi = F.col("_r.lo"), F.col("_r.hi")
     width = (hi - lo) / F.lit(float(nbins))
     b = F.when(width > 0, F.least(F.lit(nbins - 1).cast("bigint"),
                                    F.floor((F.col(value) - lo) / width).cast("bigint"))
                ).otherwise(F.lit(0).cast("bigint"))
-    counts = vals.groupBy(by, b.alias("bin")).agg(F.sum("_n").alias("count"),
+    counts = vals.groupBy(by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"),
                                                    F.first(lo).alias("_lo"),
                                                    F.first(width).alias("_w"))
     return counts.select(

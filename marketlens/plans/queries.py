@@ -159,8 +159,7 @@ def _tickers(df) -> list[str]:
 
 def q_cumulative_returns_wide(spark, sf):
     long = series.cumulative_returns(dense_master(spark, sf))
-    tickers = _tickers(fx.line_bars(spark, sf))
-    return reshape.pivot_measure(long, "cumulative_return", tickers, prefix="Close")
+    return reshape.pivot_measure(long, "cumulative_return", sorted(fx.FLAG_CURRENCY), prefix="Close")
 
 
 def q_cumulative_returns_duplicates(spark, sf):
