@@ -1,22 +1,24 @@
 """Line dedup (native): a log-template tree of fixed depth.
 
 Each line is parsed down a fixed-depth tree: first by its number of tokens,
-then by its leading `DEPTH` tokens, tokens with a digit counting as a variable
-field.  In a leaf, a token is constant at its position when at least
-`min_docs` lines of the leaf have it there; the other tokens are variable
-fields.  Lines of a leaf with the same constant tokens share a template.  A
-template recurs, and its lines are dropped from every document, when
-
-- at least half of its tokens, and two, are constant; as the leading tokens of
-  a leaf are constant by construction, either one beyond them is as well, or
-  all tokens are constant or have a digit, and
-- it is found in at least `min_docs` different texts that do not look like
-  copies of each other: of the beginnings (`SIGNATURE` tokens) of their first
-  lines, middle lines or last lines, at least `min_docs` differ, and either at
-  least `SPREAD` for each text that has it, or at least `min_docs` of the
-  texts' signatures (the three beginnings) are no variants.  A signature is a
-  variant of another that agrees in two beginnings and is held by over half of
-  the texts with these two.
+then by its leading tokens (`DEPTH`, or all of a shorter line), tokens with a
+digit counting as a variable field.  The support is `min_docs`, and `long_docs`
+for lines of `LONG_TOKENS` tokens and more, which do not recur by chance.  In a
+leaf, a token is constant at its position when at least as many lines of the
+leaf as the support have it there; the other tokens are variable fields.  Lines
+of a leaf with the same constant tokens share a template.  A template recurs,
+and its lines are dropped from every document, when
+
+- at least half of its tokens, and two (or the only one), are constant; as the
+  leading tokens of a leaf are constant by construction, either one beyond them
+  is as well, or all tokens are constant or have a digit, and
+- it is found in at least as many different texts as the support that do not
+  look like copies of each other: of the beginnings (`SIGNATURE` tokens) of
+  their first lines, middle lines or last lines, at least as many differ, and
+  either at least `SPREAD` for each text that has it, or at least as many of the
+  texts' signatures (the three beginnings) as the support are no variants.  A
+  signature is a variant of another that agrees in two beginnings and is held by
+  over half of the texts with these two.
 
 The second rule leaves copies of a whole document to the document-level
 operators; without it, a large group of copies would lose all of its lines.  A
@@ -27,8 +29,8 @@ Only templates of leaves that are large enough are worked out, so unique lines
 cost one hash.  Leaf, token and template counts combine before they are
 shuffled; a frequent line never meets in one task.
 
-Cases: a null text is returned as null and counts as no line; lines of fewer
-than `MIN_TOKENS` tokens, blank ones included, stay; rows that repeat, or that
+Cases: a null text is returned as null and counts as no line; blank lines stay;
+a text of any length is read whole, its lines as one array; rows that repeat, or that
 share or lack an id, are each returned; an empty table gives no rows; further
 columns pass through, and the result columns replace columns of their names.
 """
@@ -41,12 +43,12 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, free_name, text_key
 
 DEPTH = 3
-MIN_TOKENS = 3
+LONG_TOKENS = 20
 SPREAD = 0.2
 SIGNATURE = 4
 BROADCAST_ROWS = 500_000
 BLANKS = " \t\r"
-VARIABLE = "<*>"
+VARIABLE = " "  # no token has a blank
 
 
 def _lines(text: Column) -> Column:
@@ -73,7 +75,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _parsed(df: DataFrame, text: str) -> DataFrame:
-    """One row per line that can be a template: content key of its text, line
+    """One row per line that is not blank: content key of its text, line
     number, leaf, tokens, and how the text's first, middle and last lines begin."""
     k1, k2 = text_key(F.col(f"`{text}`"))
     texts = df.where(F.col(f"`{text}`").isNotNull()).select(
@@ -85,19 +87,24 @@ def _parsed(df: DataFrame, text: str) -> DataFrame:
     rows = texts.select("k1", "k2", "head", "middle", "tail", F.posexplode("lines").alias("line_no", "line"))
     rows = rows.withColumn("tokens", _tokens(F.col("line"))).withColumn("n", F.size("tokens"))
     leading = [_masked(F.get("tokens", F.lit(i))) for i in range(DEPTH)]
-    return rows.where(F.col("n") >= MIN_TOKENS).withColumn("leaf", F.xxhash64("n", *leading))
+    return rows.where(F.get("tokens", F.lit(0)) != "").withColumn("leaf", F.xxhash64("n", *leading))
 
 
-def _independent(min_docs: int) -> list[Column]:
+def _support(min_docs: int, long_docs: int) -> Column:
+    """How many lines or texts make a recurrence, by the line's tokens `n`."""
+    return F.when(F.col("n") >= LONG_TOKENS, F.lit(long_docs)).otherwise(F.lit(min_docs))
+
+
+def _independent() -> list[Column]:
     return [F.countDistinct("k1", "k2").alias("texts"),
             *[F.countDistinct(c).alias(c) for c in ("head", "middle", "tail")]]
 
 
-def _unlike(templates: DataFrame, min_docs: int) -> DataFrame:
-    """(leaf, template) of the templates with at least min_docs signatures that
-    are no variants of a more frequent one."""
+def _unlike(templates: DataFrame, support: Column) -> DataFrame:
+    """(leaf, template) of the templates with as many signatures as the support
+    that are no variants of a more frequent one."""
     ends = ["head", "middle", "tail"]
-    one = ["leaf", "template"]
+    one = ["leaf", "n", "template"]
     signatures = cut_lineage(templates.groupBy(*one, *ends).agg(F.countDistinct("k1", "k2").alias("held")))
     own = signatures
     for end in ends:
@@ -109,49 +116,49 @@ def _unlike(templates: DataFrame, min_docs: int) -> DataFrame:
         for c in pair:
             variant = variant & (F.col(c) == F.col(f"__{c}"))
         own = own.join(ruling, variant, "left_anti")
-    return own.groupBy(*one).agg(F.count(F.lit(1)).alias("own")).where(F.col("own") >= min_docs).select(*one)
+    return own.groupBy(*one).agg(F.count(F.lit(1)).alias("own")).where(F.col("own") >= support).select("leaf", "template")
 
 
-def recurring_lines(df: DataFrame, text: str, min_docs: int) -> DataFrame:
+def recurring_lines(df: DataFrame, text: str, min_docs: int, long_docs: int) -> DataFrame:
     """(k1, k2, line_no) of the lines that belong to a recurring template."""
-    parsed = _parsed(df, text)
-    leaves = cut_lineage(parsed.groupBy("leaf").agg(F.count(F.lit(1)).alias("lines"))
-                         .where(F.col("lines") >= min_docs).select("leaf"))
+    parsed, support = _parsed(df, text), _support(min_docs, long_docs)
+    leaves = cut_lineage(parsed.groupBy("leaf", "n").agg(F.count(F.lit(1)).alias("lines"))
+                         .where(F.col("lines") >= support).select("leaf"))
     lines = parsed.join(_small(leaves), "leaf", "left_semi").select(
         "leaf", "k1", "k2", "line_no", "n", "head", "middle", "tail",
         F.transform("tokens", lambda t: F.when(t.rlike("[0-9]"), F.lit(0).cast("long"))
                     .otherwise(F.xxhash64(t))).alias("tokens"))
     lines = cut_lineage(lines.distinct())
     words = F.size(F.filter("tokens", lambda t: t != 0))
-    placed = lines.select("leaf", F.posexplode("tokens").alias("at", "token")).where("token != 0")
-    constant = (placed.groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("lines"))
-                .where(F.col("lines") >= min_docs).select("leaf", "at", "token"))
+    placed = lines.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).where("token != 0")
+    constant = (placed.groupBy("leaf", "n", "at", "token").agg(F.count(F.lit(1)).alias("lines"))
+                .where(F.col("lines") >= support).select("leaf", "at", "token"))
     mine = lines.select("leaf", "k1", "k2", "line_no", "n", words.alias("words"), "head", "middle", "tail",
                         F.posexplode("tokens").alias("at", "token"))
     fixed = mine.join(constant, ["leaf", "at", "token"])
     templates = (fixed.groupBy("leaf", "k1", "k2", "line_no", "n", "words", "head", "middle", "tail")
                  .agg(F.count(F.lit(1)).alias("fixed"), F.max("at").alias("last"),
                       F.xxhash64(F.sort_array(F.collect_list(F.struct("at", "token")))).alias("template"))
-                 .where((F.col("fixed") >= 2) & (F.col("fixed") * 2 >= F.col("n"))
+                 .where((F.col("fixed") >= F.least(F.lit(2), F.col("n"))) & (F.col("fixed") * 2 >= F.col("n"))
                         & ((F.col("last") >= DEPTH) | (F.col("fixed") == F.col("words")))))
-    templates = cut_lineage(templates.select("leaf", "template", "k1", "k2", "line_no", "head", "middle", "tail"))
+    templates = cut_lineage(templates.select("leaf", "n", "template", "k1", "k2", "line_no", "head", "middle", "tail"))
     spread = F.greatest("head", "middle", "tail")
-    often = cut_lineage(templates.groupBy("leaf", "template").agg(*_independent(min_docs))
-                        .where((F.col("texts") >= min_docs) & (spread >= min_docs))
+    often = cut_lineage(templates.groupBy("leaf", "n", "template").agg(*_independent())
+                        .where((F.col("texts") >= support) & (spread >= support))
                         .select("leaf", "template", (spread >= F.col("texts") * SPREAD).alias("spread")))
     recurring = often.where("spread").select("leaf", "template")
     crowded = often.where(~F.col("spread")).select("leaf", "template")
     if not crowded.isEmpty():
         held = templates.join(_small(crowded), ["leaf", "template"], "left_semi")
-        recurring = cut_lineage(recurring.unionByName(_unlike(held, min_docs)))
+        recurring = cut_lineage(recurring.unionByName(_unlike(held, support)))
     return templates.join(_small(recurring), ["leaf", "template"], "left_semi").select("k1", "k2", "line_no")
 
 
-def drop_recurring_lines(df: DataFrame, text: str, min_docs: int = 20,
+def drop_recurring_lines(df: DataFrame, text: str, min_docs: int = 20, long_docs: int = 5,
                          n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """The rows with `text` reduced to the lines that stay, and two counts."""
     # Stored, so that the join below can split a text that very many rows hold.
-    gone = cut_lineage(recurring_lines(df, text, min_docs).groupBy("k1", "k2").agg(
+    gone = cut_lineage(recurring_lines(df, text, min_docs, long_docs).groupBy("k1", "k2").agg(
         F.collect_list("line_no").alias("__gone")).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), "__gone"))
     names = {c: free_name(df, f"__text_{c}") for c in ("k1", "k2")}

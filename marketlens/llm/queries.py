@@ -19,7 +19,7 @@ SHARDS = 24
 SHINGLE, RADIUS = 3, 2
 HELD_OUT_OF, HELD_OUT = 4, 2
 TOXIC_FROM = 0.3
-RECURRING_FROM = 20
+RECURRING_FROM, LONG_RECURRING_FROM = 20, 5
 TERM_DOCS, TOP_TERMS = 10, 10
 QUERY_STEP, TOP, SCALE = 20, 20, 64
 
@@ -92,7 +92,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.drop_recurring_lines(docs, "text", RECURRING_FROM)
+    return line_dedup.drop_recurring_lines(docs, "text", RECURRING_FROM, LONG_RECURRING_FROM)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def _masked_sql(line: str) -> str:
     """The tokens of a line in DuckDB, those with a digit as a variable field."""
     return (f"list_transform(regexp_split_to_array(trim({line}, ' ' || chr(9) || chr(13)), '[ \\t\\r]+'), "
-            f"lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END)")
+            f"lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN ' ' ELSE x END)")
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -171,21 +171,44 @@ ORACLE_SQL: dict[str, str] = {
             FROM texts),
         lines AS (SELECT text, head, middle, tail, unnest(ls) AS line, generate_subscripts(ls, 1) AS line_no FROM ends),
         parsed AS (SELECT text, head, middle, tail, line_no, {_masked_sql('line')} AS tokens FROM lines),
-        leaves AS (SELECT *, len(tokens) AS n, tokens[1:3] AS start3 FROM parsed WHERE len(tokens) >= 3),
-        placed AS (SELECT text, line_no, n, start3, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM leaves),
+        leaves AS (
+            SELECT *, len(tokens) AS n, tokens[1:3] AS start3, len(list_filter(tokens, lambda x: x <> ' ')) AS words,
+                   CASE WHEN len(tokens) >= {line_dedup.LONG_TOKENS} THEN {LONG_RECURRING_FROM}
+                        ELSE {RECURRING_FROM} END AS support
+            FROM parsed WHERE tokens <> ['']),
+        placed AS (
+            SELECT text, line_no, n, start3, words, support, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot
+            FROM leaves),
         fixed_tokens AS (
-            SELECT n, start3, spot, token FROM placed WHERE token <> '<*>'
-            GROUP BY n, start3, spot, token HAVING count(*) >= {RECURRING_FROM}),
+            SELECT n, start3, spot, token FROM placed WHERE token <> ' '
+            GROUP BY n, start3, spot, token HAVING count(*) >= any_value(support)),
         templates AS (
-            SELECT text, line_no, n, start3, list((spot, token) ORDER BY spot) AS template
+            SELECT text, line_no, n, start3, support, list((spot, token) ORDER BY spot) AS template
             FROM placed JOIN fixed_tokens USING (n, start3, spot, token)
-            GROUP BY text, line_no, n, start3 HAVING count(*) >= 2 AND count(*) * 2 >= n),
+            GROUP BY text, line_no, n, start3, words, support
+            HAVING count(*) >= least(2, n) AND count(*) * 2 >= n AND (max(spot) > 3 OR count(*) = words)),
         found AS (SELECT t.*, e.head, e.middle, e.tail FROM templates t JOIN ends e USING (text)),
+        signatures AS (
+            SELECT n, start3, template, head, middle, tail, count(DISTINCT text) AS held
+            FROM found GROUP BY ALL),
+        unlike AS (
+            SELECT n, start3, template, count(*) AS own
+            FROM (SELECT *, sum(held) OVER x AS all_x, max(held) OVER x AS top_x, sum(held) OVER y AS all_y,
+                         max(held) OVER y AS top_y, sum(held) OVER z AS all_z, max(held) OVER z AS top_z
+                  FROM signatures
+                  WINDOW x AS (PARTITION BY n, start3, template, middle, tail),
+                         y AS (PARTITION BY n, start3, template, head, tail),
+                         z AS (PARTITION BY n, start3, template, head, middle))
+            WHERE NOT (held < top_x AND top_x * 2 > all_x) AND NOT (held < top_y AND top_y * 2 > all_y)
+              AND NOT (held < top_z AND top_z * 2 > all_z)
+            GROUP BY n, start3, template),
+        often AS (
+            SELECT n, start3, template, any_value(support) AS support, count(DISTINCT text) AS texts,
+                   greatest(count(DISTINCT head), count(DISTINCT middle), count(DISTINCT tail)) AS spread
+            FROM found GROUP BY n, start3, template),
         recurring AS (
-            SELECT n, start3, template FROM found GROUP BY n, start3, template
-            HAVING count(DISTINCT text) >= {RECURRING_FROM}
-               AND greatest(count(DISTINCT head), count(DISTINCT middle), count(DISTINCT tail))
-                   >= greatest({RECURRING_FROM}, count(DISTINCT text) * 0.2)),
+            SELECT n, start3, template FROM often JOIN unlike USING (n, start3, template)
+            WHERE texts >= support AND spread >= support AND (spread >= texts * {line_dedup.SPREAD} OR own >= support)),
         gone AS (
             SELECT text, list(line_no) AS dropped FROM found JOIN recurring USING (n, start3, template) GROUP BY text)
         SELECT d.doc_id,

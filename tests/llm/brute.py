@@ -84,32 +84,48 @@ def leaks(text, items, window=13, mismatches=2, shortest=5):
 
 
 def masked_tokens(line):
-    return ["<*>" if re.search("[0-9]", x) else x for x in re.split("[ \t\r]+", line.strip(" \t\r"))]
+    return [" " if re.search("[0-9]", x) else x for x in re.split("[ \t\r]+", line.strip(" \t\r"))]
 
 
-def recurring(texts, min_docs, depth=3, min_tokens=3, spread=0.2, signature=4):
+def unlike(ends_of_texts):
+    """How many signatures are no variant of a more frequent one."""
+    held = Counter(ends_of_texts)
+
+    def variant(s):
+        for i in range(3):
+            same = [n for o, n in held.items() if all(o[j] == s[j] for j in range(3) if j != i)]
+            if held[s] < max(same) and 2 * max(same) > sum(same):
+                return True
+        return False
+
+    return sum(not variant(s) for s in held)
+
+
+def recurring(texts, min_docs, long_docs=5, depth=3, long_tokens=20, spread=0.2, signature=4):
     """{(text, line number)} of the lines that belong to a recurring template."""
-    lines, leaves = [], defaultdict(list)
+    leaves = defaultdict(list)
     for t in dict.fromkeys(t for t in texts if t is not None):
         all_lines = t.split("\n")
-        ends = [tuple(masked_tokens(all_lines[i])[:signature]) for i in (0, (len(all_lines) - 1) // 2, -1)]
+        ends = tuple(tuple(masked_tokens(all_lines[i])[:signature]) for i in (0, (len(all_lines) - 1) // 2, -1))
         for n, line in enumerate(all_lines):
             masked = masked_tokens(line)
-            if len(masked) >= min_tokens:
-                lines.append((t, n, masked, ends))
-                leaves[len(masked), *masked[:depth]].append(lines[-1])
+            if masked != [""]:
+                leaves[len(masked), *masked[:depth]].append((t, n, masked, ends))
     out = set()
-    for leaf in leaves.values():
-        seen = Counter((i, x) for _, _, masked, _ in leaf for i, x in enumerate(masked) if x != "<*>")
+    for (size, *_), leaf in leaves.items():
+        support = long_docs if size >= long_tokens else min_docs
+        seen = Counter((i, x) for _, _, masked, _ in leaf for i, x in enumerate(masked) if x != " ")
         templates = defaultdict(list)
         for t, n, masked, ends in leaf:
-            fixed = tuple((i, x) for i, x in enumerate(masked) if seen[i, x] >= min_docs)
-            if len(fixed) >= 2 and 2 * len(fixed) >= len(masked):
+            fixed = tuple((i, x) for i, x in enumerate(masked) if seen[i, x] >= support)
+            words = sum(x != " " for x in masked)
+            if len(fixed) >= min(2, size) and 2 * len(fixed) >= size and (fixed[-1][0] >= depth or len(fixed) == words):
                 templates[fixed].append((t, n, ends))
         for rows in templates.values():
-            held = {t for t, _, _ in rows}
-            most = max(len({e[i] for _, _, e in rows}) for i in range(3))
-            if len(held) >= min_docs and most >= min_docs and most >= spread * len(held):
+            held = {t: e for t, _, e in rows}
+            most = max(len({e[i] for e in held.values()}) for i in range(3))
+            if len(held) >= support and most >= support and (
+                    most >= spread * len(held) or unlike(held.values()) >= support):
                 out |= {(t, n) for t, n, _ in rows}
     return out
 
