@@ -8,7 +8,9 @@ sum of the buckets' weights.
 
 Cases: a null url, or one without `://`, has an empty host and path, no rule
 and no n-grams, and its score is the model's bias alone (below one half, so it
-is allowed).  Other columns pass through.
+is allowed).  A url of any length is read whole; rows that repeat each get their
+result; an empty table gives no rows.  Other columns pass through, those with the
+name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -23,32 +25,44 @@ BUCKETS = 4096
 HOST_GRAMS = (3, 4, 5)
 PATH_GRAMS = (3, 4)
 
-# Labelled URL table: (name, 1 = block), spread over hosts, endings and paths.
-BLOCKED_NAMES = [
-    "spam-farm", "cheap-pills", "casino-win", "free-bets", "adult-x", "ads-track",
-    "casino-bonus", "online-casino", "pills-shop", "cheap-meds", "bets-win", "free-spins",
-    "adult-cams", "xxx-video", "ad-server", "adtrack", "link-farm", "spam-links", "poker-win",
-    "lotto-bets", "track-ads", "payday-loans", "win-prizes", "viagra-cheap",
-]
-ALLOWED_NAMES = [
-    "therha", "tionsh", "ththon", "thering", "ththble", "ththly", "therin", "news", "weather",
-    "library", "science", "gardening", "history", "recipes", "school", "museum", "travel",
-    "thertion", "ththan", "ththea", "therst", "ththed", "music", "health", "sports-club",
-    "town-hall", "open-source", "book-review", "city-guide", "photography", "ththre", "theron",
-]
+# Labelled URL table, built by rule from words: a site name is a topic, alone or
+# with a word that both kinds of sites use.  Topics that are blocked, and
+# everyday words that are not; no name of any site.
+BLOCKED_TOPICS = """casino poker roulette slots jackpot betting bets lotto viagra pills meds steroids adult porn
+    xxx sexcam escorts spam spammer phishing malware ads adserver adtrack tracker tracking popup clickbait payday
+    replica warez""".split()
+ALLOWED_TOPICS = """news weather library science garden history recipes school museum travel music health sports town
+    source books city photos river mountain kitchen letters numbers nature teacher station brother winter summer mother
+    father leather feather northern southern things thought think month earth fourth worth thread theatre therapy thesis
+    thermal there their other another together rather nation motion section options question edition tradition
+    restaurant studio harbour theory whether nothing anything orchard threshold bethany athletics shelter interest
+    northwest forest hundred wherever sandwich honest southeast inland island thousand whistle wheat shoulder stable
+    possible cable humble thimble hedge reading heading weddings landing sounding lovely friendly weekly family
+    reach teach season reason theology methods ethics athens hotel shore short north south birth truth""".split()
+SHARED_WORDS = "shop store online club hub best deals live king royal plus express world zone home group".split()
 PREFIXES = ["", "www.", "blog.", "m."]
 ENDINGS = ["example.com", "example.org", "example.net"]
 PATHS = ["/en/{n}", "/fr/{n}/", "/de/{n}.html", "/es/{n}?page=2&ref=x", "/en/{n}#top", "/news/{n}", "/"]
 
 
+def site_names(topics: list[str], variants: int) -> list[str]:
+    """Each topic alone, then with shared words before or behind it in turn."""
+    out = []
+    for i, topic in enumerate(topics):
+        out.append(topic)
+        for j in range(1, variants):
+            word = SHARED_WORDS[(5 * i + 3 * j) % len(SHARED_WORDS)]
+            out.append((f"{topic}-{word}", f"{word}-{topic}", f"{topic}{word}", f"{word}{topic}")[(i + j) % 4])
+    return out
+
+
 def labelled_urls() -> list[tuple[str, int]]:
-    """The labelled table: every name with each prefix, endings and paths in turn."""
+    """The labelled table: every name with a prefix, an ending and a path in turn."""
     out = []
-    for label, names in ((1, BLOCKED_NAMES), (0, ALLOWED_NAMES)):
+    for label, names in ((1, site_names(BLOCKED_TOPICS, 8)), (0, site_names(ALLOWED_TOPICS, 4))):
         for i, name in enumerate(names):
-            for j, prefix in enumerate(PREFIXES):
-                path = PATHS[(i + j) % len(PATHS)].format(n=17 * i + 5 * j)
-                out.append((f"https://{prefix}{name}.{ENDINGS[(i + j) % len(ENDINGS)]}{path}", label))
+            path = PATHS[i % len(PATHS)].format(n=17 * i)
+            out.append((f"https://{PREFIXES[i % len(PREFIXES)]}{name}.{ENDINGS[i % len(ENDINGS)]}{path}", label))
     return out
 
 
@@ -89,8 +103,9 @@ def gram_buckets(host: Column, path: Column) -> Column:
     return reduce(lambda a, b: F.concat(a, b), parts)
 
 
-def fit(spark: SparkSession, rounds: int = 400, rate: float = 2.0, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias by gradient descent on the labelled table (bounded)."""
+def fit(spark: SparkSession, rounds: int = 2000, rate: float = 4.0, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias by gradient descent on the labelled table (bounded).  The
+    weights stay combinations of the rows, so the steps are taken on these."""
     rows = labelled_urls()
     data = F.array(*[F.struct(F.lit(u).alias("url"), F.lit(y).alias("y")) for u, y in rows])
     urls = spark.range(1).select(F.explode(data).alias("r")).select("r.url", "r.y")
@@ -100,11 +115,11 @@ def fit(spark: SparkSession, rounds: int = 400, rate: float = 2.0, penalty: floa
         np.add.at(x[i], r["g"], 1.0)
         x[i] /= max(1, len(r["g"])) ** 0.5
     y = np.array([r["y"] for r in feats], dtype=float)
-    w, b = np.zeros(BUCKETS), -0.5
+    alike, share, b = x @ x.T, np.zeros(len(y)), -0.5
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-(x @ w + b)))
-        w -= rate * (x.T @ (p - y) / len(y) + penalty * w)
-    return w, b
+        p = 1 / (1 + np.exp(-(alike @ share + b)))
+        share -= rate * ((p - y) / len(y) + penalty * share)
+    return x.T @ share, b
 
 
 def score_expr(host: Column, path: Column, weights: np.ndarray, bias: float) -> Column:
