@@ -22,8 +22,12 @@ Texts are read as one stream of characters in numpy, whole, in bounded pieces.
 
 Cases: characters that are neither letters, digits nor blanks are skipped
 (`i.d.i.o.t`), and blanks between single letters too (`i d i o t`).  Null texts
-and texts without words get the score of the lowest value.  Without labels of
-both kinds the score is the share of toxic labels (0 without any).  Repeated
+and texts without words get the score of the lowest value.  Toxic and clean texts
+count in the logistic by their share of all training labels, whatever the sample
+holds of each.  Where no model can be fitted (labels of one kind only, or no word
+that tells) every text has the same score and `Model.fitted` is false: a score
+of all labels' toxic share says nothing of a text, so a filter has to keep it.
+Texts of any length are read whole.  Repeated
 rows are each scored; an empty table gives no rows; further columns pass
 through, and the result column replaces one of its name.
 """
@@ -67,6 +71,10 @@ class Model:
     shift: float
     constant: float | None = None
 
+    @property
+    def fitted(self) -> bool:
+        return self.constant is None
+
     def probability(self, value: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(value), self.constant)
@@ -190,14 +198,17 @@ def with_insertions(word: str) -> list[str]:
     return [word[:i] + "xzqk"[i % 4] + word[i:] for i in range(2, len(word))] if len(word) > 3 else []
 
 
-def fit(bags: list[tuple[int, list[str]]]) -> Model:
-    """Model from (label, distinct words) of the sampled texts."""
+def fit(bags: list[tuple[int, list[str]]], toxic_share: float | None = None) -> Model:
+    """Model from (label, distinct words) of the sampled texts; `toxic_share` is
+    that of all labels (default: the sample's)."""
     number: dict[str, int] = {}
     toxic, clean = ([np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)
                      for y, words in bags if y == k] for k in (1, 0))
     empty = np.zeros((SPAN - 2, 1 << TABLE_BITS), dtype=np.float32)
+    if toxic_share is None:
+        toxic_share = len(toxic) / max(1, len(bags))
     if not toxic or not clean:
-        return Model(empty, 0.0, 0.0, 0.0, float(bool(toxic)))
+        return Model(empty, 0.0, 0.0, 0.0, toxic_share)
     vocab = np.array(list(number), dtype=object)
     in_toxic, in_clean = (np.bincount(np.concatenate([np.zeros(0, np.int64), *part]), minlength=len(vocab))
                           for part in (toxic, clean))
@@ -211,7 +222,7 @@ def fit(bags: list[tuple[int, list[str]]]) -> Model:
     best = [b[value[b].argmax()] for b in toxic if len(b)]
     witness = [i for i in best if value[i] >= SURPRISE]
     if not witness:
-        return Model(empty, 0.0, 0.0, 0.0, len(toxic) / len(bags))
+        return Model(empty, 0.0, 0.0, 0.0, toxic_share)
     many = Counter(witness)
     ranked = [vocab[i] for i in sorted(many, key=lambda i: (-value[i] * many[i], vocab[i]))]
     common = [vocab[i] for i in np.argsort(-in_clean, kind="stable")[:MAX_NEGATIVES // 4] if in_clean[i]]
@@ -267,7 +278,8 @@ def fit(bags: list[tuple[int, list[str]]]) -> Model:
         again = [i for i in (b[values[b].argmax()] for b in toxic if len(b)) if values[i] > 0 and value[i] > 0]
         witness = again or witness
     top = np.array([max(LOWEST, values[b].max()) if len(b) else LOWEST for b in toxic + clean])
-    slope, shift = logistic(top, np.array([1.0] * len(toxic) + [0.0] * len(clean)))
+    weight = np.array([toxic_share / len(toxic)] * len(toxic) + [(1 - toxic_share) / len(clean)] * len(clean))
+    slope, shift = logistic(top, np.array([1.0] * len(toxic) + [0.0] * len(clean)), weight)
     return Model(table, float(bias), slope, shift)
 
 
@@ -289,13 +301,14 @@ def hinge(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 500, pen
     return w[:-1], float(w[-1])
 
 
-def logistic(value: np.ndarray, y: np.ndarray, rounds: int = 3000) -> tuple[float, float]:
+def logistic(value: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 3000) -> tuple[float, float]:
+    """Slope and shift by gradient steps; the weights add up to one."""
     slope, shift = 2.0, 0.0
     goal = np.where(y > 0, 1 - 1 / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(slope * value + shift, -30, 30)))
-        slope -= 0.5 * float(((p - goal) * value).mean())
-        shift -= 0.5 * float((p - goal).mean())
+        slope -= 0.5 * float(((p - goal) * value) @ weight)
+        shift -= 0.5 * float((p - goal) @ weight)
     return max(slope, 0.5), shift
 
 
@@ -322,7 +335,8 @@ def train(docs: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str
     bags = rows.mapInArrow(words, f"id {kind}, y int, words array<string>")
     # Of rows that repeat an id, one: the sample stays within its bound.
     one = bags.groupBy("id", "y").agg(F.min("words").alias("words")).collect()
-    return fit([(r["y"], r["words"]) for r in sorted(one, key=lambda r: (r["id"], r["y"]))])
+    share = marked.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.0
+    return fit([(r["y"], r["words"]) for r in sorted(one, key=lambda r: (r["id"], r["y"]))], share)
 
 
 def score(df: DataFrame, text: str, model: Model, out: str = "score") -> DataFrame:

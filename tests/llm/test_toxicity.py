@@ -62,6 +62,7 @@ def test_without_labels_of_both_kinds(spark):
     docs, labels = small(spark)
     for part, want in ((labels.limit(0), 0.0), (labels.where("toxic = 0"), 0.0), (labels.where("toxic = 1"), 1.0)):
         model = X.train(docs, part)
+        assert not model.fitted
         assert {r.score for r in X.score(docs, "text", model).select("score").distinct().collect()} == {want}
 
 
@@ -79,3 +80,55 @@ def test_scores_do_not_depend_on_neighbours():
     for o, x in zip(owner[starts].tolist(), v.tolist()):
         best[o] = max(x, best.get(o, -9e9))
     assert [best.get(i) for i in range(len(texts))] == [None if a is None else float(a) for a in alone]
+
+
+def by_enumeration(a, b):
+    """The kernel of two words by listing their subsequences, before scaling."""
+    def counts(w):
+        w, out = " " + w, {}
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + X.SPAN)):
+                    key = (w[i], w[j], w[k], k - i)
+                    out[key] = out.get(key, 0) + 1
+        return out
+
+    ca, cb = counts(a), counts(b)
+    total = 0.0
+    for (x, y, z, s), n in ca.items():
+        for (u, v, w, t), m in cb.items():
+            if (x, y, z) == (u, v, w):
+                total += n * m * X.DECAY ** (s + 1) * X.DECAY ** (t + 1)
+    return total
+
+
+def test_kernel_equals_enumerated_subsequences():
+    words = ["idiot", "idiots", "idxiot", "moron", "worthless", "harbours", "aaaa", "abab"]
+    # The scaling divides by one factor of each word's length.
+    size = {w: (by_enumeration(w, w) / kernel(w, w)) ** 0.5 for w in words}
+    for n in {len(w) for w in words}:
+        same = [size[w] for w in words if len(w) == n]
+        assert max(same) - min(same) < 1e-3 * max(same)
+    for a in words:
+        for b in words:
+            want = by_enumeration(a, b) / (size[a] * size[b])
+            assert abs(kernel(a, b) - want) < 1e-3 * max(1.0, want), (a, b)
+
+
+def test_the_prior_is_that_of_all_labels():
+    rng = np.random.default_rng(3)
+    value = np.concatenate([rng.normal(1, 1, 400), rng.normal(-1, 1, 400)])  # the kinds overlap
+    y = np.array([1.0] * 400 + [0.0] * 400)
+
+    def mean(share):
+        weight = np.where(y > 0, share / 400, (1 - share) / 400)
+        slope, shift = X.logistic(value, y, weight)
+        return float((1 / (1 + np.exp(-(slope * value + shift)))) @ weight)
+
+    for share in (0.5, 0.1, 0.02):
+        assert abs(mean(share) - share) < 0.01 + 0.1 * share
+
+
+def test_no_telling_word_gives_the_share_and_no_model():
+    model = X.fit([(i % 2, ["alpha", "beta"]) for i in range(100)], 0.1)
+    assert not model.fitted and set(model.probability(np.zeros(3))) == {0.1}
