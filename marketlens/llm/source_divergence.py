@@ -84,6 +84,14 @@ def terms_of(text: str) -> set[bytes]:
     return out
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about RUN_BYTES, to bound what is held as Python strings."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * RUN_BYTES / max(batch.nbytes, 1)))
+        for a in range(0, batch.num_rows, step):
+            yield batch.slice(a, step)
+
+
 def kept_terms(rows: DataFrame, min_docs: int) -> DataFrame:
     """(lang, term) of the terms that min_docs rows of the language hold."""
 
@@ -97,7 +105,7 @@ def kept_terms(rows: DataFrame, min_docs: int) -> DataFrame:
                      pa.array(list(found.values()), pa.int64())], names=["lang", "term", "docs"])
             held.clear()
 
-        for batch in batches:
+        for batch in _sliced(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 if (found := terms_of(text)):
                     held.setdefault(lang, Counter()).update(found)
@@ -216,7 +224,7 @@ def term_counts(rows: DataFrame, words: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             known = received(sent)
             machines = {lang: None for lang in known}
-            for batch in batches:
+            for batch in _sliced(batches):
                 table: dict[tuple, list] = {}
                 for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")]):
                     if lang in known:
