@@ -160,6 +160,31 @@ def _masked_sql(line: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        sized AS (SELECT *, (length(h) // 2)::BIGINT AS n FROM docs),
+        chunks AS (
+            SELECT row, c, n, substring(h, 2 * c + 1, 2 * (500 + 199)) AS part
+            FROM (SELECT row, h, n, unnest(range(0, n - 199, 500)) AS c FROM sized WHERE n >= 200)),
+        starts AS (
+            SELECT row, c + i AS i, md5(substring(part, 2 * i + 1, 400)) AS part
+            FROM (SELECT row, c, part, unnest(range(least(500, n - 199 - c))) AS i FROM chunks)),
+        twice AS (SELECT part FROM starts GROUP BY part HAVING count(*) > 1),
+        covered AS (SELECT row, i FROM starts JOIN twice USING (part)),
+        marked AS (
+            SELECT row, i, CASE WHEN i > lag(i) OVER w + 200 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS fresh
+            FROM covered WINDOW w AS (PARTITION BY row ORDER BY i)),
+        grouped AS (SELECT row, i, sum(fresh) OVER (PARTITION BY row ORDER BY i) AS span FROM marked),
+        spans AS (SELECT row, min(i) AS a, max(i) + 200 AS b FROM grouped GROUP BY row, span),
+        edges AS (SELECT row, a, b, lag(b, 1, 0) OVER (PARTITION BY row ORDER BY a) AS before FROM spans),
+        cut AS (
+            SELECT e.row, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                   string_agg(substring(s.h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+            FROM edges e JOIN sized s ON s.row = e.row GROUP BY e.row)
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(CASE WHEN c.row IS NULL THEN h ELSE kept || substring(h, 2 * last + 1) END)) AS kept_sha256
+        FROM sized s LEFT JOIN cut c ON c.row = s.row""",
     "op9_line_dedup": f"""
         WITH texts AS (
             SELECT text, string_split(text, chr(10)) AS ls
