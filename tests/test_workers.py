@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "4").getOrCreate())
 import __spark_entry__ as E
-for name in ("forecast", "forecast_grid_best"):
+for name in ("forecast", "forecast_grid_best", "forecast_linear_growth"):
     print(name, E.queries()[name](spark, "/root/testdata/sf0.001").count())
 spark.stop()
 """
@@ -25,4 +25,4 @@ def test_grouped_map_runs_without_package_on_worker_path(tmp_path):
                          capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     counts = dict(line.split() for line in out.stdout.splitlines() if line.strip())
-    assert int(counts["forecast"]) > 0 and int(counts["forecast_grid_best"]) == 3
+    assert int(counts["forecast"]) > 0 and int(counts["forecast_linear_growth"]) > 0 and int(counts["forecast_grid_best"]) == 3
