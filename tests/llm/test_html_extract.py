@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 from conftest import SF_ORACLE
@@ -51,11 +52,75 @@ def test_cut_off_pages_and_odd_input():
     assert H.extract(page(f"<article><p>{long}</p></article>")) == long
 
 
+def wanted_text(labelled):
+    """The text between the marks of a labelled page, without what is marked as cut."""
+    inner = labelled[labelled.index(H.BEGIN):labelled.index(H.END)]
+    inner = re.sub(f"{H.CUT}.*?{H.UNCUT}", " ", inner, flags=re.S)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?[ab]\b[^>]*>", "", inner))).split())
+
+
+def without_scan(p, learned):
+    """All words that are more likely wanted than not, wherever they stand."""
+    ex = H.Extractor(learned)
+    out, furniture = [], set()
+    for i, t in enumerate(H.tokens(p)):
+        if t.own and ex.is_furniture(t):
+            furniture.add(i)
+        if t.kind != "word" or ex.value(t.around) > 0 and furniture.isdisjoint(t.opened):
+            out.append(t.text)
+    return " ".join("".join(out).split())
+
+
 def test_words_outweigh_tags():
     w = H.weights()
-    assert w["word plain in main"] > 0 and w["word plain"] > 0
-    assert all(v < 0 for k, v in w.items() if k.startswith("tag"))
-    assert w["word menu"] < 0 and w["word footer"] < 0
+    value = H.Extractor(w).value
+    assert value(frozenset(["<article>", "<p>"])) > 0.9 and value(frozenset(["<div>", "<p>"])) > 0.5
+    assert all(v < 0 for v in [*w.tag.values(), *w.unknown_tag.values()])
+    for unwanted in ({"<nav>", "<ul>", "<li>", "<a>"}, {"<footer>"}, {"<div>", "ad"}, {"<head>", "<title>"}):
+        assert value(frozenset(unwanted)) < 0, unwanted
+
+
+def test_region_equals_brute_force():
+    rng = random.Random(5)
+    for _ in range(400):
+        scores = [rng.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 3.0]) for _ in range(rng.randrange(0, 14))]
+        begin, end = H.best_region(scores)
+        best = max((sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=0)
+        assert sum(scores[begin:end]) == max(best, 0)
+        assert (begin, end) == (0, 0) or best > 0
+
+
+def test_scan_decides_where_names_do_not():
+    w = H.weights()
+    story = "".join(f"<p>{s}</p>" for s in (
+        "The harbour was quiet all day and nobody came by.", "The boats lay still, and the men mended their nets until dark."))
+    want = " ".join(re.sub(r"<[^>]*>", " ", story).split())
+    listed = "<div><ul><li>Home</li><li>Contact us</li><li>Our prices</li></ul></div>"
+    short = "<div><div>Weather</div><div>Sports</div><div>Travel</div></div>"
+    for before, after in ((listed, ""), ("", listed), (listed, listed), (short, listed), (short, short)):
+        p = f"<html><head><title>Quiet</title></head><body>{before}<div>{story}</div>{after}</body></html>"
+        assert H.extract(p, w) == want, (before, after)
+        assert without_scan(p, w) != want, (before, after)
+
+
+def test_misleading_names_and_unclosed_quotes():
+    inner = {
+        "widget": f'<div class="widget-article">{BODY}</div>',
+        "layout": f'<div class="ad-free sidebar-layout"><article>{BODY}</article></div>',
+        "quote": f'<div class="menu><a href=/x>Home</a></div><article>{BODY}</article>',
+        "quote inside": f'<article><p><a href="/x>{BODY[3:]}</article>',
+        "list": f"<div><ul><li>Home</li><li>Contact us</li></ul></div><div>{BODY}</div>",
+    }
+    for name, p in inner.items():
+        assert H.extract(page(p)) == WANT, name
+
+
+def test_pages_that_were_not_learned_from():
+    pages = H.labelled_pages()
+    right = sum(H.extract(p, w) == wanted_text(p)
+                for k in range(5) for w in [H.weights([p for n, p in enumerate(pages) if n % 5 != k])]
+                for n, p in enumerate(pages) if n % 5 == k)
+    assert right >= 0.9 * len(pages)  # the others have furniture of a name that no other page has
 
 
 def test_operator_keeps_rows_and_columns(spark):
