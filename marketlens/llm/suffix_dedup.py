@@ -32,7 +32,8 @@ Texts are identified by a 128-bit content key.  Equal texts enter once and, at
 Cases: a null text is empty; texts under `LENGTH` bytes stay as they are;
 repeated rows count as further texts, so they are removed if long enough; null
 or repeated ids each get their row; an empty table gives no rows; further
-columns are ignored.
+columns are ignored; a very long text is read whole, in overlapping pieces, by
+one task that holds it.
 """
 
 from __future__ import annotations
@@ -50,7 +51,9 @@ LENGTH = 200
 SAMPLE = 128
 GRAM = 16
 CORE = LENGTH - SAMPLE + 1
-SAMPLE_KEYS = 20_000
+SAMPLE_KEYS, PART_SAMPLE = 20_000, 16
+PART_BYTES = 64 << 20
+KEY_BYTES = LENGTH + SAMPLE  # about the longest usual key
 RUN_KEYS = 50_000
 RUN_PLACES = 200_000
 CLASS_KEYS = 4096
@@ -359,11 +362,16 @@ def _keys(t: bytes, places: np.ndarray) -> Iterator[tuple[bytes, int]]:
             yield key_of(t, a, f, e), a
 
 
-def borders(df: DataFrame, text: str, cands: DataFrame, parts: int) -> list[bytes]:
-    """Up to parts-1 keys that cut the sampled keys into equal shares.  The
-    sample (about SAMPLE_KEYS keys) decides balance only, never the result."""
+def borders(df: DataFrame, text: str, cands: DataFrame, least: int) -> list[bytes]:
+    """Keys that cut the sampled keys into equal shares, `least` of them or as
+    many as keep a share near PART_BYTES of keys, so that a part does not grow
+    with the input.
+
+    The sample (SAMPLE_KEYS keys, or PART_SAMPLE a part if that is more) decides
+    balance only, never the result."""
     total = cands.agg(F.sum(F.size("places"))).first()[0] or 0
-    every = max(1, total // SAMPLE_KEYS)
+    parts = max(least, -(-total * KEY_BYTES // PART_BYTES))
+    every = max(1, total // max(SAMPLE_KEYS, PART_SAMPLE * parts))
     some = (cands.select("k1", F.explode("places").alias("place"))
             .where(F.pmod(F.xxhash64("k1", "place"), F.lit(every)) == 0)
             .groupBy("k1").agg(F.collect_list("place").alias("places")))
@@ -504,7 +512,8 @@ def repeated_ranges(df: DataFrame, text: str) -> DataFrame:
     texts = _texts(df, text)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = borders(df, text, cands, parts)
-    found = cut_lineage(combine(sorted_runs(texts, cands, cuts), cuts))
+    # Dealt anew: the part of a frequent passage gives far more rows than others.
+    found = cut_lineage(combine(sorted_runs(texts, cands, cuts), cuts).repartition("k1", "k2", "start"))
     windows = found.where(F.col("d1").isNotNull())
     again = cut_lineage(windows.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"))
                         .where("n > 1").select("d1", "d2"))

@@ -80,6 +80,25 @@ def test_wide_path_equals_brute_force(spark, monkeypatch):
     assert [g[1:] for g in got] == brute(texts)
 
 
+def test_parts_grow_with_the_keys(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART_BYTES", 4096)
+    texts = corpus(4, 90)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cuts = S.borders(df, "text", S.candidates(df, "text"), 2)
+    assert cuts == sorted(set(cuts)) and len(cuts) > 8
+    got = sorted(result(spark, list(enumerate(texts))))
+    assert [g[1:] for g in got] == brute(texts)
+
+
+def test_text_longer_than_a_chunk(spark):
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(S.CHUNK + 5000))
+    edge = long[S.CHUNK - 400:S.CHUNK + 300]
+    texts = [long, "x" * 50 + edge + "y" * 50, long[100:500] + "z" + long[-700:], "own " + long[:150]]
+    got = sorted(result(spark, list(enumerate(texts))))
+    assert [g[1:] for g in got] == brute(texts)
+
+
 def test_nulls_repeated_rows_and_empty_table(spark):
     long = "".join(chr(97 + i * i % 23) for i in range(300))
     rows = [(1, None), (1, None), (None, "short"), (2, long), (2, long), (None, "z" + long[::-1])]
