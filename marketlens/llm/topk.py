@@ -13,31 +13,33 @@ of queries coarse to fine: pairs whose bound stays under the query's k-th best
 score so far are dropped at each level, and the exact product is computed for
 the survivors only.
 
-The queries are a stated set.  They travel in blocks of bounded size, every
-block is compared with all candidates in one pass, each task keeps k rows per
-query, and a ranking by query merges them.
+The queries are a stated set.  One shuffle deals every row to one block of
+candidates, by a hash of id and vector, and every query to all blocks.  A block
+is sorted so that its candidates come first: a task holds them (`block_rows` of
+them on average, of equal rows no more than k in a batch) while the queries
+stream past, k rows of a query leave each block, and a ranking by query merges
+them.  Nothing but a count passes the driver.
 
 Cases: vectors that are null or hold a null or non-finite component take no
 part, and neither do empty ones; vectors of unequal length are never compared;
 a vector does not meet itself (same id), but other rows of equal content do;
-ties go to the smaller id; an empty table gives no rows; products beyond a
-bigint are returned as the nearest bigint.  Other columns are ignored.
+rows that repeat an id each take part, and as queries share one ranking; ties go
+to the smaller id; an empty table gives no rows; products beyond a bigint are
+returned as the nearest bigint.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import received, send
-
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 512
+BLOCK_ROWS, LEAST_ROWS = 131_072, 32_768
 EXACT_FLOAT = 2.0 ** 52
 BIGINT = 2 ** 63
 FOUND = "query_id long, vec_id long, score long"
@@ -90,31 +92,33 @@ class Best:
         self.id[q[top], place[top]] = i[top]
 
 
-class QueryBlock:
+class Block:
+    """Vectors of one length with their segment statistics."""
+
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.stats = [segment_stats(vectors, s) for s in resolutions(vectors.shape[1])]
         self.largest = float(np.abs(vectors).max())
 
-    def search(self, ids: np.ndarray, m: np.ndarray, best: Best) -> Iterator[tuple[int, int, int]]:
-        """Compare with a block of candidates; scores that doubles cannot hold
-        are yielded as (query id, id, score) instead of entering `best`."""
-        bound = self.vectors.shape[1] * self.largest * float(np.abs(m).max())
+    def search(self, other: Block, best: Best) -> Iterator[tuple[int, int, int]]:
+        """Compare these queries with a block of candidates; scores that doubles
+        cannot hold are yielded as (query id, id, score) instead of entering `best`."""
+        bound = self.vectors.shape[1] * self.largest * other.largest
         if bound >= EXACT_FLOAT:
-            yield from self._wide(ids, m, best.k)
+            yield from self._wide(other.ids, other.vectors, best.k)
             return
         slack = 1e-9 * bound + 1e-6  # rounding of the bound's own arithmetic
         limit = best.threshold() - slack
-        stats = [segment_stats(m, s) for s in resolutions(m.shape[1])]
-        alive = (self.stats[0] @ stats[0].T >= limit[:, None]) & (self.ids[:, None] != ids[None, :])
+        alive = ((self.stats[0] @ other.stats[0].T >= limit[:, None])
+                 & (self.ids[:, None] != other.ids[None, :]))
         q, x = np.nonzero(alive)
-        for mine, theirs in zip(self.stats[1:], stats[1:]):
+        for mine, theirs in zip(self.stats[1:], other.stats[1:]):
             keep = self._products(mine, theirs, q, x) >= limit[q]
             q, x = q[keep], x[keep]
-        score = self._products(self.vectors, m, q, x)
+        score = self._products(self.vectors, other.vectors, q, x)
         keep = score >= best.threshold()[q]
         if keep.any():
-            best.add(q[keep], score[keep], ids[x[keep]])
+            best.add(q[keep], score[keep], other.ids[x[keep]])
 
     @staticmethod
     def _products(a: np.ndarray, b: np.ndarray, q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -148,53 +152,78 @@ def by_length(ids: pa.Array, vectors: pa.Array, scale: int) -> Iterator[tuple[np
         yield number[rows], flat[offsets[rows][:, None] + np.arange(n)]
 
 
+def without_copies(ids: np.ndarray, m: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted rows, of neighbours with equal id and content the first k: further
+    ones can be in no query's k best."""
+    fresh = np.ones(len(ids), dtype=bool)
+    fresh[1:] = (ids[1:] != ids[:-1]) | (m[1:] != m[:-1]).any(axis=1)
+    at = np.arange(len(ids))
+    keep = at - np.maximum.accumulate(np.where(fresh, at, 0)) < k
+    return ids[keep], m[keep]
+
+
 def top_k(df: DataFrame, row_id: str, vector: str, is_query: F.Column, k: int = 20, scale: int = 64,
-          query_block: int = QUERY_BLOCK) -> DataFrame:
+          block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank from 1, vec_id, score) of each query's k best rows."""
+    own = dict(df.dtypes)[vector]
+    kind = own if own in ("array<float>", "array<double>") else "array<double>"
     rows = df.withColumn("__query", F.coalesce(is_query, F.lit(False))).select(
         F.col(f"`{row_id}`").cast("long").alias("id"),
-        F.col(f"`{vector}`").cast("array<double>").alias("vector"), "__query")
+        F.col(f"`{vector}`").cast(kind).alias("vector"), "__query")
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("vector")))
-    queries = rows.where("__query").select("id", "vector")
-    blocks = max(1, -(-queries.count() // query_block))
-    parts = []
-    for n in range(blocks):
-        block = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == n).toArrow().combine_chunks()
-        made = {}
-        for batch in block.to_batches():
-            for ids, m in by_length(batch.column("id"), batch.column("vector"), scale):
-                made.setdefault(m.shape[1], []).append((ids, m))
-        index = {dim: QueryBlock(np.concatenate([i for i, _ in found]), np.concatenate([m for _, m in found]))
-                 for dim, found in made.items()}
-        parts.append(_search(rows.select("id", "vector"), send(df.sparkSession, index), k, scale))
-    found = reduce(DataFrame.unionByName, parts)
+    n = rows.count()
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-n // block_rows), min(wanted, -(-n // LEAST_ROWS)))
+    candidates = rows.select(F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).cast("int").alias("block"),
+                             F.lit(False).alias("query"), "id", "vector")
+    queries = rows.where("__query").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+                                           F.lit(True).alias("query"), "id", "vector")
+    dealt = (candidates.unionByName(queries).repartitionById(blocks, "block")
+             .sortWithinPartitions("block", "query", "id", "vector"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = _search(dealt, k, scale).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _search(rows: DataFrame, index, k: int, scale: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = received(index)
-        best = {dim: Best(len(b.ids), k) for dim, b in blocks.items()}
+def _search(dealt: DataFrame, k: int, scale: int) -> DataFrame:
+    """(query_id, vec_id, score): the k best of each query in each block."""
+    def out(q, x, score) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (q, x, score)],
+                                          names=["query_id", "vec_id", "score"])
 
-        def out(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
-            cols = list(zip(*found)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                              names=["query_id", "vec_id", "score"])
+    def ask(queries: Block, held: list[Block]) -> Iterator[pa.RecordBatch]:
+        best = Best(len(queries.ids), k)
+        for block in held:
+            wide = list(queries.search(block, best))
+            if wide:
+                yield out(*zip(*wide))
+        q, r = np.nonzero(best.score > -np.inf)
+        yield out(queries.ids[q], best.id[q, r], best.score[q, r].astype(np.int64))
 
+    def cut(made: list[tuple[np.ndarray, np.ndarray]]) -> list[Block]:
+        ids, m = without_copies(np.concatenate([i for i, _ in made]), np.concatenate([m for _, m in made]), k)
+        return [Block(ids[a:a + CANDIDATE_BLOCK], m[a:a + CANDIDATE_BLOCK]) for a in range(0, len(ids), CANDIDATE_BLOCK)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, list] = {}    # candidates of the block as they come, by length
+        held: dict[int, list[Block]] = {}
+        now = -1
         for batch in batches:
-            for ids, m in by_length(batch.column("id"), batch.column("vector"), scale):
-                if m.shape[1] in blocks:
-                    for a in range(0, len(ids), CANDIDATE_BLOCK):
-                        wide = list(blocks[m.shape[1]].search(
-                            ids[a:a + CANDIDATE_BLOCK], m[a:a + CANDIDATE_BLOCK], best[m.shape[1]]))
-                        if wide:
-                            yield out(wide)
-        for dim, b in best.items():
-            q, r = np.nonzero(b.score > -np.inf)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(blocks[dim].ids[q]), pa.array(b.id[q, r]), pa.array(b.score[q, r].astype(np.int64))],
-                names=["query_id", "vec_id", "score"])
-
-    return rows.mapInArrow(run, FOUND)
+            place = np.asarray(batch.column("block")) * 2 + np.asarray(batch.column("query").cast(pa.int32()))
+            edges = np.flatnonzero(np.diff(place, prepend=-1, append=-1))
+            for a, b in zip(edges[:-1], edges[1:]):
+                block, is_query = divmod(int(place[a]), 2)
+                if block != now:
+                    made, held, now = {}, {}, block
+                part = batch.slice(a, b - a)
+                for ids, m in by_length(part.column("id"), part.column("vector"), scale):
+                    dim = m.shape[1]
+                    if not is_query:
+                        made.setdefault(dim, []).append(without_copies(ids, m, k))
+                        continue
+                    if dim in made:
+                        held[dim] = cut(made.pop(dim))
+                    for c in range(0, len(ids), QUERY_BLOCK) if dim in held else ():
+                        yield from ask(Block(ids[c:c + QUERY_BLOCK], m[c:c + QUERY_BLOCK]), held[dim])
+
+    return dealt.mapInArrow(run, FOUND)

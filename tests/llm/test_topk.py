@@ -28,7 +28,24 @@ def test_equals_brute_force(spark):
              (None, rows[0][1]), (1020, [1.0, 2.0]), (1021, [0.5, -2.0]), (1024, [0.0] * 24)]
     want = sorted(brute.top_k(as_float(rows), 5, 64, lambda i: i % 4 == 0))
     assert run(spark, rows) == want
-    assert run(spark, rows, query_block=30) == want
+    assert run(spark, rows, block_rows=30) == want
+
+
+def test_repeated_rows_meet_in_no_task(spark):
+    rng = random.Random(7)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(60)]
+    rows += [(61, [0.9] * 8)] * 300 + [(62, [rng.gauss(0, 0.3) for _ in range(8)]) for _ in range(50)]
+    want = sorted(brute.top_k(as_float(rows), 5, 64, lambda i: i % 4 == 0))
+    assert run(spark, rows) == want
+    assert run(spark, rows, block_rows=100) == want
+
+
+def test_copies_beyond_k_are_left_out():
+    import numpy as np
+    ids = np.array([1, 1, 1, 1, 2, 2, 3])
+    m = np.array([[1.0], [1.0], [1.0], [2.0], [2.0], [2.0], [2.0]])
+    got = topk.without_copies(ids, m, 2)
+    assert got[0].tolist() == [1, 1, 1, 2, 2, 3] and got[1].ravel().tolist() == [1.0, 1.0, 2.0, 2.0, 2.0, 2.0]
 
 
 def test_fewer_rows_than_k_and_empty(spark):
