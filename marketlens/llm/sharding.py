@@ -6,8 +6,8 @@ is kept, and with one more shard a key either stays or moves into the new one.
 Spark's `bigint` product raises on overflow, so the generator's state is held
 as four 16-bit limbs.
 
-Cases: a null key is placed as key -1; a null text has size 8 and CRC 0;
-repeated rows share a shard and get different slots; an empty table gives no
+Cases: a null key is placed as key -1; a null text has size 8 and CRC 0; of a
+very long text only these two numbers are shuffled; repeated rows share a shard and get different slots; an empty table gives no
 rows; other columns pass through, and a result column replaces one of its name.
 """
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import cut_lineage, free_name
 
 # Fixed value: the multiplier of the generator in the published algorithm.
 MULTIPLIER = 2862933555777941757
@@ -82,6 +82,7 @@ def number_slots(df: DataFrame, shard_col: str = "shard", slot_col: str = "slot"
     size = 65536
     rows = (df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias(count))
             .withColumn(block, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(blocks))))
+    rows = cut_lineage(rows)  # read twice: for the blocks' sizes and for the numbers
     in_block = Window.partitionBy(shard_col, block).orderBy(*[F.col(f"`{c}`") for c in cols])
     rows = rows.withColumn(first, F.sum(count).over(
         in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(count))
