@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 512
-BLOCK_ROWS, LEAST_ROWS = 131_072, 32_768
+BLOCK_ROWS, LEAST_ROWS = 131_072, 8_192
 EXACT_FLOAT = 2.0 ** 52
 BIGINT = 2 ** 63
 FOUND = "query_id long, vec_id long, score long"
