@@ -6,8 +6,9 @@ from the rank file, and every match of the splitting pattern is encoded by
 itself.  `decode` gathers the bytes of the ids from one flat table, so a
 character that is split over several tokens comes back whole.
 
-Cases: a null text is empty (no ids, no bytes).  Texts are processed whole, a
-bounded number of characters at a time.  Other columns pass through; an output
+Cases: a null text is empty (no ids, no bytes).  Very long texts are processed
+whole, a bounded number of characters at a time; repeated rows and ids each get
+their row; an empty table gives no rows.  Other columns pass through; an output
 column takes the place of an input column of the same name.
 """
 

@@ -16,8 +16,9 @@ Cases: items of fewer words than the window must appear whole and unchanged;
 items under `SHORTEST` words cannot be told from chance and never match; null
 and empty texts match nothing; items with equal words are all reported; an
 empty table on either side gives no leaks.  Rows and columns of the documents
-pass through, repeated rows included; the result column replaces one of the
-same name.
+pass through, repeated rows included; a very long text is searched whole, in the
+task that reads it; the result column replaces one of the same name.  Item ids
+are whole numbers.
 """
 
 from __future__ import annotations

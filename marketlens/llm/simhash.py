@@ -18,7 +18,8 @@ size is bounded by the bit count, are compared instead.
 Cases: a null text is empty; a text without words has fingerprint 0 and links
 like any other; fewer words than a shingle give one shingle of all of them;
 repeated rows and ids each get their row; a null id never names a component
-unless the component has no other; an empty table gives no rows.  The input may
+unless the component has no other; a very long text counts whole, in the task
+that reads it; an empty table gives no rows.  The input may
 have further columns of any name: `near_duplicates` drops and `keep_first`
 keeps them.
 """
