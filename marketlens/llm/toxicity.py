@@ -226,28 +226,26 @@ def fit(bags: list[tuple[int, list[str]]], toxic_share: float | None = None) ->
     many = Counter(witness)
     ranked = [vocab[i] for i in sorted(many, key=lambda i: (-value[i] * many[i], vocab[i]))]
     common = [vocab[i] for i in np.argsort(-in_clean, kind="stable")[:MAX_NEGATIVES // 4] if in_clean[i]]
-    landmarks: list[str] = []
-    tables: list[np.ndarray] = []
+    landmarks: list[str] = []  # their tables are large and soon made, so none is held
 
     def add_landmarks(pool: list[str], most: int) -> None:
         """Up to `most` landmarks in all, in the pool's order, that are not
         close to one another."""
-        near = np.max([np.zeros(len(pool)), *(_values(pool, t) for t in tables)], axis=0)
+        near = np.max([np.zeros(len(pool)), *(_values(pool, word_table(w)) for w in landmarks)], axis=0)
         for i, w in enumerate(pool):
             if len(landmarks) >= most:
                 break
             if near[i] < 0.8:
                 landmarks.append(w)
-                tables.append(word_table(w))
-                near = np.maximum(near, _values(pool, tables[-1]))
+                near = np.maximum(near, _values(pool, word_table(w)))
 
     def inverse_root() -> np.ndarray:
-        kmm = np.stack([_values(landmarks, t) for t in tables], axis=1)
+        kmm = np.stack([_values(landmarks, word_table(w)) for w in landmarks], axis=1)
         val, vec = np.linalg.eigh((kmm + kmm.T) / 2)
         return vec @ np.diag(np.where(val > 1e-4, np.maximum(val, 1e-4) ** -0.5, 0)) @ vec.T
 
     def features(words: list[str]) -> np.ndarray:
-        return np.stack([_values(words, t) for t in tables], axis=1) @ root
+        return np.stack([_values(words, word_table(w)) for w in landmarks], axis=1) @ root
 
     add_landmarks(ranked, LANDMARKS // 2)
     add_landmarks(common, LANDMARKS * 3 // 4)
@@ -261,7 +259,7 @@ def fit(bags: list[tuple[int, list[str]]], toxic_share: float | None = None) ->
         pos = sorted(many)
         changed = [(v, many[w] / max(1, len(w) - 2)) for w in pos for v in with_insertions(w) if v not in number]
         neg = list(negatives)
-        x = np.vstack([features(pos), features([v for v, _ in changed]) if changed else np.zeros((0, len(tables))),
+        x = np.vstack([features(pos), features([v for v, _ in changed]) if changed else np.zeros((0, len(landmarks))),
                        features(neg)])
         share = np.array([many[w] for w in pos] + [n for _, n in changed], dtype=float)
         y = np.array([1.0] * len(share) + [-1.0] * len(neg))
@@ -269,7 +267,7 @@ def fit(bags: list[tuple[int, list[str]]], toxic_share: float | None = None) ->
         often = np.array([in_clean[number[v]] for v in neg], dtype=float)
         share = np.concatenate([share / share.sum(), often / often.sum() + 2 / len(neg)])
         w, bias = hinge(x, y, share)
-        table = sum((a * t for a, t in zip((root @ w).astype(np.float32), tables)), empty)
+        table = sum((a * word_table(m) for a, m in zip((root @ w).astype(np.float32), landmarks)), empty)
         values = _values(list(vocab), table) + bias
         worst = seen_clean[np.argsort(-values[seen_clean], kind="stable")[:MAX_NEGATIVES // 8]]
         negatives.update(dict.fromkeys(vocab[worst]))
